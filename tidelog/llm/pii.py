@@ -1 +1,277 @@
-"""Surrogates for personal data."""
+"""Surrogates for personal data, with DataFrame functions alone.
+
+One pattern finds e-mail and IPv4 addresses, telephone, card, account and social security numbers,
+access keys, secrets after a name, and persons after a title or a given name. Each entity becomes a
+keyed, type-consistent surrogate: digits stay digits, letters keep case, separators stay, card
+numbers keep their issuer digit and stay valid if they were; given names keep gender and script,
+surnames keep script, and each part of a name has its own surrogate, so `Mr Reed` and `Anna
+Reed` still agree. A surrogate depends on the key, the kind and the value only: the same entity has
+the same one in every document.
+
+Distinctness is checked over all documents: the distinct entities and their surrogates are compared,
+and of values that share one, or whose surrogate is itself a detected value, all but the first move to their
+next attempt until none is left. Only documents that hold such a value take part in a join.
+
+Defined results: null texts stay null with 0 entities; empty texts stay empty; texts without
+entities are returned as they are; repeated rows are treated each, alike; an empty table gives no rows;
+other columns pass unread, n_chars follows the text.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from .common import cut
+
+KEY = "surrogate-key-1"
+#: Documents with entities of a second attempt are broadcast up to so many rows.
+MOST_BROADCAST = 2_000
+MOST_ATTEMPTS = 40
+
+#: Given names by script and gender; they are both detected and used.
+GIVEN = {
+    ("latin", "f"): "Anna Mary Laura Julia Emma Sophie Clara Helen Alice Maria Sarah Nina Eva Ruth Lucy Paula Irene Marta Elena Diana Carmen Claire Linda Karin".split(),
+    ("latin", "m"): "John Peter Paul James Thomas David Robert Martin Karl Simon Oscar Victor Hugo Daniel Stefan Marco Luis Pedro Jean Pierre Henri Carlos Michael William".split(),
+    ("cyrillic", "f"): "Анна Мария Елена Ольга Ирина Наталья Татьяна Светлана Вера Нина Юлия Дарья".split(),
+    ("cyrillic", "m"): "Иван Пётр Алексей Сергей Дмитрий Николай Михаил Андрей Павел Олег Борис Виктор".split(),
+    ("greek", "f"): "Μαρία Ελένη Άννα Σοφία Κατερίνα Ειρήνη Δήμητρα Ιωάννα".split(),
+    ("greek", "m"): "Γιώργος Νίκος Γιάννης Δημήτρης Κώστας Παύλος Πέτρος Ανδρέας".split(),
+}
+#: Syllables of surnames by script.
+SYLLABLES = {
+    "latin": "bar den fal gor hal ker lan mor nes ol per quin ros sta tor ven".split(),
+    "cyrillic": "бар ден фал гор лан мор нес кор пер рос ста тор вен зар лем дов".split(),
+    "greek": "βαρ δεν φαλ γορ λαν μορ νες κορ περ ροσ στα τορ βεν ζαρ λεμ παπ".split(),
+}
+TITLES_F, TITLES_M = ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "Г-жа", "Κυρία"), ("Mr", "Herr", "Monsieur", "Señor", "Sr", "Г-н", "Κύριος")
+TITLES_N = ("Dr", "Prof")
+
+_OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
+_NAME = r"\p{Lu}[\p{Ll}'’]+(?:-\p{Lu}\p{Ll}+)?"
+_ALL_GIVEN = "|".join(n for names in GIVEN.values() for n in names)
+_ALL_TITLES = "|".join((*TITLES_F, *TITLES_M, *TITLES_N))
+#: (kind, first characters, pattern), tried in this order at each place.
+PATTERNS = (
+    ("secret", "PpSsTtAa", r"(?<![A-Za-z])(?i:password|passwd|pwd|secret|token|api_?key)\s{0,2}[=:]\s{0,2}[\"']?[A-Za-z0-9_+/-]{6,512}"),
+    ("key", "A", r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])"),
+    ("iban", "A-Z", r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"),
+    ("card", r"\d", r"(?<![\d.-])(?:\d{4}[ -]?){3}\d{4}(?![\d-])"),
+    ("ssn", r"\d", r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"),
+    ("ip", r"\d", rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d)"),
+    ("phone", r"\d(+", r"(?<![\d.])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]?\d{4}(?!\d)|\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}(?!\d)"),
+    ("email", "A-Za-z0-9._%+-", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}"),
+    ("person", r"\p{Lu}", rf"(?<!\p{{L}})(?:(?:{_ALL_TITLES})\.?\s{_NAME}(?:\s{_NAME})?|(?:{_ALL_GIVEN})\s{_NAME})"),
+)
+PATTERN = "|".join(f"(?=[{first}])(?:{p})" for _, first, p in PATTERNS)
+#: A text without any of this has no entity; it is one cheap pass.
+GATE = rf"[0-9@=:]|(?=\p{{Lu}})(?<!\p{{L}})(?:{_ALL_TITLES}|{_ALL_GIVEN})(?!\p{{L}})"
+#: How a found entity shows its kind; anchored, on the entity alone.
+_KINDS = (
+    ("email", r"^[^\s@]+@"), ("key", r"^A[KS]IA[0-9A-Z]{16}$"), ("secret", r"^(?i:password|passwd|pwd|secret|token|api_?key)\s*[=:]"),
+    ("iban", r"^[A-Z]{2}\d"), ("ssn", r"^\d{3}-\d{2}-\d{4}$"), ("card", r"^(?:\d{4}[ -]?){3}\d{4}$"), ("ip", r"^\d+\.\d+\.\d+\.\d+$"), ("phone", r"^[+(\d]"),
+)
+_SECRET_HEAD = r"^(\w+\s*[=:]\s*[\"']?)(.*)$"
+_TITLE_HEAD = rf"^((?:{_ALL_TITLES})\.?\s)(.*)$"
+
+
+def found(text: Column) -> Column:
+    return F.when(text.rlike(GATE), F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))).otherwise(F.array().cast("array<string>"))
+
+
+def kind_of(entity: Column) -> Column:
+    out = F.when(entity.rlike(_KINDS[0][1]), _KINDS[0][0])
+    for kind, pattern in _KINDS[1:]:
+        out = out.when(entity.rlike(pattern), kind)
+    return out.otherwise("person")
+
+
+def normal(kind: Column, value: Column) -> Column:
+    """What makes two spellings one entity: digits of numbers, case of addresses."""
+    return (
+        F.when(kind.isin("card", "phone", "ssn"), F.regexp_replace(value, r"[^\d]", ""))
+        .when(kind == "iban", F.regexp_replace(value, " ", "")).when(kind == "email", F.lower(value)).otherwise(value)
+    )
+
+
+def parts_of(entity: Column) -> Column:
+    """array<struct<kind, value>>: what is replaced in an entity; names have a part for each word."""
+    kind = kind_of(entity)
+    title = F.regexp_extract(entity, _TITLE_HEAD, 1)
+    bare = F.when(title == "", entity).otherwise(F.regexp_extract(entity, _TITLE_HEAD, 2))
+    words = F.split(bare, r"\s")
+    gender = (
+        F.when(title.rlike(f"^(?:{'|'.join(TITLES_F)})\\b"), "f").when(title.rlike(f"^(?:{'|'.join(TITLES_M)})\\b"), "m").otherwise("")
+    )
+    bearers = lambda gender: [n for (_, g), names in GIVEN.items() if g == gender for n in names]
+    gender = F.when(words[0].isin(bearers("f")), "f").when(words[0].isin(bearers("m")), "m").otherwise(gender)
+    given = F.struct(F.when(gender == "m", "given_m").otherwise("given_f").alias("kind"), words[0].alias("value"))
+    surname = lambda w: F.struct(F.lit("surname").alias("kind"), w.alias("value"))
+    person = F.when(F.size(words) > 1, F.array(given, surname(words[1]))).otherwise(F.array(surname(words[0])))
+    value = F.when(kind == "secret", F.regexp_extract(entity, _SECRET_HEAD, 2)).otherwise(entity)
+    return F.when(kind == "person", person).otherwise(F.array(F.struct(kind.alias("kind"), value.alias("value"))))
+
+
+def _digest(kind: Column, value: Column, attempt: Column, key: str) -> Column:
+    """Keyed hash as 128 hexadecimal digits: an inner and an outer pass over the key."""
+    inner = F.sha2(F.concat(F.lit(key + "|in|"), kind, F.lit("|"), normal(kind, value), F.lit("|"), attempt.cast("string")).cast("binary"), 512)
+    return F.sha2(F.concat(F.lit(key + "|out|"), inner).cast("binary"), 512)
+
+
+def _number(digest: Column, at: Column | int) -> Column:
+    """A value below 65536 from the digest, by place."""
+    place = at if isinstance(at, Column) else F.lit(at)
+    return F.conv(F.substr(digest, (place * 3) % 124 + 1, F.lit(4)), 16, 10).cast("int")
+
+
+def _let(value: Column, body) -> Column:
+    """`body` of a value that is computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _scramble(value: Column, digest: Column, hexadecimal: Column) -> Column:
+    """Each digit by a digit, each letter by one of its case; all else stays. Characters go by their place among those."""
+    chars = F.transform(F.sequence(F.lit(1), F.greatest(F.length(value), F.lit(1))), lambda i: F.substr(value, i, F.lit(1)))
+
+    def one(c, i):
+        before = F.length(F.regexp_replace(F.substr(value, F.lit(1), i), r"[^\p{L}\d]", ""))
+        pick = lambda n: (
+            F.when(hexadecimal, F.substr(F.lit("0123456789abcdef"), n % 16 + 1, F.lit(1)))
+            .otherwise(F.char(F.when(c.rlike(r"^\d$"), n % 10 + 48).when(c.rlike(r"^\p{Lu}$"), n % 26 + 65).otherwise(n % 26 + 97)))
+        )
+        return F.when(c.rlike(r"^[\p{L}\d]$"), _let(_number(digest, before), pick)).otherwise(c)
+
+    return F.array_join(F.transform(chars, one), "")
+
+
+def _luhn_sum(digits: Column) -> Column:
+    """The card check's sum, last digit included, as a remainder of 10."""
+    n = F.length(digits)
+    each = F.transform(
+        F.sequence(F.lit(1), n),
+        lambda i: F.substr(digits, i, F.lit(1)).cast("int") * F.when((n - i) % 2 == 1, 2).otherwise(1),
+    )
+    return F.aggregate(each, F.lit(0), lambda a, x: a + F.when(x > 9, x - 9).otherwise(x)) % 10
+
+
+def _digits(value: Column) -> Column:
+    return F.regexp_replace(value, r"[^\d]", "")
+
+
+def _checked(value: Column, mixed: Column) -> Column:
+    """A card number whose last digit makes it valid exactly if `value` is."""
+    last = F.substr(mixed, F.length(mixed), F.lit(1)).cast("int")
+    right = (last - _luhn_sum(_digits(mixed)) + 10) % 10
+    off = F.when(_luhn_sum(_digits(value)) == 0, right).when(right == last, (last + 1) % 10).otherwise(last)
+    return F.concat(F.substr(mixed, F.lit(1), F.length(mixed) - 1), off.cast("string"))
+
+
+def _strings(names: list[str]) -> Column:
+    return F.array(*[F.lit(x) for x in names])
+
+
+def _by_script(value: Column, of) -> Column:
+    return F.when(value.rlike(r"^\p{IsCyrillic}"), of("cyrillic")).when(value.rlike(r"^\p{IsGreek}"), of("greek")).otherwise(of("latin"))
+
+
+def _given(kind: Column, value: Column, digest: Column, attempt: Column) -> Column:
+    names = F.when(kind == "given_m", _by_script(value, lambda s: _strings(GIVEN[s, "m"]))).otherwise(_by_script(value, lambda s: _strings(GIVEN[s, "f"])))
+    pick = lambda a, k: F.element_at(a, _number(digest, k) % F.size(a) + 1)
+    more = lambda a, k, least: F.when(attempt > least, F.concat(F.lit("-"), pick(a, k))).otherwise("")
+    return _let(names, lambda a: F.concat(pick(a, 1), more(a, 5, 0), more(a, 9, 2)))
+
+
+def _surname(value: Column, digest: Column, attempt: Column) -> Column:
+    count = F.least(F.lit(3) + F.floor((attempt + 1) / 2).cast("int"), F.lit(6))
+    return _let(
+        _by_script(value, lambda s: _strings(SYLLABLES[s])),
+        lambda a: F.initcap(F.array_join(F.transform(F.sequence(F.lit(1), count), lambda k: F.element_at(a, _number(digest, k * 4) % F.size(a) + 1)), "")),
+    )
+
+
+def surrogate(kind: Column, value: Column, attempt: Column, key: str) -> Column:
+    """What stands for a value of this kind; kept heads are issuer digit, country code, key prefix and country."""
+    head = (
+        F.when(kind == "card", F.substr(value, F.lit(1), F.lit(1))).when(kind == "key", F.substr(value, F.lit(1), F.lit(4)))
+        .when(kind == "iban", F.substr(value, F.lit(1), F.lit(2))).when(kind == "phone", F.regexp_extract(value, r"^(?:\+\d{1,3}(?=[ .(-]|\d{6}))?", 0)).otherwise("")
+    )
+
+    def with_digest(d):
+        body = F.when(kind == "email", F.substring_index(value, "@", 1)).otherwise(F.substr(value, F.length(head) + 1))
+        hexadecimal = (kind == "secret") & value.rlike(r"^[0-9a-f]+$")
+        ip = F.concat_ws(".", F.lit("10"), *[(_number(d, 7 * k) % 254 + 1).cast("string") for k in (1, 2, 3)])
+        host = F.concat(F.lit("@mail"), (_number(d, 20) % 1000).cast("string"), F.lit(".example."), F.element_at(_strings(["com", "net", "org"]), _number(d, 24) % 3 + 1))
+        plain = _let(
+            F.concat(head, _scramble(body, d, hexadecimal)),
+            lambda m: F.when(kind == "card", _checked(value, m)).when(kind == "email", F.concat(m, host)).otherwise(m),
+        )
+        return F.when(kind == "ip", ip).when(kind.startswith("given"), _given(kind, value, d, attempt)).when(kind == "surname", _surname(value, d, attempt)).otherwise(plain)
+
+    return _let(_digest(kind, value, attempt, key), with_digest)
+
+
+def entities(docs: DataFrame) -> DataFrame:
+    """Distinct (kind, value) over all texts, value in its normal form, with one spelling of it."""
+    each = docs.select(F.explode(found(F.col("text"))).alias("e")).groupBy("e").count().select(F.explode(parts_of(F.col("e"))).alias("p"))
+    return each.groupBy(F.col("p.kind").alias("kind"), normal(F.col("p.kind"), F.col("p.value")).alias("value")).agg(F.min("p.value").alias("spelling"))
+
+
+def attempts(docs: DataFrame, key: str = KEY) -> DataFrame:
+    """(kind, value, attempt) for the values whose first surrogate is taken; attempt is 1 or more."""
+    from pyspark.sql import Window as W
+
+    state = cut(entities(docs).withColumn("attempt", F.lit(0)))
+    real = state.select(F.col("kind").alias("_kind"), F.col("value").alias("_real"))
+    for _ in range(MOST_ATTEMPTS):
+        s = state.withColumn("s", normal(F.col("kind"), surrogate(F.col("kind"), F.col("spelling"), F.col("attempt"), key)))
+        s = cut(s)
+        shared = s.groupBy("kind", "s").agg(F.count("*").alias("n"), F.min(F.struct("attempt", "value")).alias("first")).where("n > 1").select(F.col("kind").alias("k2"), F.col("s").alias("s2"), "first")
+        t = s.join(shared, (F.col("kind") == F.col("k2")) & (F.col("s") == F.col("s2")), "left")
+        t = t.join(real, (F.col("kind") == F.col("_kind")) & (F.col("s") == F.col("_real")), "left")
+        # given names come from one short list, so a surrogate may be a name that others bear
+        taken = (F.col("_real").isNotNull() & ~F.col("kind").startswith("given")) | (F.col("_real") == F.col("value"))
+        moves = F.coalesce(F.struct("attempt", "value") != F.col("first"), F.lit(False)) | F.coalesce(taken, F.lit(False))
+        state = cut(t.select("kind", "value", "spelling", (F.col("attempt") + moves.cast("int")).alias("attempt"), moves.alias("moved")))
+        moved = state.where("moved").count()
+        state = state.drop("moved")
+        if not moved:
+            return state.where("attempt > 0").select("kind", "value", "attempt")
+    raise RuntimeError("surrogates stay shared")
+
+
+def _replaced(entity: Column, later: Column | None, key: str) -> Column:
+    """The entity with its parts replaced; `later` maps kind:value to its attempt."""
+    kind = kind_of(entity)
+
+    def one(p):
+        attempt = F.lit(0) if later is None else F.coalesce(F.element_at(later, F.concat(p["kind"], F.lit(":"), normal(p["kind"], p["value"]))), F.lit(0))
+        return surrogate(p["kind"], p["value"], attempt, key)
+
+    done = F.array_join(F.transform(parts_of(entity), one), " ")
+    head = F.when(kind == "secret", F.regexp_extract(entity, _SECRET_HEAD, 1)).when(kind == "person", F.regexp_extract(entity, _TITLE_HEAD, 1)).otherwise("")
+    return F.concat(head, done)
+
+
+def surrogates(docs: DataFrame, key: str = KEY) -> DataFrame:
+    """The input's rows and columns, text replaced, and n_entities long."""
+    fixed = cut(attempts(docs, key))
+    rows = docs.withColumn("_found", F.coalesce(found(F.col("text")), F.array().cast("array<string>")))
+    later = None
+    if fixed.head(1):
+        ids = docs.select(F.xxhash64(F.col("text")).alias("_h"), F.explode(found(F.col("text"))).alias("e")).select("_h", F.explode(parts_of(F.col("e"))).alias("p"))
+        ids = ids.select("_h", F.col("p.kind").alias("k"), normal(F.col("p.kind"), F.col("p.value")).alias("v"))
+        per = ids.join(fixed, (F.col("k") == F.col("kind")) & (F.col("v") == F.col("value"))).select("_h", F.concat("k", F.lit(":"), "v").alias("kv"), "attempt").distinct()
+        per = cut(per.groupBy("_h").agg(F.map_from_entries(F.collect_list(F.struct("kv", "attempt"))).alias("_later")))
+        small = per.count() <= MOST_BROADCAST
+        rows = rows.withColumn("_h0", F.when(F.size("_found") > 0, F.xxhash64("text")))
+        rows = rows.join(F.broadcast(per) if small else per, F.col("_h0") == F.col("_h"), "left")
+        later = F.coalesce(F.col("_later"), F.create_map().cast("map<string,int>"))
+    gaps = F.split("text", PATTERN, -1)
+    joined = F.concat(gaps[0], F.array_join(F.zip_with(F.col("_found"), F.slice(gaps, 2, F.greatest(F.size(gaps) - 1, F.lit(1))), lambda e, g: F.concat(_replaced(e, later, key), g)), ""))
+    out = rows.withColumn("_text", F.when(F.size("_found") > 0, joined).otherwise(F.col("text")))
+    names = [F.col("_text").alias("text") if c == "text" else (F.when(F.size("_found") > 0, F.length("_text").cast("long")).otherwise(F.col(c)).alias(c) if c == "n_chars" else F.col(c)) for c in docs.columns]
+    return out.select(*names, F.size("_found").cast("long").alias("n_entities"))
+
+
+def replaced_documents(docs: DataFrame, key: str = KEY) -> DataFrame:
+    return surrogates(docs, key).select(*docs.columns)
