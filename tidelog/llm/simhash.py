@@ -66,7 +66,7 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def bit_planes(lanes: np.ndarray) -> np.ndarray:
     """(blocks, 64 lanes) -> (64 planes, blocks): bit l of plane b is bit b of lane l."""
     bits = np.unpackbits(np.ascontiguousarray(lanes).view(np.uint8).reshape(-1, 64, 8), axis=2, bitorder="little")
-    return np.packbits(bits.transpose(2, 0, 1), axis=2, bitorder="little").view(np.uint64)[..., 0]
+    return np.packbits(np.ascontiguousarray(bits.transpose(2, 0, 1)), axis=2, bitorder="little").view(np.uint64)[..., 0]
 
 
 def within(planes: np.ndarray, block: np.ndarray, query: np.ndarray, valid: np.ndarray, radius: int = RADIUS) -> np.ndarray:
