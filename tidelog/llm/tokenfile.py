@@ -22,6 +22,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache, partial
+from itertools import islice
 
 import numpy as np
 import public_tokenizers
@@ -37,8 +38,8 @@ from .common import chunks, local_path, new_folder
 
 END_ID = 2
 LEVEL = 3
-#: Words whose ids a worker keeps; beyond it starts anew, so its memory is bounded.
-MEMO = 200_000
+#: Words whose ids a worker keeps. Beyond it the later half goes: frequent words came first.
+MEMO = 600_000
 #: Fixed values of the seekable zstandard format.
 SKIPPABLE, SEEK_MAGIC, IDS_FRAME, SEEK_FRAME = 0x184D2A50, 0x8F92EAB1, 0x184D2A51, 0x184D2A5E
 _FOOTER = struct.Struct("<IBI")
@@ -65,7 +66,9 @@ def encode_batch(path: str, texts: list[str]) -> list[bytes]:
     t, memo = tokenizer(path)
     parts = [x.replace("\n", " ").split(" ") for x in texts]
     if len(memo) > MEMO:
+        first = list(islice(memo.items(), MEMO // 2))
         memo.clear()
+        memo.update(first)
     new = [w for w in set().union(*parts) if w not in memo]
     for k in range(0, len(new), 20_000):
         for w, e in zip(new[k : k + 20_000], t.encode_batch_fast(new[k : k + 20_000], add_special_tokens=False)):
