@@ -134,3 +134,63 @@ def test_lease_and_control(tmp_path):
     assert control.feedback_lsn(9, 5, {"a": True, "b": False}) == 5
     with pytest.raises(ValueError):
         control.merged_payload([{"target_table": "a", "primary_key": "i", "steps": [], "truncate": True}, {"target_table": "a", "primary_key": "i", "steps": []}])
+
+
+def test_upsert_rewrites_touched_buckets_only(spark, tmp_path):
+    t = VersionedTable(spark, str(tmp_path / "t"), "id", buckets=16)
+    t.append(spark.range(200).selectExpr("id", "'a' AS v"))
+    before = t.manifest()["parts"]
+    t.write_batch(spark.createDataFrame([(5, "b"), (None, "n")], "id long, v string"), name="x")
+    after = t.manifest()["parts"]
+    assert 1 <= sum(after[b] != before.get(b) for b in after) <= 2
+    rows = t.read().collect()
+    assert len(rows) == 201 and [r.v for r in rows if r.id == 5] == ["b"]
+    # the same name again: no version; NULL keys under another name: one more row
+    assert t.write_batch(spark.createDataFrame([(5, "z")], "id long, v string"), name="x") == t.version() == 2
+    t.write_batch(spark.createDataFrame([(None, "n")], "id long, v string"))
+    assert t.read().where("id is null").count() == 2 and t.read(1).count() == 200
+
+
+def test_appends_add_columns_and_compact(spark, tmp_path):
+    t = VersionedTable(spark, str(tmp_path / "t"), "id", buckets=2)
+    t.append(spark.createDataFrame([(1, "a")], "id long, V string"))
+    for k in range(2, 6):
+        t.append(spark.createDataFrame([(k, "b", k)], "id long, v string, extra long"))
+    assert t.read().columns == ["id", "V", "extra"]
+    want = [(1, "a", None)] + [(k, "b", k) for k in range(2, 6)]
+    assert sorted(map(tuple, t.read().collect())) == want
+    t.compact(1)
+    assert all(len(ps) == 1 for ps in t.manifest()["parts"].values()) and sorted(map(tuple, t.read().collect())) == want
+    t.expire(1)
+    assert sorted(map(tuple, t.read().collect())) == want
+    with pytest.raises(Exception):
+        t.read(1)
+
+
+def test_truncate_and_rows_are_one_version(spark, tmp_path):
+    from tidelog.streaming.follow import apply_batch
+
+    kind = "sequence long, tx_ordinal long, op string, table string, id long, v string"
+    t = VersionedTable(spark, str(tmp_path / "t"), "id", buckets=4)
+    batch = lambda *rows: spark.createDataFrame(list(rows), kind)
+    apply_batch(t, batch((1, 0, "insert", "t", 1, "a")), 0, ["id", "v"], F.lit(7))
+    cut = batch((2, 0, "insert", "t", 2, "b"), (2, 1, "truncate", "t", None, None), (2, 2, "insert", "t", 3, "c"))
+    for _ in range(2):
+        apply_batch(t, cut, 1, ["id", "v"], F.lit(7))
+    assert t.version() == 2 and [r.id for r in t.read().collect()] == [3]
+
+
+def test_two_writers_cannot_make_one_version(spark, tmp_path):
+    t = VersionedTable(spark, str(tmp_path / "t"), "id", buckets=2)
+    t.ensure(spark.range(1).schema)
+    with pytest.raises(FileExistsError):
+        t.files.create(f"{t.root}/manifests/{1:012d}.json", "{}")
+    assert t.read().count() == 0
+
+
+def test_event_time_merge_by_bucket(spark, tmp_path):
+    kind = "id long, event_at long, event_id string, deleted_at long"
+    t = VersionedTable(spark, str(tmp_path / "t"), "id", buckets=4)
+    t.append(spark.createDataFrame([(1, 5, "a", None), (2, 5, "b", None)], kind))
+    t.write_batch(spark.createDataFrame([(1, 6, "c", None), (2, 4, "z", None), (3, 9, "d", 9)], kind), merge=merge.event_time_merge)
+    assert sorted((r.id, r.event_id) for r in t.read().collect()) == [(1, "c"), (2, "b")]

@@ -93,6 +93,19 @@ def fingerprint(schema: TableSchema) -> str:
     return hashlib.sha256(json.dumps([schema.name, schema.primary_key, fields]).encode()).hexdigest()
 
 
+def widened(old: T.StructType, new: T.StructType) -> T.StructType:
+    """The old fields, then those of the new schema whose names, without case, are not there."""
+    have = {f.name.lower() for f in old}
+    return T.StructType([*old, *[T.StructField(f.name, f.dataType) for f in new if f.name.lower() not in have]])
+
+
+def aligned(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    """The rows in this schema's names, types and order; a column that they lack is NULL."""
+    have = {c.lower(): c for c in rows.columns}
+    of = lambda f: F.col(f"`{have[f.name.lower()]}`") if f.name.lower() in have else F.lit(None)
+    return rows.select(*[of(f).cast(f.dataType).alias(f.name) for f in schema])
+
+
 def evolve(old: DataFrame, new: DataFrame) -> DataFrame:
     """Additive: columns new in either are NULL in the other, matched without case; none is dropped or retyped."""
     by_low = {c.lower(): c for c in old.columns}

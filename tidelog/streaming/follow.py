@@ -23,14 +23,12 @@ def committed(log: DataFrame, tx: str = "tx", op: str = "op") -> DataFrame:
 
 
 def apply_batch(table: VersionedTable, batch: DataFrame, batch_id: int, columns: list[str], now, soft_delete: bool = True) -> None:
-    """One micro-batch: truncate cut, last action per key, tombstones, merge. A repeated batch changes nothing."""
+    """One micro-batch: truncate cut, last action per key, tombstones, one new version. A repeated batch changes nothing."""
     rows = after_truncate(batch)
     truncated = bool(batch.where("op = 'truncate'").head(1))
     last = compact(rows.where("op <> 'truncate'"), [table.pk], soft_delete)
     out = with_tombstones(last, now).select(*columns, "deleted_at", "synced_at")
-    if truncated and table.version():
-        table.truncate()
-    table.write_batch(out, name=f"batch-{batch_id}")
+    table.write_batch(out, name=f"batch-{batch_id}", truncate_first=truncated)
 
 
 def follow(stream: DataFrame, table: VersionedTable, columns: list[str], checkpoint: str, now, soft_delete: bool = True, once: bool = True) -> StreamingQuery:
