@@ -98,5 +98,38 @@ FROM v LEFT JOIN degree d ON v.vec_id = d.a LEFT JOIN low l ON v.vec_id = l.a
 """
 
 
+def _op9_sql() -> str:
+    """The rules over exact words, lines and n-grams; thresholds come from the operator."""
+    lengths = (quality.WINDOW, *quality.NGRAM_LIMITS)
+    grams = ", ".join(
+        f"CASE WHEN p + {n} - 1 <= n THEN string_agg(w, ' ') OVER (PARTITION BY rid ORDER BY p ROWS BETWEEN CURRENT ROW AND {n - 1} FOLLOWING) END AS g{n}" for n in lengths
+    )
+    twice = ", ".join(f"g{n} IS NOT NULL AND count(*) OVER (PARTITION BY rid, g{n}) > 1 AS t{n}" for n in lengths)
+    inside = ", ".join(f"bool_or(t{n}) OVER (PARTITION BY rid ORDER BY p ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW) AS c{n}" for n in lengths)
+    sums = ", ".join(f"coalesce(sum(length(w)) FILTER (c{n}), 0) AS m{n}" for n in quality.NGRAM_LIMITS)
+    shares = ", ".join(f"coalesce(m{n}, 0)::DOUBLE / greatest(coalesce(word_chars, 0), 1)::DOUBLE AS dup_{n}gram_share" for n in quality.NGRAM_LIMITS)
+    over = " OR ".join(f"dup_{n}gram_share > {x}::DOUBLE" for n, x in quality.NGRAM_LIMITS.items())
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+split AS (SELECT rid, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM d),
+words AS (SELECT rid, len(ws) AS n, unnest(ws) AS w, generate_subscripts(ws, 1) AS p FROM split),
+grams AS (SELECT rid, w, p, {grams} FROM words),
+twice AS (SELECT rid, w, p, {twice} FROM grams),
+inside AS (SELECT rid, w, {inside} FROM twice),
+per AS (SELECT rid, count(*) AS n_words, sum(length(w)) AS word_chars, count(*) FILTER (c{quality.WINDOW}) AS n_repeat_words, {sums} FROM inside GROUP BY rid),
+lines AS (SELECT rid, l, row_number() OVER (PARTITION BY rid, l) > 1 AS later
+  FROM (SELECT rid, unnest(string_split(t, chr(10))) AS l FROM d) WHERE regexp_matches(l, '[^\x20\x09-\x0D]')),
+by_line AS (SELECT rid, count(*) AS n_lines, count(*) FILTER (later) AS dups, sum(length(l)) AS chars, coalesce(sum(length(l)) FILTER (later), 0) AS dup_chars FROM lines GROUP BY rid),
+measured AS (
+  SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0)::BIGINT AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+    coalesce(dups, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+    coalesce(dups, 0)::DOUBLE / greatest(coalesce(n_lines, 0), 1)::DOUBLE AS dup_line_share, coalesce(dup_chars, 0)::DOUBLE / greatest(coalesce(chars, 0), 1)::DOUBLE AS dup_line_char_share, {shares}
+  FROM d LEFT JOIN per USING (rid) LEFT JOIN by_line USING (rid)),
+judged AS (SELECT *, n_words < {quality.LEAST_WORDS} OR 100 * n_repeat_words > {quality.MOST_REPEAT} * n_words AS base_failed FROM measured)
+SELECT *, NOT (base_failed OR dup_line_share > {quality.LINE_LIMIT}::DOUBLE OR dup_line_char_share > {quality.LINE_CHAR_LIMIT}::DOUBLE
+  OR n_symbols::DOUBLE > {quality.SYMBOL_LIMIT}::DOUBLE * n_words::DOUBLE OR {over}) AS kept FROM judged
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mix_sources": OP2_SQL, "op5_embedding_near_dedup": OP5_SQL}
+    return {"op2_mix_sources": OP2_SQL, "op5_embedding_near_dedup": OP5_SQL, "op9_quality_rules": _op9_sql()}
