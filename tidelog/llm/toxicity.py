@@ -211,13 +211,32 @@ def fit(texts: list[str], labels: list[int]) -> tuple[dict[str, float], tuple[fl
         return stems, prior
     s = Scorer(stems, prior)
     x = np.array([(1.0, *s.inputs(t or "")) for t in texts])
-    y = np.array(labels, float)
-    w = np.array(prior)
-    for _ in range(50):  # Newton steps, held to the prior
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        h = (x.T * (p * (1 - p) + 1e-9)) @ x + np.diag([0.05, 0.5, 0.5])
-        w = w + np.linalg.solve(h, x.T @ (y - p) - np.array([0.05, 0.5, 0.5]) * (w - np.array(prior)))
-    return stems, tuple(float(v) for v in w)
+    return stems, fit_logistic(x, np.array(labels, float), np.array(prior))
+
+
+def fit_logistic(x: np.ndarray, y: np.ndarray, prior: np.ndarray, pull=(0.05, 0.5, 0.5)) -> tuple[float, ...]:
+    """Logistic weights held to the prior; Newton steps are halved until they lower the loss.
+
+    Whole steps overshoot where the classes are separable, and may end with the sign turned.
+    """
+    pull = np.array(pull)
+
+    def loss(w):
+        z = x @ w
+        return float(np.sum(np.logaddexp(0, z) - y * z) + 0.5 * np.sum(pull * (w - prior) ** 2))
+
+    w = prior.astype(float)
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -500, 500)))
+        gradient = x.T @ (p - y) + pull * (w - prior)
+        step = np.linalg.solve((x.T * (p * (1 - p))) @ x + np.diag(pull), gradient)
+        at, gain, size = loss(w), float(gradient @ step), 1.0
+        while loss(w - size * step) > at - 1e-4 * size * gain and size > 1e-9:
+            size /= 2
+        if size <= 1e-9 or gain < 1e-10:
+            break
+        w = w - size * step
+    return tuple(float(v) for v in w)
 
 
 def remainder(doc_id):
