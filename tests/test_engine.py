@@ -194,3 +194,31 @@ def test_event_time_merge_by_bucket(spark, tmp_path):
     t.append(spark.createDataFrame([(1, 5, "a", None), (2, 5, "b", None)], kind))
     t.write_batch(spark.createDataFrame([(1, 6, "c", None), (2, 4, "z", None), (3, 9, "d", 9)], kind), merge=merge.event_time_merge)
     assert sorted((r.id, r.event_id) for r in t.read().collect()) == [(1, "c"), (2, "b")]
+
+
+def test_window_joins_up_to_the_first_misfit(spark):
+    kind = "connection_id string, table_key string, job_id string, first_sequence long, status string, stage string, barrier_kind string, reducer_eligible boolean, created_at long, updated_at long"
+    row = lambda n, status="pending", stage="loaded", seq=None: ("c", "t", f"j{n:02}", seq or n, status, stage, None, True, n, n)
+    jobs = spark.createDataFrame([row(1), row(2), row(3), row(4, stage="received"), row(5), row(6, seq=4)], kind)
+    got = {r.job_id: r.ready for r in ledger.windows(jobs, 10_000, 0, 16, 0).collect()}
+    # the misfit's own sequence still joins, later ones do not
+    assert got == {"j01": True, "j02": True, "j03": True, "j06": True}
+    assert not any(r.ready for r in ledger.windows(jobs, 10_000, 0, 16, 100_000).collect())
+    assert len(ledger.windows(jobs, 10_000, 0, 2, 100_000).where("ready").collect()) == 2
+    assert ledger.windows(spark.createDataFrame([row(1, status="failed"), row(2)], kind), 10_000, 0, 16, 0).count() == 0
+    assert [r.job_id for r in ledger.claim(jobs, 10_000, 0, 2, 0).orderBy("place").collect()] == ["j01", "j02"]
+
+
+def test_backoff_stays_within_its_limits(spark):
+    rows = spark.range(1, 30).withColumn("n", F.col("id").cast("int")).select(X.backoff_seconds(F.col("n"), jitter_key=F.col("id").cast("string")).alias("s")).collect()
+    assert all(16 <= r.s <= 1024 for r in rows)
+
+
+def test_insight_without_samples_has_no_row(spark):
+    from tidelog.operators import stats
+
+    names = "failed_fragments failed_permanent_jobs snapshot_handoff_waiting_jobs failed_snapshot_handoff_jobs failed_retryable_jobs failed_unclassified_jobs failed_jobs rows_per_minute jobs_per_minute sequence_lag pending_fragments pending_jobs running_jobs wal_bytes_behind".split()
+    kind = "sampler_status string, slot_active boolean, " + ", ".join(f"{n} long" for n in names)
+    row = lambda sampler, **m: (sampler, None, *[m.get(n) for n in names])
+    got = stats.insight(spark.createDataFrame([row("disabled"), row("disabled", pending_jobs=0), row("ok"), row("ok", failed_jobs=2, failed_retryable_jobs=2)], kind))
+    assert sorted((r.status, r.blocker) for r in got.collect()) == [("backlogged", "retryable_job_backoff"), ("idle", "none"), ("unknown", "cdc_sampler")]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column
@@ -167,27 +168,63 @@ def backoff_seconds(attempt: Column, floor: int = BACKOFF_FLOOR, cap: int = BACK
     doubled = F.lit(float(floor)) * F.pow(F.lit(2.0), F.least(F.greatest(attempt - 1, F.lit(0)), F.lit(BACKOFF_DOUBLINGS)))
     base = F.least(doubled, F.lit(float(cap)))
     if jitter_key is not None:
-        base = F.greatest(F.lit(float(floor)), base * (1 - JITTER + 2 * JITTER * F.pmod(F.xxhash64(jitter_key, attempt), F.lit(1000)) / 999))
+        spread = base * (1 - JITTER + 2 * JITTER * F.pmod(F.xxhash64(jitter_key, attempt), F.lit(1000)) / 999)
+        base = F.least(F.greatest(F.lit(float(floor)), spread), F.lit(float(cap)))
     return base.cast("long")
 
 
-#: Error texts by retry class, tried in order.
-RETRY_CLASSES = (
-    ("permanent", ("schema policy", "lock held", "permission", "invalid")),
-    ("backpressure", ("quota", "rate limit", "too many")),
+#: Reasons that a warehouse names in an error, by retry class, tried in order.
+WAREHOUSE_REASONS = (
+    ("backpressure", "jobratelimitexceeded quotaexceeded ratelimitexceeded".split()),
+    ("transient", "backenderror internalerror jobbackenderror jobinternalerror tableunavailable".split()),
+    ("permanent", "accessdenied billingnotenabled billingtierlimitexceeded duplicate invalid invalidquery invaliduser notfound notimplemented resourcesexceeded responsetoolarge".split()),
 )
 
 
-def retry_class(error: Column) -> Column:
-    low, out = F.lower(error), None
-    for name, words in RETRY_CLASSES:
-        hit = F.lit(False)
-        for w in words:
-            hit = hit | low.contains(w)
-        out = F.when(hit, name) if out is None else out.when(hit, name)
+def _has_all(text: Column, *words: str) -> Column:
+    return reduce(lambda a, b: a & b, [F.contains(text, F.lit(w)) for w in words])
+
+
+def retry_class(error: Column, kind: Column | None = None) -> Column:
+    """Class of an error by its kind (`policy`, `lock`) or else its text; unknown ones are transient."""
+    low = F.lower(error)
+    out = F.when(kind.isin("policy", "lock"), "permanent") if kind is not None else F.when(F.lit(False), "")
+    out = out.when(_has_all(low, "quota exceeded", "dml jobs writing to a table"), "backpressure")
+    out = out.when(_has_all(low, "destination deleted/expired during operation"), "transient")
+    for name, reasons in WAREHOUSE_REASONS:
+        out = out.when(low.rlike(f"bigquery_reason=(?:{'|'.join(reasons)})"), name)
     return out.otherwise("transient")
 
 
+#: Texts of old errors and the reason that each stands for, tried in order.
+OLD_REASONS = (
+    ("schema change detected", "schema_blocked"), ("publication", "publication_blocked"),
+    ("snapshot blocked for table(s):", "snapshot_blocked"), ("already locked", "lock_contention"),
+)
+#: Texts of old job errors that a retry may cure.
+OLD_TRANSIENT = ("failed to process cdc batch-load job", "merging staging bigquery table", "bigquery query returned errors")
+
+
+def old_error_reason(error: Column) -> Column:
+    """Reason of an error that was stored before reasons were; NULL without an error."""
+    low, out = F.lower(error), F.when(error.isNull(), F.lit(None).cast("string"))
+    for text, reason in OLD_REASONS:
+        out = out.when(F.contains(low, F.lit(text)), reason)
+    return out.otherwise("last_run_failed")
+
+
+def old_retry_class(error: Column) -> Column:
+    """Retry class of a job that was stored before classes were; NULL without an error."""
+    low = F.lower(error)
+    out = F.when(error.isNull(), F.lit(None).cast("string")).when(_has_all(low, "quota exceeded", "dml jobs writing to a table"), "backpressure")
+    return out.when(reduce(lambda a, b: a | b, [F.contains(low, F.lit(t)) for t in OLD_TRANSIENT]), "transient").otherwise("permanent")
+
+
+def old_reducer_eligible(barrier: Column, payload: Column) -> Column:
+    """A stored job may be reduced if it has no barrier and its payload names a staging schema."""
+    return barrier.isNull() & F.get_json_object(payload, "$.staging_schema").isNotNull()
+
+
 def stage_of(status: Column) -> Column:
     return F.when(status == "pending", "received").when(status == "running", "applying").when(status == "succeeded", "applied").otherwise("failed")
 

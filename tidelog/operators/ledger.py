@@ -12,6 +12,9 @@ from .changes import latest
 STATUSES = ("pending", "running", "succeeded", "failed")
 STAGES = ("received", "staged", "loaded", "apply_pending", "applying", "applied", "failed", "blocked")
 STALE_MS, WINDOW_MS, MINUTE_MS = 90_000, 900_000, 60_000
+RETRYABLE = ("backpressure", "transient")
+#: Fixed value: how the error of a job begins that waits for its table's snapshot.
+HANDOFF = "CDC batch-load waiting for snapshot handoff"
 
 
 def age_seconds(now: int, ms: Column) -> Column:
@@ -19,18 +22,24 @@ def age_seconds(now: int, ms: Column) -> Column:
 
 
 def queue_summary(jobs: DataFrame, now: int) -> DataFrame:
-    """Counts by status and stage, ages of the oldest, and the mean time to success, in one pass."""
-    n = lambda cond: F.count_if(cond)
-    s, g = F.col("status"), F.col("stage")
-    oldest = lambda cond, c="created_at": F.min(F.when(cond, F.col(c)))
-    counts = {f"{x}_jobs": n(s == x) for x in STATUSES} | {f"{x}_stage_jobs": n((g == x) & s.isin("pending", "running")) for x in STAGES}
-    counts |= {f"{x}_failed_jobs": n((s == "failed") & (F.col("retry_class") == x)) for x in ("permanent", "backpressure", "transient")}
-    counts |= {"retried_jobs": n(F.col("attempt_count") > 1), "barrier_jobs": n(F.col("barrier_kind").isNotNull())}
-    firsts = {f"oldest_{x}": oldest(s == x) for x in ("pending", "running", "failed")} | {f"oldest_{x}_stage": oldest((g == x) & s.isin("pending", "running")) for x in ("received", "staged", "loaded")}
-    out = jobs.agg(F.count("*").alias("total_jobs"), *[c.alias(k) for k, c in counts.items()], *[c.alias(k) for k, c in firsts.items()],
-                   F.avg(F.when(s == "succeeded", F.col("updated_at") - F.col("created_at"))).alias("avg_ms"))
-    ages = [age_seconds(now, F.col(k)).alias(f"{k}_age_s") for k in firsts]
-    return out.select("total_jobs", *counts, *ages, F.round("avg_ms", 3).alias("avg_success_ms"))
+    """Per connection: counts by status, failure and stage, recent completions, ages of the oldest, in one pass."""
+    status, stage, kind = F.col("status"), F.col("stage"), F.col("retry_class")
+    failed, done = status == "failed", status == "succeeded"
+    handoff = F.coalesce(F.col("last_error").startswith(HANDOFF), F.lit(False))
+    counts = {"total_jobs": F.lit(True)} | {f"{x}_jobs": status == x for x in STATUSES}
+    counts |= {
+        "failed_retryable_jobs": failed & kind.isin(*RETRYABLE), "failed_permanent_jobs": failed & (kind == "permanent"),
+        "failed_snapshot_handoff_jobs": failed & kind.isin(*RETRYABLE) & handoff,
+        "failed_unclassified_jobs": failed & ~F.coalesce(kind.isin(*RETRYABLE, "permanent"), F.lit(False)),
+        "snapshot_handoff_waiting_jobs": (stage == "blocked") & handoff, "failed_stage_jobs": stage == "failed",
+        "jobs_per_minute": done & (F.col("updated_at") >= now - MINUTE_MS),
+    }
+    counts |= {f"{x}_jobs": stage == x for x in ("received", "staged", "loaded", "blocked", "applying", "applied")}
+    oldest = {"pending": (status == "pending", "created_at"), "running": (status == "running", "updated_at")}
+    oldest |= {x: (stage == x, "updated_at") for x in ("received", "loaded", "blocked", "applying")}
+    ages = [age_seconds(now, F.min(F.when(cond, F.col(c)))).alias(f"oldest_{x}_age_s") for x, (cond, c) in oldest.items()]
+    recent = F.avg(F.when(done & (F.col("updated_at") >= now - WINDOW_MS), F.col("updated_at") - F.col("created_at")))
+    return jobs.groupBy("connection_id").agg(*[F.count_if(c).alias(k) for k, c in counts.items()], *ages, F.round(recent, 3).alias("avg_job_duration_ms"))
 
 
 def step_rows(payload: Column) -> Column:
@@ -46,8 +55,8 @@ def top_queued(jobs: DataFrame, k: int = 5) -> DataFrame:
 
 def top_loaded(jobs: DataFrame, now: int, k: int = 5, window_ms: int = WINDOW_MS) -> DataFrame:
     j = jobs.where((F.col("status") == "succeeded") & (F.col("updated_at") >= now - window_ms)).withColumn("rows", step_rows(F.col("payload_json")))
-    took = F.sum(F.greatest(F.col("updated_at") - F.col("created_at"), F.lit(0)))
-    return j.groupBy("table_key").agg(F.count("*").alias("succeeded_jobs"), F.sum("rows").alias("loaded_rows"), took.alias("total_ms")).orderBy(F.desc("total_ms"), F.desc("loaded_rows"), "table_key").limit(k)
+    took = F.sum(F.col("updated_at") - F.col("created_at"))
+    return j.groupBy("table_key").agg(F.count("*").alias("succeeded_jobs"), F.sum("rows").alias("loaded_rows"), took.alias("total_ms")).orderBy(F.desc("total_ms"), F.desc("succeeded_jobs"), "table_key").limit(k)
 
 
 def rows_per_minute(jobs: DataFrame, now: int) -> DataFrame:
@@ -97,22 +106,34 @@ def heads(jobs: DataFrame) -> DataFrame:
 
 
 def windows(jobs: DataFrame, now: int, stale_before: int, most: int, fill_ms: int) -> DataFrame:
-    """Jobs that a reducer may claim together, per table: the head, then what follows it unblocked."""
-    fits = (F.col("status") == "pending") & (F.col("stage") == "loaded") & F.col("barrier_kind").isNull() & F.col("reducer_eligible")
-    h = heads(jobs).select("connection_id", "table_key", F.col("job_id").alias("head_id"), F.col("first_sequence").alias("head_sequence"), F.col("created_at").alias("head_created"),
-                           F.col("status").alias("head_status"), F.col("stage").alias("head_stage"), F.col("updated_at").alias("head_updated"),
-                           (F.col("barrier_kind").isNotNull() | ~F.col("reducer_eligible")).alias("head_alone"))
-    stale = (F.col("head_status") == "running") & (F.col("head_updated") < stale_before)
-    h = h.withColumn("head_stale", stale).where(F.col("head_stale") | ((F.col("head_status") == "pending") & (F.col("head_stage") == "loaded")))
-    j = jobs.join(h, ["connection_id", "table_key"]).where((F.col("first_sequence") > F.col("head_sequence")) | ((F.col("first_sequence") == F.col("head_sequence")) & (F.col("job_id") >= F.col("head_id"))))
-    w = W.partitionBy("connection_id", "table_key").orderBy("first_sequence", "created_at", "job_id")
-    is_head = F.col("job_id") == F.col("head_id")
-    stop = F.when(is_head, F.col("head_alone").cast("int")).otherwise((~fits).cast("int"))
-    j = j.withColumn("_before", F.coalesce(F.max(stop).over(w.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).withColumn("_rn", F.row_number().over(w))
-    j = j.where((is_head | ((F.col("_before") == 0) & fits)) & (F.col("_rn") <= most))
-    per = W.partitionBy("connection_id", "table_key")
-    ready = F.col("head_stale") | F.col("head_alone") | (F.lit(now) - F.col("head_created") >= fill_ms) | (F.count("*").over(per) >= most)
-    return j.withColumn("ready", ready).select("connection_id", "table_key", "job_id", "head_id", F.col("_rn").cast("long").alias("place"), "ready")
+    """Jobs that a reducer may take together, per table, and whether the window is ready.
+
+    The head is loaded, or runs and is stale. Later jobs join it up to the first sequence that holds
+    another job which does not fit; that sequence comes from one aggregate per table.
+    """
+    key = ["connection_id", "table_key"]
+    fits = F.coalesce((F.col("status") == "pending") & (F.col("stage") == "loaded") & F.col("barrier_kind").isNull() & F.col("reducer_eligible"), F.lit(False))
+    alone = F.col("barrier_kind").isNotNull() | ~F.coalesce("reducer_eligible", F.lit(False))
+    stale = (F.col("status") == "running") & (F.col("updated_at") < stale_before)
+    h = heads(jobs).where(stale | ((F.col("status") == "pending") & (F.col("stage") == "loaded")))
+    h = h.select(*key, F.col("job_id").alias("head_id"), F.col("first_sequence").alias("head_sequence"), alone.alias("head_alone"),
+                 ((F.col("status") == "running") | (F.col("updated_at") <= now - fill_ms) | alone).alias("head_ready"))
+    j = jobs.join(h, key).where(F.col("first_sequence") >= F.col("head_sequence")).withColumn("is_head", F.col("job_id") == F.col("head_id")).withColumn("fits", fits)
+    stops = j.groupBy(*key).agg(F.min(F.when(~F.col("is_head") & ~F.col("fits"), F.col("first_sequence"))).alias("stop"))
+    after = F.col("fits") & ~F.col("head_alone") & (F.col("first_sequence") > F.col("head_sequence")) & (F.col("stop").isNull() | (F.col("first_sequence") <= F.col("stop")))
+    j = j.join(stops, key).where(F.col("is_head") | after)
+    counts = j.groupBy(*key).agg(F.count("*").alias("window_jobs"))
+    place = F.row_number().over(W.partitionBy(*key).orderBy("first_sequence", "created_at", "job_id"))
+    j = j.withColumn("place", place.cast("long")).where(F.col("place") <= most).join(counts, key)
+    return j.select(*key, "job_id", "head_id", "place", (F.col("head_ready") | (F.col("window_jobs") >= most)).alias("ready"))
+
+
+def claim(jobs: DataFrame, now: int, stale_before: int, most: int, fill_ms: int) -> DataFrame:
+    """The one window that a connection's next reducer takes: the ready one with the earliest head."""
+    w = windows(jobs, now, stale_before, most, fill_ms).where("ready")
+    order = jobs.select(F.col("job_id").alias("head_id"), F.struct("first_sequence", "created_at", "job_id").alias("_at"))
+    first = w.join(order, "head_id").groupBy("connection_id").agg(F.min_by("head_id", "_at").alias("head_id"))
+    return w.join(first, ["connection_id", "head_id"], "left_semi").select("connection_id", "table_key", "job_id", "place")
 
 
 def doomed(jobs: DataFrame, fragments: DataFrame) -> DataFrame:
@@ -171,6 +192,11 @@ def requeued(jobs: DataFrame, now: int) -> DataFrame:
     return out.withColumn("status", F.when(F.col("_due"), "pending").otherwise(F.col("status"))).withColumn("stage", F.when(F.col("_due"), "received").otherwise(F.col("stage"))).drop("_due")
 
 
+def stage_for(stage: Column, status: Column) -> Column:
+    """What is written for a stage: one still `received` follows a status that has moved on."""
+    return F.when((stage == "received") & (status != "pending"), stage_of(status)).otherwise(stage)
+
+
 def scan(items: DataFrame, statuses: list[str]) -> DataFrame:
     """Items of these statuses, a missing stage following from the status."""
     return items.where(F.col("status").isin(statuses)).withColumn("stage", F.coalesce("stage", stage_of(F.col("status"))))

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-MEGABYTE = 1_048_576
+#: Bytes of log that an idle connection may lag behind, and tables that a status shows.
+IDLE_GAP, MOST_SHOWN = 1_000_000, 25
 
 
 def run_totals(measures: DataFrame, keys: list[str], counters: list[str]) -> DataFrame:
@@ -16,11 +19,11 @@ def run_totals(measures: DataFrame, keys: list[str], counters: list[str]) -> Dat
 def attributed_ms(parts: DataFrame, by: str, order: str, rows: str, total_ms: str) -> DataFrame:
     """A commit's extract time by share of rows; the last table takes the remainder."""
     per, w = W.partitionBy(by), W.partitionBy(by).orderBy(order)
-    share = F.floor(F.col(total_ms) * F.col(rows) / F.greatest(F.sum(rows).over(per), F.lit(1))).cast("long")
+    share = F.floor(F.col(total_ms) * F.greatest(F.col(rows), F.lit(1)) / F.greatest(F.sum(rows).over(per), F.lit(1))).cast("long")
     p = parts.withColumn("_share", share)
     last = F.row_number().over(W.partitionBy(by).orderBy(F.desc(order))) == 1
     before = F.coalesce(F.sum("_share").over(w.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    return p.withColumn("attributed_ms", F.when(last, F.col(total_ms) - before).otherwise(F.col("_share")).cast("long")).drop("_share")
+    return p.withColumn("attributed_ms", F.when(last, F.greatest(F.col(total_ms) - before, F.lit(0))).otherwise(F.col("_share")).cast("long")).drop("_share")
 
 
 def rates(snapshots: DataFrame, run: str, at_ms: str, counter: str) -> DataFrame:
@@ -50,28 +53,79 @@ def table_progress(config: DataFrame, checkpoints: DataFrame, stats: DataFrame,
     return config.join(checkpoints, key, "full_outer").join(stats, key, "full_outer")
 
 
-def active_tables(progress: DataFrame, phase: str = "phase", most: int = 25) -> DataFrame:
-    return progress.where(F.col(phase).isin("snapshotting", "streaming", "blocked")).orderBy("table_key").limit(most)
+def active_tables(progress: DataFrame, most: int = MOST_SHOWN) -> DataFrame:
+    """Tables in trouble, with snapshot chunks, or with rows moved in this run; the first by name."""
+    moved = [F.coalesce(F.col(c), F.lit(0)) > 0 for c in ("snapshot_chunks_total", "rows_read", "rows_written", "rows_deleted", "rows_upserted")]
+    return progress.where(reduce(lambda a, b: a | b, moved, F.coalesce(F.col("phase").isin("error", "blocked"), F.lit(False)))).orderBy("table_key").limit(most)
+
+
+def snapshot_tables(progress: DataFrame, most: int = MOST_SHOWN) -> DataFrame:
+    """Tables whose snapshot has chunks left; the first by name."""
+    return progress.where("snapshot_chunks_total > 0 and snapshot_chunks_complete < snapshot_chunks_total").orderBy("table_key").limit(most)
+
+
+def connection_mode(incomplete: Column, log_kind: Column, runtime: Column) -> Column:
+    """snapshot or mixed while chunks are left, else by the kind of log (`stream`, `cdc`, none)."""
+    while_open = F.when(runtime == "following", "mixed").otherwise("snapshot")
+    return F.when(incomplete, while_open).when(log_kind == "stream", "kinesis").when(log_kind == "cdc", "cdc").otherwise("scheduled_polling")
 
 
-def insight(m: dict[str, Column]) -> tuple[Column, Column]:
-    """(status, reason) from a row of measures, the first rule that holds; else idle."""
-    z = lambda k: F.coalesce(m[k], F.lit(0))
+def connection_phase(status: Column, incomplete: Column, log_kind: Column, runtime: Column, error_reason: Column) -> tuple[Column, Column]:
+    """(phase, reason) of a connection from its last run, its snapshot and what its log reader does."""
+    reason = F.coalesce(error_reason, F.lit("last_run_failed"))
+    stopped = reason.isin("schema_blocked", "publication_blocked")
+    running = status == "running"
     rules = [
-        (~F.coalesce(m["sampled"], F.lit(False)) & m["pending_jobs"].isNull(), "unknown", "no_sample"),
-        (F.coalesce(m["continuity_lost"], F.lit(False)), "blocked", "continuity_lost"),
-        (z("failed_permanent") > 0, "blocked", "permanent_failure"),
-        (z("failed_fragments") > 0, "blocked", "failed_fragment"),
-        (z("failed_jobs") > 0, "blocked", "failed_job"),
-        (z("snapshot_blocked_jobs") > 0, "watch", "snapshot_handoff"),
-        (F.coalesce(m["backpressure"], F.lit(False)), "backlogged", "backpressure"),
-        (z("running_jobs") > 0, "moving", "applying"),
-        (z("rows_per_minute") > 0, "moving", "loading"),
-        (z("pending_jobs") > 0, "backlogged", "queued"),
-        (z("pending_fragments") > 0, "backlogged", "fragments"),
-        (z("wal_gap_bytes") > MEGABYTE, "watch", "wal_gap"),
-    ]
-    status, reason = F.when(rules[0][0], rules[0][1]), F.when(rules[0][0], rules[0][2])
-    for cond, s, r in rules[1:]:
-        status, reason = status.when(cond, s), reason.when(cond, r)
-    return status.otherwise("idle"), reason.otherwise("idle")
+        (running & incomplete, "snapshotting", "snapshot_in_progress"), (running & (log_kind == "stream"), "running", "kinesis_following"),
+        (running & (runtime == "following"), "running", "cdc_following"), (running & (runtime == "continuity_lost"), "blocked", "cdc_continuity_lost"),
+        (running & (runtime == "unknown"), "starting", "cdc_state_unknown"), (running & (runtime == "initializing"), "starting", "cdc_initializing"),
+        (running, "syncing", "sync_in_progress"), ((status == "failed") & stopped, "blocked", reason), (status == "failed", "error", reason),
+        (status == "success", "healthy", "healthy"),
+    ]
+    return _first(rules, "idle", "never_synced")
+
+
+def _first(rules: list[tuple], *otherwise) -> tuple[Column, ...]:
+    """The values of the first rule that holds (an unknown condition does not), one column for each place."""
+    as_column = lambda v: v if isinstance(v, Column) else F.lit(v)
+    return tuple(F.coalesce(*[F.when(r[0], as_column(r[k + 1])) for r in rules], as_column(otherwise[k])) for k in range(len(otherwise)))
+
+
+def insight(rows: DataFrame) -> DataFrame:
+    """status and blocker of each row of measures; no row if nothing samples it and both summaries are absent.
+
+    Missing counts are none. Work that waits or retries counts as moving while jobs complete.
+    """
+    z = lambda c: F.coalesce(F.col(c), F.lit(0))
+    completes = (z("rows_per_minute") > 0) | (z("jobs_per_minute") > 0)
+    queue = (z("pending_fragments") > 0) | (z("pending_jobs") > 0) | (z("running_jobs") > 0)
+    gap = (z("wal_bytes_behind") >= IDLE_GAP) & ~queue
+    all_failed = lambda *cs: (z(cs[0]) > 0) & (sum((z(c) for c in cs[1:]), z(cs[0])) == z("failed_jobs"))
+    waits, watched = F.when(completes, "moving").otherwise("backlogged"), F.when(completes, "watch").otherwise("backlogged")
+    status, blocker = _first(
+        [
+            (~F.col("sampler_status").eqNullSafe("ok"), "unknown", "cdc_sampler"),
+            ((z("failed_fragments") > 0) | (z("failed_permanent_jobs") > 0), "blocked", "failed_work"),
+            (z("snapshot_handoff_waiting_jobs") > 0, waits, "snapshot_handoff_wait"), (all_failed("failed_snapshot_handoff_jobs"), waits, "snapshot_handoff_retry"),
+            (all_failed("failed_retryable_jobs"), waits, "retryable_job_backoff"),
+            (all_failed("failed_unclassified_jobs", "failed_retryable_jobs"), watched, "unclassified_failed_jobs"),
+            (z("failed_jobs") > 0, "blocked", "failed_work"), (completes, "moving", "none"),
+            ((F.col("slot_active") == F.lit(False)) & gap, "blocked", "slot_inactive"), ((z("sequence_lag") > 0) & ~queue, "blocked", "feedback_gap"),
+            (gap, "watch", "none"), (queue, "backlogged", "staging_or_reducer_backlog"),
+        ],
+        "idle", "none",
+    )
+    shown = ~F.col("sampler_status").eqNullSafe("disabled") | F.col("pending_jobs").isNotNull() | F.col("pending_fragments").isNotNull()
+    return rows.where(shown).withColumns({"status": status, "blocker": blocker})
+
+
+def assembled(checkpoints: DataFrame) -> DataFrame:
+    """Per connection: entities, newest change, and how many have snapshot chunks left, from the stored JSON."""
+    parsed = F.from_json("checkpoint_json", "snapshot_chunks array<struct<complete boolean>>")
+    open_ = F.coalesce(F.exists(parsed["snapshot_chunks"], lambda c: ~c["complete"]), F.lit(False))
+    return checkpoints.groupBy("connection_id").agg(F.count("*").alias("entities"), F.max("updated_at").alias("newest"), F.count_if(open_).alias("incomplete"))
+
+
+def persisted(stored: DataFrame, run: DataFrame, key: str = "run_id") -> DataFrame:
+    """The stored rows with all of the given runs replaced, so a repeated write changes nothing."""
+    return stored.join(run.select(key).distinct(), key, "left_anti").unionByName(run)

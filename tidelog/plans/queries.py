@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import scalars as X
 from ..operators import changes, incremental, ledger, merge, schema, stats
 from ..sources import dynamic
+from ..storage import json_rows as encoded_rows
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -278,17 +279,30 @@ def reconcile_counts(spark, d):
 
 # --- ledger -----------------------------------------------------------------------------------------
 
-_counts = [f"count(*) FILTER (WHERE status = '{s}') AS {s}_jobs" for s in ledger.STATUSES]
-_counts += [f"count(*) FILTER (WHERE stage = '{s}' AND status IN ('pending','running')) AS {s}_stage_jobs" for s in ledger.STAGES]
-_counts += [f"count(*) FILTER (WHERE status = 'failed' AND retry_class = '{c}') AS {c}_failed_jobs" for c in ("permanent", "backpressure", "transient")]
-_counts += ["count(*) FILTER (WHERE attempt_count > 1) AS retried_jobs", "count(*) FILTER (WHERE barrier_kind IS NOT NULL) AS barrier_jobs"]
-_ages = [f"CAST(greatest({NOW} - min(created_at) FILTER (WHERE status = '{s}'), 0) // 1000 AS BIGINT) AS oldest_{s}_age_s" for s in ("pending", "running", "failed")]
-_ages += [f"CAST(greatest({NOW} - min(created_at) FILTER (WHERE stage = '{s}' AND status IN ('pending','running')), 0) // 1000 AS BIGINT) AS oldest_{s}_stage_age_s" for s in ("received", "staged", "loaded")]
-
-
-@query(JOBS + f"SELECT count(*) AS total_jobs, {', '.join(_counts + _ages)}, round(avg(updated_at - created_at) FILTER (WHERE status = 'succeeded'), 3) AS avg_success_ms FROM jobs")
+_HANDOFF = "CDC batch-load waiting for snapshot handoff"
+_WHEN = {f"{x}_jobs": f"status = '{x}'" for x in ("pending", "running", "succeeded", "failed")} | {
+    "failed_retryable_jobs": "status = 'failed' AND retry_class IN ('backpressure','transient')", "failed_permanent_jobs": "status = 'failed' AND retry_class = 'permanent'",
+    "failed_snapshot_handoff_jobs": f"status = 'failed' AND retry_class IN ('backpressure','transient') AND last_error LIKE '{_HANDOFF}%'",
+    "failed_unclassified_jobs": "status = 'failed' AND (retry_class IS NULL OR retry_class NOT IN ('backpressure','transient','permanent'))",
+    "received_jobs": "stage = 'received'", "staged_jobs": "stage = 'staged'", "loaded_jobs": "stage = 'loaded'", "blocked_jobs": "stage = 'blocked'",
+    "snapshot_handoff_waiting_jobs": f"stage = 'blocked' AND last_error LIKE '{_HANDOFF}%'", "applying_jobs": "stage = 'applying'", "applied_jobs": "stage = 'applied'",
+    "failed_stage_jobs": "stage = 'failed'", "jobs_per_minute": f"status = 'succeeded' AND updated_at >= {NOW - 60000}",
+}
+_AGES = {"pending": ("created_at", "status = 'pending'"), "running": ("updated_at", "status = 'running'")} | {x: ("updated_at", f"stage = '{x}'") for x in ("received", "loaded", "blocked", "applying")}
+_SUMMARY = ", ".join(
+    [f"count(*) FILTER (WHERE {w}) AS {k}" for k, w in _WHEN.items()]
+    + [f"CAST(greatest({NOW} - min({c}) FILTER (WHERE {w}), 0) // 1000 AS BIGINT) AS oldest_{k}_age_s" for k, (c, w) in _AGES.items()]
+)
+
+
+@query(JOBS + f""", j AS (SELECT * REPLACE (CASE WHEN attempt_count = 5 THEN 'blocked' ELSE stage END AS stage, CASE WHEN attempt_count <> 2 THEN retry_class END AS retry_class),
+  CASE WHEN job_id LIKE '%1' THEN '{_HANDOFF} of t' WHEN job_id LIKE '%5' THEN '{_HANDOFF}' WHEN job_id LIKE '%3' THEN 'x {_HANDOFF}' END AS last_error FROM jobs)
+SELECT connection_id, count(*) AS total_jobs, {_SUMMARY}, round(avg(updated_at - created_at) FILTER (WHERE status = 'succeeded' AND updated_at >= {NOW - 900000}), 3) AS avg_job_duration_ms FROM j GROUP BY 1""")
 def queue_summary(spark, d):
-    return ledger.queue_summary(jobs(spark, d), NOW)
+    ends = lambda x: F.col("job_id").endswith(x)
+    error = F.when(ends("1"), _HANDOFF + " of t").when(ends("5"), _HANDOFF).when(ends("3"), "x " + _HANDOFF)
+    j = jobs(spark, d).withColumn("last_error", error).withColumn("retry_class", F.when(F.col("attempt_count") != 2, F.col("retry_class")))
+    return ledger.queue_summary(j.withColumn("stage", F.when(F.col("attempt_count") == 5, "blocked").otherwise(F.col("stage"))), NOW)
 
 
 @query(JOBS + "SELECT table_key, count(*) AS queued_jobs, CAST(sum(step_rows) AS BIGINT) AS queued_rows FROM jobs WHERE status IN ('pending','running') GROUP BY 1 ORDER BY 3 DESC, 2 DESC, 1 LIMIT 5")
@@ -296,7 +310,7 @@ def top_queued_tables(spark, d):
     return ledger.top_queued(jobs(spark, d))
 
 
-@query(JOBS + f"SELECT table_key, count(*) AS succeeded_jobs, CAST(sum(step_rows) AS BIGINT) AS loaded_rows, CAST(sum(greatest(updated_at - created_at, 0)) AS BIGINT) AS total_ms FROM jobs WHERE status = 'succeeded' AND updated_at >= {NOW - 900000} GROUP BY 1 ORDER BY 4 DESC, 3 DESC, 1 LIMIT 5")
+@query(JOBS + f"SELECT table_key, count(*) AS succeeded_jobs, CAST(sum(step_rows) AS BIGINT) AS loaded_rows, CAST(sum(updated_at - created_at) AS BIGINT) AS total_ms FROM jobs WHERE status = 'succeeded' AND updated_at >= {NOW - 900000} GROUP BY 1 ORDER BY 4 DESC, 2 DESC, 1 LIMIT 5")
 def top_loaded_tables(spark, d):
     return ledger.top_loaded(jobs(spark, d), NOW)
 
@@ -336,19 +350,33 @@ def ready_heads(spark, d):
     return ledger.heads(jobs(spark, d)).select("connection_id", "table_key", "job_id", "first_sequence")
 
 
-WINDOW = """, live AS (SELECT * FROM jobs WHERE status <> 'failed' AND (status <> 'running' OR first_sequence > 50) AND NOT (status = 'pending' AND stage <> 'loaded' AND first_sequence <= 40)),
-heads AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY connection_id, table_key ORDER BY first_sequence, created_at, job_id) AS rn FROM live WHERE status IN ('pending','running','failed')) WHERE rn = 1),
-h AS (SELECT connection_id, table_key, job_id AS head_id, first_sequence AS hs, created_at AS hc, (barrier_kind IS NOT NULL OR NOT reducer_eligible) AS alone, (status = 'running' AND updated_at < 999990000) AS stale FROM heads WHERE (status = 'running' AND updated_at < 999990000) OR (status = 'pending' AND stage = 'loaded')),
-j AS (SELECT l.*, h.head_id, h.hc, h.alone, h.stale, (l.job_id = h.head_id) AS is_head, (l.status = 'pending' AND l.stage = 'loaded' AND l.barrier_kind IS NULL AND l.reducer_eligible) AS fits FROM live l JOIN h USING (connection_id, table_key) WHERE l.first_sequence > h.hs OR (l.first_sequence = h.hs AND l.job_id >= h.head_id)),
-k AS (SELECT *, coalesce(max(CASE WHEN is_head THEN CAST(alone AS INT) ELSE CAST(NOT fits AS INT) END) OVER (PARTITION BY table_key ORDER BY first_sequence, created_at DESC, job_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, row_number() OVER (PARTITION BY table_key ORDER BY first_sequence, created_at DESC, job_id) AS place FROM j),
-c AS (SELECT * FROM k WHERE (is_head OR (before = 0 AND fits)) AND place <= 16)
-SELECT connection_id, table_key, job_id, head_id, place, (stale OR alone OR 1000000000 - hc >= 2000 OR count(*) OVER (PARTITION BY table_key) >= 16) AS ready FROM c"""
+_LIVE = "status IN ('pending', 'running') AND NOT (status = 'pending' AND stage <> 'loaded' AND first_sequence < 400) AND NOT (status = 'running' AND first_sequence < 300)"
+_FITS = "{0}.status = 'pending' AND {0}.stage = 'loaded' AND {0}.barrier_kind IS NULL AND {0}.reducer_eligible"
+WINDOW = f""", live AS (SELECT * FROM jobs WHERE {_LIVE}),
+h AS (SELECT * FROM live WHERE status IN ('pending','running','failed') QUALIFY row_number() OVER (PARTITION BY connection_id, table_key ORDER BY first_sequence, created_at, job_id) = 1),
+head AS (SELECT * FROM h WHERE (status = 'pending' AND stage = 'loaded') OR (status = 'running' AND updated_at < {NOW - 10000})),
+candidates AS (SELECT j.*, head.job_id AS head_id, head.status = 'running' OR head.updated_at <= {NOW - 2000} OR head.barrier_kind IS NOT NULL OR NOT head.reducer_eligible AS head_ready
+  FROM live j JOIN head USING (connection_id, table_key)
+  WHERE j.job_id = head.job_id OR (head.barrier_kind IS NULL AND head.reducer_eligible AND {_FITS.format("j")} AND j.first_sequence > head.first_sequence
+    AND NOT EXISTS (SELECT 1 FROM live b WHERE b.connection_id = j.connection_id AND b.table_key = j.table_key AND b.job_id <> head.job_id
+      AND b.first_sequence >= head.first_sequence AND b.first_sequence < j.first_sequence AND NOT ({_FITS.format("b")})))),
+placed AS (SELECT *, row_number() OVER (PARTITION BY connection_id, table_key ORDER BY first_sequence, created_at, job_id) AS place,
+  head_ready OR count(*) OVER (PARTITION BY connection_id, table_key) >= 16 AS ready FROM candidates) """
+
 
+def live_jobs(spark, d) -> DataFrame:
+    return jobs(spark, d).where(_LIVE)
 
-@query(JOBS + WINDOW.replace("created_at DESC", "created_at"))
+
+@query(JOBS + WINDOW + "SELECT connection_id, table_key, job_id, head_id, place, ready FROM placed WHERE place <= 16")
 def reducer_window(spark, d):
-    j = jobs(spark, d).where("status <> 'failed' and (status <> 'running' or first_sequence > 50) and not (status = 'pending' and stage <> 'loaded' and first_sequence <= 40)")
-    return ledger.windows(j, NOW, NOW - 10_000, 16, 2_000)
+    return ledger.windows(live_jobs(spark, d), NOW, NOW - 10_000, 16, 2_000)
+
+
+@query(JOBS + WINDOW + """, first AS (SELECT l.connection_id, l.job_id FROM live l WHERE l.job_id IN (SELECT head_id FROM placed WHERE ready) QUALIFY row_number() OVER (PARTITION BY l.connection_id ORDER BY l.first_sequence, l.created_at, l.job_id) = 1)
+SELECT p.connection_id, p.table_key, p.job_id, p.place FROM placed p JOIN first ON p.head_id = first.job_id AND p.connection_id = first.connection_id WHERE p.place <= 16""")
+def reducer_claim(spark, d):
+    return ledger.claim(live_jobs(spark, d), NOW, NOW - 10_000, 16, 2_000)
 
 
 @query(FRAGMENTS + """, j AS (SELECT DISTINCT job_id, CASE WHEN CAST(substr(job_id, 2) AS BIGINT) % 3 = 0 THEN 'running' ELSE 'succeeded' END AS status FROM fragments)
@@ -476,15 +504,73 @@ def recent_runs(spark, d):
     return stats.recent_runs(read(spark, d, "orders").select(F.col("o_orderkey").alias("run_id"), X.micros("o_orderdate").alias("started_at")), 20)
 
 
-@query("""SELECT event_id, CASE WHEN event_id % 29 = 0 THEN 'unknown' WHEN event_id % 23 = 0 THEN 'blocked' WHEN event_id % 19 = 0 THEN 'blocked' WHEN event_id % 17 = 0 THEN 'blocked' WHEN event_id % 13 = 0 THEN 'blocked' WHEN event_id % 11 = 0 THEN 'watch' WHEN event_id % 31 = 0 THEN 'backlogged' WHEN event_id % 7 = 0 THEN 'moving' WHEN event_id % 5 = 0 THEN 'moving' WHEN event_id % 3 = 0 THEN 'backlogged' WHEN event_id % 37 = 0 THEN 'backlogged' WHEN event_id % 2 = 0 THEN 'watch' ELSE 'idle' END AS status FROM events""")
+_MEASURES = {
+    "failed_fragments": 29, "failed_permanent_jobs": 31, "snapshot_handoff_waiting_jobs": 11, "failed_snapshot_handoff_jobs": 13, "failed_retryable_jobs": 5, "failed_unclassified_jobs": 7,
+    "rows_per_minute": 17, "jobs_per_minute": 19, "sequence_lag": 3, "pending_fragments": 8, "pending_jobs": 4, "running_jobs": 23,
+}
+MEASURED = f"""WITH m AS (SELECT event_id, ['ok', 'ok', 'ok', 'ok', 'ok', 'ok', 'ok', 'ok', 'ok', 'ok', 'ok', 'ok', 'disabled', 'failed', NULL][event_id % 15 + 1] AS sampler_status, CASE event_id % 3 WHEN 0 THEN true WHEN 1 THEN false END AS slot_active,
+  CASE WHEN event_id % 2 = 0 THEN event_id % 7 * 250000 END AS wal_bytes_behind, CASE WHEN event_id % 10 < 3 THEN event_id % 4 END AS failed_jobs,
+  {', '.join(f"CASE WHEN event_id % 9 <> 0 THEN CAST(event_id % {n} = 0 AS BIGINT) END AS {k}" for k, n in _MEASURES.items())} FROM events),
+z AS (SELECT event_id, sampler_status, slot_active, {', '.join(f"coalesce({k}, 0) AS {k}" for k in [*_MEASURES, "wal_bytes_behind", "failed_jobs"])}, pending_jobs IS NULL AND pending_fragments IS NULL AS bare FROM m),
+q AS (SELECT *, rows_per_minute > 0 OR jobs_per_minute > 0 AS going, pending_fragments = 0 AND pending_jobs = 0 AND running_jobs = 0 AS clear FROM z) """
+
+
+@query(MEASURED + """SELECT event_id, r.s AS status, r.b AS blocker FROM (SELECT event_id, CASE
+  WHEN sampler_status IS DISTINCT FROM 'ok' THEN {'s': 'unknown', 'b': 'cdc_sampler'}
+  WHEN failed_fragments > 0 OR failed_permanent_jobs > 0 THEN {'s': 'blocked', 'b': 'failed_work'}
+  WHEN snapshot_handoff_waiting_jobs > 0 THEN {'s': if(going, 'moving', 'backlogged'), 'b': 'snapshot_handoff_wait'}
+  WHEN failed_snapshot_handoff_jobs > 0 AND failed_snapshot_handoff_jobs = failed_jobs THEN {'s': if(going, 'moving', 'backlogged'), 'b': 'snapshot_handoff_retry'}
+  WHEN failed_retryable_jobs > 0 AND failed_retryable_jobs = failed_jobs THEN {'s': if(going, 'moving', 'backlogged'), 'b': 'retryable_job_backoff'}
+  WHEN failed_unclassified_jobs > 0 AND failed_unclassified_jobs + failed_retryable_jobs = failed_jobs THEN {'s': if(going, 'watch', 'backlogged'), 'b': 'unclassified_failed_jobs'}
+  WHEN failed_jobs > 0 THEN {'s': 'blocked', 'b': 'failed_work'} WHEN going THEN {'s': 'moving', 'b': 'none'}
+  WHEN slot_active = false AND wal_bytes_behind >= 1000000 AND clear THEN {'s': 'blocked', 'b': 'slot_inactive'}
+  WHEN sequence_lag > 0 AND clear THEN {'s': 'blocked', 'b': 'feedback_gap'} WHEN wal_bytes_behind >= 1000000 AND clear THEN {'s': 'watch', 'b': 'none'}
+  WHEN NOT clear THEN {'s': 'backlogged', 'b': 'staging_or_reducer_backlog'} ELSE {'s': 'idle', 'b': 'none'} END AS r FROM q WHERE NOT (sampler_status IS NOT DISTINCT FROM 'disabled' AND bare))""")
 def progress_insight(spark, d):
-    every = lambda n: (F.col("event_id") % n == 0)
-    n = lambda k: F.when(every(k), 1).otherwise(0)
-    m = {
-        "sampled": ~every(29), "pending_jobs": F.when(~every(29), n(3)), "continuity_lost": every(23), "failed_permanent": n(19), "failed_fragments": n(17), "failed_jobs": n(13),
-        "snapshot_blocked_jobs": n(11), "backpressure": every(31), "running_jobs": n(7), "rows_per_minute": n(5), "pending_fragments": n(37), "wal_gap_bytes": n(2) * 2_000_000,
-    }
-    return read(spark, d, "events").select("event_id", stats.insight(m)[0].alias("status"))
+    i = F.col("event_id")
+    sampler = F.element_at(F.array(*[F.lit(x) for x in [*["ok"] * 12, "disabled", "failed", None]]), (i % 15 + 1).cast("int"))
+    m = {k: F.when(i % 9 != 0, (i % n == 0).cast("long")) for k, n in _MEASURES.items()}
+    m |= {"wal_bytes_behind": F.when(i % 2 == 0, i % 7 * 250_000), "failed_jobs": F.when(i % 10 < 3, i % 4)}
+    rows = read(spark, d, "events").select("event_id", sampler.alias("sampler_status"), F.when(i % 3 == 0, True).when(i % 3 == 1, False).alias("slot_active"), *[c.alias(k) for k, c in m.items()])
+    return stats.insight(rows).select("event_id", "status", "blocker")
+
+
+_PROGRESS = """WITH p AS (SELECT 't' || lpad(CAST(event_id AS VARCHAR), 10, '0') AS table_key, ['idle', 'error', 'running', 'blocked', NULL][event_id % 5 + 1] AS phase, CASE WHEN event_id % 3 = 0 THEN event_id % 4 END AS snapshot_chunks_total,
+  event_id % 2 AS snapshot_chunks_complete, CASE WHEN event_id % 8 = 0 THEN event_id % 16 END AS rows_read FROM events) """
+
+
+def progress(spark, d) -> DataFrame:
+    i = F.col("event_id")
+    phase = F.element_at(F.array(*[F.lit(x) for x in ("idle", "error", "running", "blocked", None)]), (i % 5 + 1).cast("int"))
+    none = F.lit(None).cast("long")
+    return read(spark, d, "events").select(F.concat(F.lit("t"), F.lpad(i.cast("string"), 10, "0")).alias("table_key"), phase.alias("phase"), F.when(i % 3 == 0, i % 4).alias("snapshot_chunks_total"), (i % 2).alias("snapshot_chunks_complete"),
+                                           F.when(i % 8 == 0, i % 16).alias("rows_read"), none.alias("rows_written"), none.alias("rows_deleted"), none.alias("rows_upserted"))
+
+
+@query(_PROGRESS + "SELECT table_key, phase FROM p WHERE phase IN ('error', 'blocked') OR snapshot_chunks_total > 0 OR rows_read > 0 ORDER BY table_key LIMIT 25")
+def active_tables(spark, d):
+    return stats.active_tables(progress(spark, d)).select("table_key", "phase")
+
+
+@query(_PROGRESS + "SELECT table_key FROM p WHERE snapshot_chunks_total > 0 AND snapshot_chunks_complete < snapshot_chunks_total ORDER BY table_key LIMIT 25")
+def snapshot_tables(spark, d):
+    return stats.snapshot_tables(progress(spark, d)).select("table_key")
+
+
+@query("""WITH c AS (SELECT event_id, ['running', 'failed', 'success', 'running', NULL, 'running'][event_id % 6 + 1] AS status, event_id % 7 = 0 AS open, ['stream', 'cdc', 'cdc', NULL][event_id % 4 + 1] AS kind,
+  ['following', 'continuity_lost', 'unknown', 'initializing', NULL][event_id % 5 + 1] AS runtime, ['schema_blocked', 'lock_contention', NULL][event_id % 3 + 1] AS err FROM events)
+SELECT event_id, CASE WHEN open AND runtime = 'following' THEN 'mixed' WHEN open THEN 'snapshot' WHEN kind = 'stream' THEN 'kinesis' WHEN kind = 'cdc' THEN 'cdc' ELSE 'scheduled_polling' END AS mode,
+  CASE status WHEN 'running' THEN CASE WHEN open THEN 'snapshotting' WHEN kind = 'stream' THEN 'running' ELSE CASE runtime WHEN 'following' THEN 'running' WHEN 'continuity_lost' THEN 'blocked' WHEN 'unknown' THEN 'starting' WHEN 'initializing' THEN 'starting' ELSE 'syncing' END END
+    WHEN 'failed' THEN CASE WHEN err = 'schema_blocked' THEN 'blocked' ELSE 'error' END WHEN 'success' THEN 'healthy' ELSE 'idle' END AS phase,
+  CASE status WHEN 'running' THEN CASE WHEN open THEN 'snapshot_in_progress' WHEN kind = 'stream' THEN 'kinesis_following' ELSE CASE runtime WHEN 'following' THEN 'cdc_following' WHEN 'continuity_lost' THEN 'cdc_continuity_lost' WHEN 'unknown' THEN 'cdc_state_unknown' WHEN 'initializing' THEN 'cdc_initializing' ELSE 'sync_in_progress' END END
+    WHEN 'failed' THEN coalesce(err, 'last_run_failed') WHEN 'success' THEN 'healthy' ELSE 'never_synced' END AS reason FROM c""")
+def connection_phase(spark, d):
+    i = F.col("event_id")
+    of = lambda xs: F.element_at(F.array(*[F.lit(x) for x in xs]), (i % len(xs) + 1).cast("int"))
+    status, kind = of(["running", "failed", "success", "running", None, "running"]), of(["stream", "cdc", "cdc", None])
+    runtime, err = of(["following", "continuity_lost", "unknown", "initializing", None]), of(["schema_blocked", "lock_contention", None])
+    phase, reason = stats.connection_phase(status, i % 7 == 0, kind, runtime, err)
+    return read(spark, d, "events").select("event_id", stats.connection_mode(i % 7 == 0, kind, runtime).alias("mode"), phase.alias("phase"), reason.alias("reason"))
 
 
 @query("""WITH c AS (SELECT n_name AS table_key, n_nationkey AS rank FROM nation WHERE n_nationkey % 2 = 0), k AS (SELECT n_name AS table_key, n_regionkey AS saved FROM nation WHERE n_nationkey % 3 = 0), s AS (SELECT n_name AS table_key, length(n_name) AS rows_read FROM nation WHERE n_nationkey % 5 = 0)
@@ -567,10 +653,39 @@ def pk_identity(spark, d):
     return read(spark, d, "events").select(X.identity(F.col("event_id")).alias("id"))
 
 
-@query("SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'backpressure' WHEN 1 THEN 'permanent' ELSE 'transient' END AS class FROM events")
+_ERRORS = [
+    ("Quota exceeded: too many DML jobs writing to a table", "backpressure"), ("quota exceeded for reads", "transient"), ("Destination deleted/expired during operation", "transient"),
+    ("job failed: BIGQUERY_REASON=rateLimitExceeded", "backpressure"), ("bigquery_reason=backendError", "transient"), ("bigquery_reason=notFound x", "permanent"),
+    ("bigquery_reason=strange", "transient"), ("connection reset", "transient"), (None, "transient"),
+]
+_quoted = lambda x: "NULL" if x is None else f"'{x}'"
+
+
+def error_text(errors: list[str | None]):
+    return F.element_at(F.array(*[F.lit(x) for x in errors]), (F.col("event_id") % len(errors) + 1).cast("int"))
+
+
+@query(f"SELECT event_id, CASE WHEN event_id % 50 = 0 THEN 'permanent' ELSE [{', '.join(_quoted(c) for _, c in _ERRORS)}][event_id % {len(_ERRORS)} + 1] END AS class FROM events")
 def retry_class(spark, d):
-    e = F.element_at(F.array(*[F.lit(x) for x in ("DML Quota exceeded", "schema policy fail", "timeout", "connection reset")]), (F.col("event_id") % 4 + 1).cast("int"))
-    return read(spark, d, "events").select("event_id", X.retry_class(e).alias("class"))
+    kind = F.when(F.col("event_id") % 100 == 0, "lock").when(F.col("event_id") % 100 == 50, "policy")
+    return read(spark, d, "events").select("event_id", X.retry_class(error_text([e for e, _ in _ERRORS]), kind).alias("class"))
+
+
+_OLD = [None, "Incompatible schema change detected in t", "publication p is missing", "snapshot blocked for table(s): a", "connection already locked", "Failed to process CDC batch-load job 3",
+        "merging staging BigQuery table s", "Quota exceeded: DML jobs writing to a table", "bad"]
+
+
+@query(f"""WITH e AS (SELECT event_id, [{', '.join(map(_quoted, _OLD))}][event_id % {len(_OLD)} + 1] AS last_error, CASE WHEN event_id % 7 = 0 THEN 'truncate' END AS barrier_kind,
+  ['{{"staging_schema":{{"a":1}}}}', '{{"staging_schema":null}}', '{{"steps":[]}}'][event_id % 3 + 1] AS payload FROM events)
+SELECT event_id, CASE WHEN last_error IS NULL THEN NULL WHEN last_error ILIKE '%schema change detected%' THEN 'schema_blocked' WHEN last_error ILIKE '%publication%' THEN 'publication_blocked'
+    WHEN last_error ILIKE '%snapshot blocked for table(s):%' THEN 'snapshot_blocked' WHEN last_error ILIKE '%already locked%' THEN 'lock_contention' ELSE 'last_run_failed' END AS reason,
+  CASE WHEN last_error IS NULL THEN NULL WHEN last_error ILIKE '%quota exceeded%' AND last_error ILIKE '%dml jobs writing to a table%' THEN 'backpressure'
+    WHEN last_error ILIKE '%failed to process CDC batch-load job%' OR last_error ILIKE '%merging staging BigQuery table%' OR last_error ILIKE '%BigQuery query returned errors%' THEN 'transient' ELSE 'permanent' END AS class,
+  barrier_kind IS NULL AND coalesce(json_type(payload, '$.staging_schema'), 'NULL') <> 'NULL' AS eligible FROM e""")
+def backfill_mappings(spark, d):
+    payload = error_text(['{"staging_schema":{"a":1}}', '{"staging_schema":null}', '{"steps":[]}'])
+    e, barrier = error_text(_OLD), F.when(F.col("event_id") % 7 == 0, "truncate")
+    return read(spark, d, "events").select("event_id", X.old_error_reason(e).alias("reason"), X.old_retry_class(e).alias("class"), X.old_reducer_eligible(barrier, payload).alias("eligible"))
 
 
 @query("SELECT event_id, event_id * 4294967296 + event_id % 1000 AS lsn FROM events")
@@ -598,3 +713,65 @@ def change_record_decode(spark, d):
     r = read(spark, d, "events").select(F.concat(F.lit("s"), (i % 3).cast("string")).alias("shard"), i.alias("position"), i.alias("arrival_ms"), body.alias("body"))
     c = dynamic.change_records(r, cutoff_ms=4999)
     return c.select(F.substring_index("event_id", ":", -1).cast("long").alias("event_id"), "op", F.col("event_id").alias("key"), F.get_json_object(dynamic.decoded(F.col("item")), "$.id").alias("name"))
+
+
+@query(JOBS + "SELECT job_id, CASE WHEN stage = 'received' THEN CASE status WHEN 'running' THEN 'applying' WHEN 'succeeded' THEN 'applied' WHEN 'failed' THEN 'failed' ELSE stage END ELSE stage END AS stage FROM jobs")
+def stage_normalisation(spark, d):
+    return jobs(spark, d).select("job_id", ledger.stage_for(F.col("stage"), F.col("status")).alias("stage"))
+
+
+@query(JOBS + f"""SELECT job_id, CASE WHEN due THEN 'pending' ELSE status END AS status, CASE WHEN due THEN 'received' ELSE stage END AS stage
+FROM (SELECT *, coalesce(status = 'failed' AND retry_class IN ('backpressure','transient') AND updated_at + {BACKOFF} * 1000 <= {NOW}, false) AS due FROM jobs)""")
+def requeued_jobs(spark, d):
+    return ledger.requeued(jobs(spark, d), NOW).select("job_id", "status", "stage")
+
+
+@query(f"SELECT event_id, CASE WHEN event_id % 3 = 0 THEN CAST({NOW} AS BIGINT) END AS by_flag, epoch_us(ts) AS by_time, CAST(NULL AS BIGINT) AS by_text, event_type AS kept_text FROM events")
+def soft_delete_derivation(spark, d):
+    us = lambda c: F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {c})")
+    e = read(spark, d, "events").withColumn("flag", F.when(F.col("event_id") % 3 == 0, True).when(F.col("event_id") % 3 == 1, False))
+    e = e.select("event_id", X.deleted_at(F.col("flag"), "boolean", F.lit(NOW).cast("long")).alias("by_flag"), X.deleted_at(F.col("ts"), "timestamp_ntz", F.lit(NOW)).alias("t"),
+                 X.deleted_at(F.col("event_type"), "string", F.lit(NOW)).alias("n"), X.deleted_at(F.col("event_type"), "string", F.lit(NOW), keep_text=True).alias("kept_text"))
+    return e.select("event_id", "by_flag", us("t").alias("by_time"), us("n").alias("by_text"), "kept_text")
+
+
+@query("SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_custkey, '{\"a\":' || o_custkey || '}' AS extra, CAST(o_orderkey % 5 * 86400 AS DOUBLE) AS took FROM orders")
+def cast_projection(spark, d):
+    o = read(spark, d, "orders").select("o_orderkey", "o_custkey", F.struct(F.col("o_custkey").alias("a")).alias("extra"), F.concat((F.col("o_orderkey") % 5).cast("string"), F.lit(" days")).alias("took"))
+    return o.select(*schema.cast_projection({"o_orderkey": "numeric", "o_custkey": "int64", "extra": "json", "took": "interval"}))
+
+
+@query("""WITH a AS (SELECT n_nationkey AS id FROM nation WHERE n_nationkey % 2 = 0), b AS (SELECT n_nationkey AS id FROM nation WHERE n_nationkey % 3 = 0), c AS (SELECT n_nationkey AS id FROM nation WHERE n_nationkey % 5 <> 0)
+SELECT id FROM (SELECT id FROM a UNION SELECT id FROM b) WHERE id IN (SELECT id FROM c)""")
+def snapshot_scope_ids(spark, d):
+    n = read(spark, d, "nation").select(F.col("n_nationkey").alias("id"))
+    wanted = n.where("id % 2 = 0").unionByName(n.where("id % 3 = 0")).distinct()
+    return wanted.join(n.where("id % 5 <> 0"), "id", "left_semi")
+
+
+@query("""WITH k AS (SELECT user_id AS c, event_type AS entity, max(event_id) AS last_id FROM events GROUP BY 1, 2) SELECT c AS connection_id, CAST(count(*) AS BIGINT) AS entities, CAST(max(last_id) AS BIGINT) AS newest,
+  CAST(sum(CASE WHEN last_id % 3 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS incomplete FROM k GROUP BY 1""")
+def state_assembly(spark, d):
+    k = read(spark, d, "events").groupBy(F.col("user_id").alias("connection_id"), F.col("event_type").alias("entity_name")).agg(F.max("event_id").alias("i"))
+    text = F.concat(F.lit('{"last":'), F.col("i").cast("string"), F.lit(',"snapshot_chunks":[{"complete":true},{"complete":'), (F.col("i") % 3 != 0).cast("string"), F.lit("}]}"))
+    return stats.assembled(k.select("connection_id", "entity_name", text.alias("checkpoint_json"), F.col("i").alias("updated_at")))
+
+
+@query("SELECT run_id, table_key, CASE WHEN run_id % 2 = 0 THEN 2 * n ELSE n END AS rows_read FROM (SELECT user_id AS run_id, event_type AS table_key, count(*) AS n FROM events GROUP BY 1, 2)")
+def persist_run(spark, d):
+    stored = run_table_stats(spark, d).select("run_id", "table_key", "rows_read")
+    again = stored.where("run_id % 2 = 0").withColumn("rows_read", F.col("rows_read") * 2)
+    return stats.persisted(stored, again)
+
+
+@query("SELECT event_id, '{\"event_id\":' || event_id || ',\"event_type\":\"' || event_type || '\",\"gone\":null}' AS row FROM events")
+def json_rows(spark, d):
+    e = read(spark, d, "events").select("event_id", "event_type", F.lit(None).cast("string").alias("gone"))
+    return encoded_rows(e).select(F.get_json_object("row", "$.event_id").cast("long").alias("event_id"), "row")
+
+
+@query("SELECT event_id, '{\"b\":[\"' || event_id || '\",null],\"f\":' || CASE WHEN event_id % 2 = 0 THEN 'true' ELSE 'false' END || ',\"id\":\"k' || event_id || '\",\"m\":{\"x\":[\"1\",\"2\"]},\"u\":null}' AS item FROM events")
+def attribute_decode(spark, d):
+    i = F.col("event_id").cast("string")
+    item = F.concat(F.lit('{"id":{"S":"k'), i, F.lit('"},"b":{"L":[{"N":"'), i, F.lit('"},{"NULL":true}]},"f":{"BOOL":'), (F.col("event_id") % 2 == 0).cast("string"), F.lit('},"m":{"M":{"x":{"NS":["1","2"]}}},"u":{"?":1}}'))
+    return read(spark, d, "events").select("event_id", dynamic.decoded(item).alias("item"))
