@@ -247,3 +247,46 @@ def test_lm(spark):
             c = starts if a == "start" else uni[a]
             want += math.log10(base(t) if not c else max(0, pairs[a, t] - 0.75) / c + 0.75 * fan[a] / c * base(t))
         assert math.isclose(r.score, want, rel_tol=1e-3), (i, r.score, want)
+
+
+CLASHING = (
+    "fp component_id size key range range_size source_size target taken full part weight budget rest end_range before held_out score predicted kept n_words "
+    "kind value attempt k v kv p e s low root node a b bucket tile side start n_tokens ids _h _h0 _n _id _ids _fp _found _text _later _full _part _size _take _rn _copy_at _k toxic label"
+).split()
+
+
+def clashing(spark):
+    """Repeated rows, null cells in every column, and extra columns named as anything inside the operators may be."""
+    texts = [None, "", "one", "Mail anna@corp.example now. " + " ".join(f"w{k}" for k in range(60)), "Mail anna@corp.example now. " + " ".join(f"w{k}" for k in range(60)), " ".join(f"u{k}" for k in range(40)), "x" * 70_000]
+    rows = [(i, t, "en" if i % 2 else None, ["s0", None, "s1"][i % 3], len(t or "") if i % 4 else None) for i, t in enumerate(texts)]
+    rows += [rows[3], rows[5], (None, None, None, None, None), (None, texts[5], None, "s0", None)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    return d.selectExpr("*", *[f"CASE WHEN doc_id % 2 = 0 THEN 'kept-{c}' END AS `{c}`" for c in CLASHING])
+
+
+def test_clashing_names_nulls_and_repeats_in_stages(spark):
+    import corpus_pipeline
+
+    d = clashing(spark)
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, d, "")
+        if name != "byte_bpe":
+            assert out.columns == d.columns, name
+            assert all(r[c] in (None, f"kept-{c}") for r in out.collect() for c in CLASHING), name
+        else:
+            assert out.count() == d.count()
+        assert stage(spark, d.where("false"), "").count() == 0
+
+
+def test_clashing_names_in_operators(spark):
+    d = clashing(spark)
+    n = d.count()
+    labels = spark.createDataFrame([(3, 1, 1), (5, 0, 0), (None, 1, 1), (2, None, None), (3, 1, 1)], "doc_id long, toxic int, score int")
+    assert simhash.near_duplicates(d).count() == quality.quality(d).count() == mixing.mix(d).count() == n
+    assert bytebpe.byte_bpe(d).count() == tokenfile.token_files(d).count() == ngramtrie.lm_scores(d).count() == n
+    assert toxicity.toxicity(d, labels).count() == n and pii.surrogates(d.drop("n_entities")).count() == n
+    rows = [(1, [1.0, 0.0], 1, "a"), (1, [1.0, 0.0], 1, "b"), (2, [1.0, 0.01], 1, None), (None, [1.0, 0.0], 1, None), (3, None, None, None)]
+    v = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int, a string").selectExpr("*", *[f"a AS `{c}`" for c in ("b", "tile", "root", "node", "n_links", "component_id", "kept", "part", "id", "x", "q")])
+    assert embeddings.near_vectors(v).count() == 5
+    pages = spark.createDataFrame([(1, "u", "<p>hello</p>", 1), (1, "u", "<p>hello</p>", 1), (None, None, None, None)], "page_id long, url string, html string, n_chars int")
+    assert htmlcrf.extract(pages).count() == 3

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Bytes of text that a Python worker handles at once; bounds its arrays, not the work.
 CHUNK_BYTES = 2 << 20
@@ -46,6 +47,16 @@ def local_path(uri: str) -> str:
     return uri
 
 
+def packed(df: DataFrame) -> Column:
+    """All columns as one struct, so that an operator's own columns clash with none of them."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row")
+
+
+def unpacked(df: DataFrame, **changed: Column) -> list[Column]:
+    """The columns of `df` from `_row`, those in `changed` replaced."""
+    return [(changed[c] if c in changed else F.col("_row")[c]).alias(c) for c in df.columns]
+
+
 def chunks(sizes, limit: int = CHUNK_BYTES):
     """Ranges of consecutive rows whose bytes stay near the limit; every row is in one range."""
     start = total = 0

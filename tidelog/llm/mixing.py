@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, packed, unpacked
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Weights by the source's place in code point order, repeating.
@@ -103,15 +103,17 @@ def mixed_documents(docs: DataFrame, seed: str = "mix-1") -> DataFrame:
     """
     plan = mix(docs, seed)
     per_id = plan.where("taken > 0").groupBy("doc_id").agg(F.max("full").alias("_full"), F.max("part").alias("_part"), F.max("size").alias("_size"))
-    joined = docs.join(per_id.withColumnRenamed("doc_id", "_id"), docs["doc_id"].eqNullSafe(F.col("_id")))
+    rows = docs.select(F.col("doc_id").alias("_doc"), packed(docs))
+    rows = rows.join(per_id.withColumnRenamed("doc_id", "_id"), F.col("_doc").eqNullSafe(F.col("_id")))
     copies = F.concat(
         F.array_repeat(F.col("_size"), F.col("_full").cast("int")),
         F.when(F.col("_part") > 0, F.array(F.col("_part"))).otherwise(F.array().cast("array<bigint>")),
     )
-    rows = joined.withColumn("_take", F.explode(copies))
-    words = F.array_join(F.slice(F.regexp_extract_all(F.col("text"), F.lit(WORD), F.lit(0)), F.lit(1), F.col("_take").cast("int")), " ")
-    text = F.when(F.col("_take") >= F.col("_size"), F.col("text")).otherwise(words)
-    out = rows.withColumn("text", text)
+    rows = rows.withColumn("_take", F.explode(copies))
+    text, whole = F.col("_row")["text"], F.col("_take") >= F.col("_size")
+    words = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), F.lit(1), F.col("_take").cast("int")), " ")
+    rows = rows.withColumn("_text", F.when(whole, text).otherwise(words))
+    changed = {"text": F.col("_text")}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_take") >= F.col("_size"), F.col("n_chars")).otherwise(F.length("text").cast("long")))
-    return out.select(*docs.columns)
+        changed["n_chars"] = F.when(whole, F.col("_row")["n_chars"]).otherwise(F.length("_text").cast("long"))
+    return rows.select(*unpacked(docs, **changed))

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, packed, unpacked
 
 KEY = "surrogate-key-1"
 #: Documents with entities of a second attempt are broadcast up to so many rows.
@@ -252,10 +252,12 @@ def _replaced(entity: Column, later: Column | None, key: str) -> Column:
     return F.concat(head, done)
 
 
-def surrogates(docs: DataFrame, key: str = KEY) -> DataFrame:
-    """The input's rows and columns, text replaced, and n_entities long."""
+def _rows(docs: DataFrame, key: str) -> DataFrame:
+    """`_row` with the input's columns, the entities `_found` and the new `_text`."""
     fixed = cut(attempts(docs, key))
-    rows = docs.withColumn("_found", F.coalesce(found(F.col("text")), F.array().cast("array<string>")))
+    rows = docs.select(packed(docs))
+    text = F.col("_row")["text"]
+    rows = rows.withColumn("_found", F.coalesce(found(text), F.array().cast("array<string>")))
     later = None
     if fixed.head(1):
         ids = docs.select(F.xxhash64(F.col("text")).alias("_h"), F.explode(found(F.col("text"))).alias("e")).select("_h", F.explode(parts_of(F.col("e"))).alias("p"))
@@ -263,15 +265,26 @@ def surrogates(docs: DataFrame, key: str = KEY) -> DataFrame:
         per = ids.join(fixed, (F.col("k") == F.col("kind")) & (F.col("v") == F.col("value"))).select("_h", F.concat("k", F.lit(":"), "v").alias("kv"), "attempt").distinct()
         per = cut(per.groupBy("_h").agg(F.map_from_entries(F.collect_list(F.struct("kv", "attempt"))).alias("_later")))
         small = per.count() <= MOST_BROADCAST
-        rows = rows.withColumn("_h0", F.when(F.size("_found") > 0, F.xxhash64("text")))
+        rows = rows.withColumn("_h0", F.when(F.size("_found") > 0, F.xxhash64(text)))
         rows = rows.join(F.broadcast(per) if small else per, F.col("_h0") == F.col("_h"), "left")
         later = F.coalesce(F.col("_later"), F.create_map().cast("map<string,int>"))
-    gaps = F.split("text", PATTERN, -1)
+    gaps = F.split(text, PATTERN, -1)
     joined = F.concat(gaps[0], F.array_join(F.zip_with(F.col("_found"), F.slice(gaps, 2, F.greatest(F.size(gaps) - 1, F.lit(1))), lambda e, g: F.concat(_replaced(e, later, key), g)), ""))
-    out = rows.withColumn("_text", F.when(F.size("_found") > 0, joined).otherwise(F.col("text")))
-    names = [F.col("_text").alias("text") if c == "text" else (F.when(F.size("_found") > 0, F.length("_text").cast("long")).otherwise(F.col(c)).alias(c) if c == "n_chars" else F.col(c)) for c in docs.columns]
-    return out.select(*names, F.size("_found").cast("long").alias("n_entities"))
+    return rows.withColumn("_text", F.when(F.size("_found") > 0, joined).otherwise(text))
+
+
+def _replaced_columns(docs: DataFrame) -> list[Column]:
+    changed = {"text": F.col("_text")}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.when(F.size("_found") > 0, F.length("_text").cast("long")).otherwise(F.col("_row")["n_chars"])
+    return unpacked(docs, **changed)
+
+
+def surrogates(docs: DataFrame, key: str = KEY) -> DataFrame:
+    """The input's rows and columns, text replaced, and n_entities long (in place of a column of that name)."""
+    kept = docs.drop("n_entities")
+    return _rows(kept, key).select(*_replaced_columns(kept), F.size("_found").cast("long").alias("n_entities"))
 
 
 def replaced_documents(docs: DataFrame, key: str = KEY) -> DataFrame:
-    return surrogates(docs, key).select(*docs.columns)
+    return _rows(docs, key).select(*_replaced_columns(docs))

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, packed, unpacked
 from .components import components
 
 SHINGLE, SEED, RADIUS = 4, 42, 4
@@ -256,7 +256,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     unless a row with an id shares their component.
     """
     kept = near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
-    rows = docs.join(kept, docs["doc_id"].eqNullSafe(kept["_id"]), "left_semi")
-    first = F.row_number().over(W.partitionBy("doc_id", "_h").orderBy("_h"))
-    rows = rows.withColumn("_h", F.xxhash64("text")).withColumn("_n", first).where("_n = 1")
-    return rows.select(*docs.columns)
+    rows = docs.select(F.col("doc_id").alias("_doc"), F.xxhash64("text").alias("_h"), packed(docs))
+    rows = rows.join(kept, rows["_doc"].eqNullSafe(kept["_id"]), "left_semi")
+    first = F.row_number().over(W.partitionBy("_doc", "_h").orderBy("_h"))
+    return rows.withColumn("_n", first).where("_n = 1").select(*unpacked(docs))
