@@ -151,6 +151,24 @@ def test_html(spark):
     assert htmlcrf.extract(rows.where("false")).count() == 0
 
 
+def test_html_skipped_elements_end_where_they_end():
+    rest = "<article><p>Main text.</p></article>"
+    texts = lambda page: [s for s, _, _ in htmlcrf.leaf_blocks(page)]
+    for tag in ("svg", "math", "object", "canvas", "select", "template", "noscript"):
+        assert texts(f"<header><{tag} class='i'></header>{rest}") == ["Main text."], tag
+        assert texts(f"<{tag} id='a>b'>no<p>no</p></{tag.upper()} >{rest}") == ["Main text."], tag
+        assert texts(f"<{tag}-icon></{tag}-icon><{tag}_box></{tag}_box>{rest}") == ["Main text."], tag
+        assert texts(f"<{tag}>{rest}<{tag}>no</{tag}>") == ["Main text."], tag
+    assert texts(f'<header><svg class="i"/></header>{rest}') == texts(f"<math/>{rest}") == ["Main text."]
+    assert texts(f"<p>a<svg/>b<svg>no<svg>no</svg>no</svg>c</p>{rest}") == ["abc", "Main text."]
+    assert texts(f"<noscript><iframe src=x></noscript><svg><style/><script/></svg>{rest}") == ["Main text."]
+    assert texts(f"<select><p>Kept.</p><script>var a = '</select>'</script>{rest}") == ["Kept.", "Main text."]
+    for tag in ("script", "style", "textarea", "iframe"):
+        assert texts(f"<p>Kept.</p><{tag}>{rest}") == ["Kept."] and texts(f"<{tag}>no</{tag} x>{rest}<{tag}-x>") == ["Main text."], tag
+    many = "<svg><select><noscript>" * 20_000
+    assert texts(many + rest) == ["Main text."]
+
+
 def test_viterbi():
     import itertools
 

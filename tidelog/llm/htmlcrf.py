@@ -9,7 +9,8 @@ name every block's part; the fit takes TRAIN_PAGES of them and no page of the in
 Defined results: a null, empty or textless page gives the empty string and 0; malformed markup
 is read as far as it goes; repeated rows are read each; an empty table gives no rows; columns
 besides page_id, url and html are not read. Comments, scripts, styles and the like are never
-text. Inside a block every run of white space, <br> included, is one space.
+text; nor are the contents of svg, select, object and their like, but one without a close tag loses its
+open tag only. Inside a block every run of white space, <br> included, is one space.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from __future__ import annotations
 import html as _html
 import random
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache, partial
 
@@ -62,10 +64,17 @@ _TEXT_HINT = re.compile(
     re.I,
 )
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|iframe|svg|math|textarea|select|object|canvas)\b[^>]*+>.*?(?:</\1\s*+>|\Z)"
+    r"<!--.*?(?:-->|\Z)|<(script|style|iframe|textarea)(?=[\s/>])[^>]*+>.*?(?:</\1(?=[\s/>])[^>]*+>|\Z)"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:\"[^\"]*+\"|'[^']*+'|[^>\"'])*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)([^>]*+)>|<[!?/][^>]*+>",
     re.S | re.I,
 )
+#: Elements that are skipped whole if they have a close tag; without one only the open tag is.
+_SKIPPED = frozenset("noscript template svg math select object canvas".split())
+_SKIP_TAG = re.compile(
+    rf"<!--.*?(?:-->|\Z)|<(/?)(script|{'|'.join(sorted(_SKIPPED))})(?=[\s/>])((?:\"[^\"]*+\"|'[^']*+'|[^>\"'])*+|[^>]*+)>",
+    re.S | re.I,
+)
+_RAW_TAG = re.compile(r"<(/?(?:script|noscript))(?=[\s/>])[^>]*+>", re.I)
 _ATTR = re.compile(r"\b(class|id|role|style|hidden|aria-hidden|itemprop)\b(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]++)))?", re.I)
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 #: Opening one of these closes an open one of the same list entry.
@@ -92,6 +101,37 @@ def _parts(attributes: str) -> frozenset[str]:
     return frozenset(found)
 
 
+def _skips(page: str) -> dict[int, int]:
+    """Where each skipped element with a close tag starts, and where it ends; elements of one name may nest."""
+    ends: dict[int, int] = {}
+    opened: dict[str, list[int]] = {}
+    raw: dict[str, list[tuple[int, int]]] = {"script": [], "/script": [], "noscript": [], "/noscript": []}
+    for m in _RAW_TAG.finditer(page):
+        raw[m[1].lower()].append(m.span())
+    at = 0
+    while m := _SKIP_TAG.search(page, at):
+        at, name = m.end(), (m[2] or "").lower()
+        if not name:
+            continue
+        own = m[3].endswith("/")
+        if name in raw:
+            if m[1] or name == "script" and own:
+                continue
+            close, again = (raw[n][k : k + 1] for n in ("/" + name, name) for k in (bisect_left(raw[n], (at, 0)),))
+            if name == "script":
+                if not close:
+                    break
+                at = close[0][1]
+            elif close and not (again and again < close):
+                ends[m.start()] = at = close[0][1]
+        elif m[1]:
+            if opened.get(name):
+                ends[opened[name].pop()] = at
+        elif not (own and name in ("svg", "math")):
+            opened.setdefault(name, []).append(m.start())
+    return ends
+
+
 def leaf_blocks(page: str) -> list[tuple[str, frozenset[str], float]]:
     """(text, context features, share of characters in links) for each block with text, in order."""
     out: list[tuple[str, frozenset[str], float]] = []
@@ -111,15 +151,16 @@ def leaf_blocks(page: str) -> list[tuple[str, frozenset[str], float]]:
             text.clear()
         link_chars = 0
 
-    for m in _TOKEN.finditer(page):
+    skips = _skips(page)
+    while m := _TOKEN.search(page, at):
         if m.start() > at:
             piece = page[at : m.start()]
             text.append(piece)
             if in_link:
                 link_chars += len(piece)
-        at = m.end()
+        at = skips.get(m.start(), m.end())
         name = (m[3] or m[6] or "").lower()
-        if not name:
+        if not name or name in _SKIPPED:
             continue
         closing = bool(m[2] or m[5])
         if name == "br":
