@@ -267,6 +267,32 @@ def test_lm(spark):
         assert math.isclose(r.score, want, rel_tol=1e-3), (i, r.score, want)
 
 
+def test_lm_longer_contexts(spark):
+    """Orders 3 and 4 against brute force, and a text with its pairs kept but longer contexts changed."""
+    texts = [*TEXTS, *[f"the cat number {i % 7} sat on the {'mat' if i % 2 else 'hat'} and {'a b c' if i % 3 else 'd b e'}" for i in range(60)], "a b c a b c", "d b c", "d b e", "a b e"]
+    held = {i: zlib.crc32(str(i).encode()) % 5 == 1 for i in range(len(texts))} | {None: False}
+    tokens = {i: ["start", *((texts[i] if i is not None else None) or "").encode().lower().split(), None] for i in held}
+    train = [t for i, t in tokens.items() if not held[i]]
+    uni = Counter(x for t in train for x in t[1:])
+    grams = {m: Counter(tuple(t[k : k + m]) for t in train for k in range(len(t) - m + 1)) for m in (2, 3, 4)}
+    seen, fan = {m: Counter() for m in grams}, {m: Counter(g[:-1] for g in grams[m]) for m in grams}
+    for m in grams:
+        for g, n in grams[m].items():
+            seen[m][g[:-1]] += n
+    for order in (3, 4):
+        got = {r.doc_id: r for r in ngramtrie.lm_scores(docs(spark, texts), order=order).collect()}
+        for i, t in tokens.items():
+            want = 0.0
+            for k in range(1, len(t)):
+                p = (uni[t[k]] + 0.5) / (sum(uni.values()) + 0.5 * (len(uni) + 1))
+                for m in range(2, min(order, k + 1) + 1):
+                    g = tuple(t[k - m + 1 : k + 1])
+                    if c := seen[m][g[:-1]]:
+                        p = max(0, grams[m][g] - 0.75) / c + 0.75 * fan[m][g[:-1]] / c * p
+                want += math.log10(p)
+            assert math.isclose(got[i].score, want, rel_tol=1e-3), (order, i, got[i].score, want)
+
+
 CLASHING = (
     "fp component_id size key range range_size source_size target taken full part weight budget rest end_range before held_out score predicted kept n_words "
     "kind value attempt k v kv p e s low root node a b bucket tile side start n_tokens ids _h _h0 _n _id _ids _fp _found _text _later _full _part _size _take _rn _copy_at _k toxic label"

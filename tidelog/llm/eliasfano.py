@@ -14,6 +14,7 @@ import numpy as np
 
 _POP = np.array([bin(i).count("1") for i in range(256)], np.uint8)
 _ONE = np.uint64(1)
+_EACH, _HIGH = np.uint64(0x0101010101010101), np.uint64(0x8080808080808080)
 
 
 def _select_in_byte() -> np.ndarray:
@@ -61,12 +62,15 @@ class EliasFano:
         word = np.searchsorted(before, k, "right") - 1
         left = k - before[word]
         w = np.asarray(self.upper)[word] if one else ~np.asarray(self.upper)[word]
-        octets = np.ascontiguousarray(w).view(np.uint8).reshape(-1, 8)
-        upto = np.cumsum(_POP[octets], axis=1, dtype=np.int64)
-        byte = np.minimum((upto <= left[:, None]).sum(axis=1), 7)
-        row = np.arange(len(k))
-        inside = left - np.where(byte > 0, upto[row, byte - 1], 0)
-        return word * 64 + byte * 8 + _PLACE[octets[row, byte], inside]
+        # ones of each byte, their running sums, and the byte in which the wanted one lies, all within the word
+        sums = w - (w >> np.uint64(1) & np.uint64(0x5555555555555555))
+        sums = (sums & np.uint64(0x3333333333333333)) + (sums >> np.uint64(2) & np.uint64(0x3333333333333333))
+        sums = (sums + (sums >> np.uint64(4)) & np.uint64(0x0F0F0F0F0F0F0F0F)) * _EACH
+        left = left.astype(np.uint64)
+        byte = ((left * _EACH | _HIGH) - sums & _HIGH) >> np.uint64(7)
+        shift = np.minimum(byte * _EACH >> np.uint64(56), np.uint64(7)) << np.uint64(3)
+        inside = left - (sums << np.uint64(8) >> shift & np.uint64(255))
+        return word * 64 + shift.astype(np.int64) + _PLACE[(w >> shift & np.uint64(255)).astype(np.int64), inside.astype(np.int64)]
 
     def _lower(self, i: np.ndarray) -> np.ndarray:
         if not self.low:

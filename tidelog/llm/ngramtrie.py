@@ -5,12 +5,15 @@ and back-off weights. Level two holds, for each context, its successors: in each
 are one Elias-Fano sequence, monotone pointers to their first successors another, the successors
 (context place times vocabulary size plus word number) a third, with quantised smoothed
 probabilities beside them. A query finds the context, then searches the successor within the
-context's range. Shards are files in the shared folder, memory-mapped by the workers.
+context's range. Each further level has the places of the level before as contexts: a pointer and a
+back-off weight for each place, and the successors, coded relative to the place, with probabilities. A node's
+descendants lie in the shard of its pair. Shards are files in the shared folder, memory-mapped by the workers.
 
-The model interpolates discounted bigram frequencies with the additive unigram base. Counts cover
+The model interpolates discounted n-gram frequencies of orders 2 to `order` with the additive unigram base: the
+longest context that was seen counts first. The start of a text is one context token. Counts cover
 every training document (crc32(doc_id) mod 5 is not 1), whole, without cap: each partition counts its own
 words and pairs first and sends them as sorted, compressed runs. A context with very many tokens is split
-over several shards by its successors.
+over several shards by its successors; those of one pair are together.
 
 Defined results: a null text is an empty one (the end alone); repeated rows train and score each; a
 row without doc_id trains; an empty training set gives the uniform base over the unknown word; an
@@ -264,78 +267,171 @@ def _write_backoff(batches, folder: str, words: tuple) -> Iterator[pa.RecordBatc
     yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32())], names=["k"])
 
 
+def _steps(p: np.ndarray) -> np.ndarray:
+    return np.clip(np.rint(-np.log10(p) / LOWEST * STEPS), 0, STEPS).astype("<u2")
+
+
+def _power(steps: np.ndarray) -> np.ndarray:
+    return 10.0 ** (-steps.astype(np.float64) * LOWEST / STEPS)
+
+
+def _count_level(batches, folder: str, words: tuple, n_pairs: int, level: int) -> Iterator[pa.RecordBatch]:
+    """Counts n-grams of a level from three on: contexts are places in the level before."""
+    t, g = trie(folder, words, n_pairs, level - 1), _Gather()
+    first, width = t.first[level - 1], np.uint64(t.v.size + 1)
+
+    def send():
+        keys, counts = g.merged()
+        shard = np.searchsorted(first, (keys // width).astype(np.int64), "right") - 1
+        return _send(keys - first[shard].astype(np.uint64) * width, counts, shard)
+
+    for _, texts in _texts(batches):
+        doc, number, _, node = t.nodes(texts)
+        at = np.flatnonzero((node[:-1] >= 0) & (doc[1:] == doc[:-1]))
+        g.add(node[at].astype(np.uint64) * width + number[at + 1].astype(np.uint64))
+        if g.size > GATHER:
+            yield from send()
+            g = _Gather()
+    yield from send()
+
+
+def _write_level(batches, folder: str, words: tuple, level: int) -> Iterator[pa.RecordBatch]:
+    """Writes one shard of a level from three on."""
+    k, width = TaskContext.get().partitionId(), vocabulary(*words).size + 1
+    keys, counts = _received(batches)
+    n = load(f"{folder}/{_file(level - 1, k)}")[1]["successors.n"]
+    place = (keys // np.uint64(width)).astype(np.int64)
+    fan, total = np.bincount(place, minlength=n), np.bincount(place, counts, n)
+    a1, m1 = pack("pointers", encode(np.concatenate([[0], np.cumsum(fan)]).astype(np.uint64), len(keys) + 1))
+    a2, m2 = pack("successors", encode(keys, max(1, n * width)))
+    own = {"steps": _steps(np.maximum(counts - DISCOUNT, 1e-9) / total[place]), "weights": _steps(np.where(fan > 0, DISCOUNT * fan / np.maximum(total, 1), 1))}
+    save(f"{folder}/{_file(level, k)}", a1 | a2 | own, m1 | m2)
+    yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32())], names=["k"])
+
+
+def _file(level: int, k: int) -> str:
+    return f"pairs-{k:06d}" if level == 2 else f"level{level}-{k:06d}"
+
+
+def _by(shard: np.ndarray) -> list[np.ndarray]:
+    """Places of each shard's members."""
+    order = np.argsort(shard, kind="stable")
+    return np.split(order, np.flatnonzero(np.diff(shard[order])) + 1) if len(order) else []
+
+
 class Trie:
-    def __init__(self, folder: str, words: tuple, n_pairs: int):
-        self.v = v = vocabulary(*words)
-        self.files = [load(f"{folder}/pairs-{k:06d}") for k in range(n_pairs)]
-        self.levels = [tuple(unpack(n, *f) for n in ("contexts", "pointers", "successors")) for f in self.files]
-        self.weights = [load(f"{folder}/backoff-{k:06d}")[0]["weights"] for k in range(len(v.sets) + 1)]
+    def __init__(self, folder: str, words: tuple, n_pairs: int, order: int):
+        self.v, self.order = vocabulary(*words), order
+        self.files = {m: [load(f"{folder}/{_file(m, k)}") for k in range(n_pairs)] for m in range(2, order + 1)}
+        self.contexts = [unpack("contexts", *f) for f in self.files[2]]
+        self.levels = {m: [tuple(unpack(n, *f) for n in ("pointers", "successors")) for f in files] for m, files in self.files.items()}
+        #: Numbers of the first place of each shard: a place's number is that plus its place in the shard.
+        self.first = {m: np.concatenate([[0], np.cumsum([s.n for _, s in level])]).astype(np.int64) for m, level in self.levels.items()}
+        self.weights = [load(f"{folder}/backoff-{k:06d}")[0]["weights"] for k in range(len(self.v.sets) + 1)]
 
     def backoff(self, context: np.ndarray) -> np.ndarray:
         v, out = self.v, np.ones(len(context))
         shard = np.where(context == v.size, len(v.sets), np.searchsorted(v.first, context, "right") - 1)
-        order = np.argsort(shard, kind="stable")
-        for part in np.split(order, np.flatnonzero(np.diff(shard[order])) + 1) if len(order) else []:
+        for part in _by(shard):
             k = shard[part[0]]
             out[part] = self.weights[k][context[part] - (v.first[k] if k < len(v.sets) else v.size)]
         return out
 
-    def discounted(self, context: np.ndarray, word: np.ndarray, context_count: np.ndarray) -> np.ndarray:
-        """The bigrams' own probability mass, 0 where the pair was not seen."""
-        out = np.zeros(len(context))
-        shard = pair_shard(context, word, context_count, len(self.levels))
-        order = np.argsort(shard, kind="stable")
-        for part in np.split(order, np.flatnonzero(np.diff(shard[order])) + 1) if len(order) else []:
-            k = shard[part[0]]
-            contexts, pointers, successors = self.levels[k]
-            if not successors.n:
-                continue
-            place = contexts.find(context[part].astype(np.uint64))
-            part, place = part[place >= 0], place[place >= 0]
-            key = place.astype(np.uint64) * np.uint64(self.v.size + 1) + word[part].astype(np.uint64)
-            at = successors.successor(key)
-            inside = (at >= pointers.get(place).astype(np.int64)) & (at < pointers.get(place + 1).astype(np.int64))
-            part, at, key = part[inside], at[inside], key[inside]
-            same = successors.get(at) == key
-            steps = self.files[k][0]["steps"][at[same]]
-            out[part[same]] = 10.0 ** (-steps.astype(np.float64) * LOWEST / STEPS)
+    def _successors(self, level: int, k: int, place: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """Places of successors within their contexts' ranges of one shard, or -1."""
+        pointers, successors = self.levels[level][k]
+        if not successors.n:
+            return np.full(len(place), -1, np.int64)
+        key = place.astype(np.uint64) * np.uint64(self.v.size + 1) + word.astype(np.uint64)
+        at = successors.successor(key)
+        ok = np.flatnonzero(at < successors.n)
+        ok = ok[successors.get(at[ok]) == key[ok]]
+        ok = ok[(at[ok] >= pointers.get(place[ok]).astype(np.int64)) & (at[ok] < pointers.get(place[ok] + 1).astype(np.int64))]
+        out = np.full(len(place), -1, np.int64)
+        out[ok] = at[ok]
         return out
 
-    def scores(self, texts: list[bytes]) -> dict[str, np.ndarray]:
-        v, n = self.v, len(texts)
+    def discounted(self, context: np.ndarray, word: np.ndarray, context_count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bigrams' own probability mass and number of place; 0 and -1 where the pair was not seen."""
+        out, node = np.zeros(len(context)), np.full(len(context), -1, np.int64)
+        shard = pair_shard(context, word, context_count, len(self.contexts))
+        for part in _by(shard):
+            k = shard[part[0]]
+            place = self.contexts[k].find(context[part].astype(np.uint64))
+            part, place = part[place >= 0], place[place >= 0]
+            at = self._successors(2, k, place, word[part])
+            part, at = part[at >= 0], at[at >= 0]
+            out[part], node[part] = _power(self.files[2][k][0]["steps"][at]), self.first[2][k] + at
+        return out, node
+
+    def longer(self, level: int, parent: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Own probability mass, back-off weight of the parent and number of place, for parents of the level before; word -1: unknown."""
+        out, weight, node = np.zeros(len(parent)), np.ones(len(parent)), np.full(len(parent), -1, np.int64)
+        shard = np.searchsorted(self.first[level - 1], parent, "right") - 1
+        for part in _by(shard):
+            k = shard[part[0]]
+            place, arrays = parent[part] - self.first[level - 1][k], self.files[level][k][0]
+            weight[part] = _power(arrays["weights"][place])
+            part, place = part[word[part] >= 0], place[word[part] >= 0]
+            at = self._successors(level, k, place, word[part])
+            part, at = part[at >= 0], at[at >= 0]
+            out[part], node[part] = _power(arrays["steps"][at]), self.first[level][k] + at
+        return out, weight, node
+
+    def _walk(self, texts: list[bytes]):
+        """(doc, number, count), then (level, members, own mass, weight, number of place of every token) by level."""
+        v = self.v
         doc, number, count, context, before = numbered(v, texts)
-        base = v.base(count)
         before = np.where(context == v.size, v.docs, before)
-        seen = context >= 0
-        weight, own = np.ones(len(doc)), np.zeros(len(doc))
-        both = np.flatnonzero(seen)
-        weight[both] = self.backoff(context[both])
-        pairs = np.flatnonzero(seen & (number >= 0))
+        yield doc, number, count
+        own, node = np.zeros(len(doc)), np.full(len(doc), -1, np.int64)
+        both = np.flatnonzero(context >= 0)
+        weight = self.backoff(context[both])
+        pairs = both[number[both] >= 0]
         distinct, at = np.unique(context[pairs] * (v.size + 1) + number[pairs], return_inverse=True)
         one = np.zeros(len(distinct), np.int64)
         one[at] = pairs
-        own[pairs] = self.discounted(context[one], number[one], before[one])[at]
-        p = np.log10(own + weight * 10.0**base)
+        p, places = self.discounted(context[one], number[one], before[one])
+        own[pairs], node[pairs] = p[at], places[at]
+        yield 2, both, own[both], weight, node
+        for level in range(3, self.order + 1):
+            have = 1 + np.flatnonzero((node[:-1] >= 0) & (doc[1:] == doc[:-1]))
+            parent, node = node[have - 1], np.full(len(doc), -1, np.int64)
+            own, weight, node[have] = self.longer(level, parent, number[have])
+            yield level, have, own, weight, node
+
+    def nodes(self, texts: list[bytes]):
+        """(doc, number, count, number of place in the last level or -1) of every token."""
+        first, *_, last = self._walk(texts)
+        return *first, last[-1]
+
+    def scores(self, texts: list[bytes]) -> dict[str, np.ndarray]:
+        n, walk = len(texts), self._walk(texts)
+        doc, _, count = next(walk)
+        base = self.v.base(count)
+        p = 10.0**base
+        for _, members, own, weight, _ in walk:
+            p[members] = own + weight * p[members]
         return {
             "n_tokens": np.bincount(doc, minlength=n), "n_known": np.bincount(doc[count > 0], minlength=n),
-            "base_score": np.bincount(doc, base, n), "score": np.bincount(doc, p, n),
+            "base_score": np.bincount(doc, base, n), "score": np.bincount(doc, np.log10(p), n),
         }
 
 
 @lru_cache(1)
-def trie(folder: str, words: tuple, n_pairs: int) -> Trie:
-    return Trie(folder, words, n_pairs)
+def trie(folder: str, words: tuple, n_pairs: int, order: int) -> Trie:
+    return Trie(folder, words, n_pairs, order)
 
 
-def _score(batches, folder: str, words: tuple, n_pairs: int) -> Iterator[pa.RecordBatch]:
-    t = trie(folder, words, n_pairs)
+def _score(batches, folder: str, words: tuple, n_pairs: int, order: int) -> Iterator[pa.RecordBatch]:
+    t = trie(folder, words, n_pairs, order)
     for batch, texts in _texts(batches):
         s = t.scores(texts)
         cols = [batch.column("doc_id"), batch.column("held_out"), pa.array(s["n_tokens"]), pa.array(s["n_known"]), pa.array(np.full(len(texts), t.v.total)), pa.array(s["base_score"]), pa.array(s["score"])]
         yield pa.RecordBatch.from_arrays(cols, names=[x.split()[0] for x in SCHEMA.split(", ")])
 
 
-def build(train: DataFrame, folder: str, n_shards: int | None = None) -> tuple[str, tuple, int]:
+def build(train: DataFrame, folder: str, n_shards: int | None = None, order: int = 2) -> tuple[str, tuple, int]:
     """Writes the trie of all texts of `train`; returns what `_score` needs. Only sizes of shards reach the driver."""
     spark = train.sparkSession
     path, text = local_path(folder), train.select(F.col("text").cast("string"))
@@ -350,6 +446,9 @@ def build(train: DataFrame, folder: str, n_shards: int | None = None) -> tuple[s
     shard = F.size(F.filter(F.array(*[F.lit(e) for e in edges]), lambda e: e <= F.col("context")))
     fans = fans.groupBy("context").agg(F.sum("fan").alias("fan"))
     fans.repartitionById(n_words + 1, shard).mapInArrow(partial(_write_backoff, folder=path, words=words), "k int").collect()
+    for level in range(3, order + 1):
+        runs = text.mapInArrow(partial(_count_level, folder=path, words=words, n_pairs=n_pairs, level=level), _RUN)
+        runs.repartitionById(n_pairs, F.col("shard")).mapInArrow(partial(_write_level, folder=path, words=words, level=level), "k int").collect()
     return path, words, n_pairs
 
 
@@ -357,8 +456,10 @@ def remainder(doc_id):
     return (F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5).cast("int")
 
 
-def lm_scores(docs: DataFrame) -> DataFrame:
-    """One row per document: counts, base score and the model's score."""
+def lm_scores(docs: DataFrame, order: int = 2) -> DataFrame:
+    """One row per document: counts, base score and the model's score. `order` is 2 or more."""
+    if order < 2:
+        raise ValueError("the order of the model is 2 or more")
     rows = docs.select(F.col("doc_id").cast("long"), (remainder(F.col("doc_id")) == 1).alias("held_out"), F.col("text").cast("string"))
-    path, words, n_pairs = build(rows.where("not held_out"), new_folder(docs.sparkSession, "lm-trie"))
-    return rows.mapInArrow(partial(_score, folder=path, words=words, n_pairs=n_pairs), SCHEMA)
+    path, words, n_pairs = build(rows.where("not held_out"), new_folder(docs.sparkSession, "lm-trie"), order=order)
+    return rows.mapInArrow(partial(_score, folder=path, words=words, n_pairs=n_pairs, order=order), SCHEMA)

@@ -40,7 +40,7 @@ def op7_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngramtrie.lm_scores(table(spark, sf_dir, "documents"))
+    return ngramtrie.lm_scores(table(spark, sf_dir, "documents"), order=3)
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
