@@ -233,6 +233,14 @@ def test_pii(spark):
     assert pii.surrogates(d.where("false")).count() == 0
 
 
+def test_pii_given_names_never_run_out(spark):
+    """More distinct given names than the Greek list has up to three of: 8 + 64 + 512."""
+    letters = "αβγδεζηθικ"
+    texts = [f"Κυρία Ζ{letters[i % 10]}{letters[i // 10 % 10]}{letters[i // 100]} Βαρδεν" for i in range(700)]
+    got = [r.text.split()[1] for r in pii.surrogates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()]
+    assert len(set(got)) == 700 and all(set(x.split("-")) <= set(pii.GIVEN["greek", "f"]) for x in got)
+
+
 def test_elias_fano():
     r = np.random.default_rng(1)
     for n, u in ((0, 10), (1, 1), (5, 100), (1000, 1000), (5000, 1 << 40), (3000, 1 << 63)):

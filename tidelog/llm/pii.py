@@ -176,13 +176,13 @@ def _by_script(value: Column, of) -> Column:
 
 def _given(kind: Column, value: Column, digest: Column, attempt: Column) -> Column:
     names = F.when(kind == "given_m", _by_script(value, lambda s: _strings(GIVEN[s, "m"]))).otherwise(_by_script(value, lambda s: _strings(GIVEN[s, "f"])))
-    pick = lambda a, k: F.element_at(a, _number(digest, k) % F.size(a) + 1)
-    more = lambda a, k, least: F.when(attempt > least, F.concat(F.lit("-"), pick(a, k))).otherwise("")
-    return _let(names, lambda a: F.concat(pick(a, 1), more(a, 5, 0), more(a, 9, 2)))
+    # names joined by hyphens; every second attempt has one more, so that there are always enough
+    count = F.lit(1) + F.floor((attempt + 1) / 2).cast("int")
+    return _let(names, lambda a: F.array_join(F.transform(F.sequence(F.lit(1), count), lambda k: F.element_at(a, _number(digest, k * 4 - 3) % F.size(a) + 1)), "-"))
 
 
 def _surname(value: Column, digest: Column, attempt: Column) -> Column:
-    count = F.least(F.lit(3) + F.floor((attempt + 1) / 2).cast("int"), F.lit(6))
+    count = F.lit(3) + F.floor((attempt + 1) / 2).cast("int")
     return _let(
         _by_script(value, lambda s: _strings(SYLLABLES[s])),
         lambda a: F.initcap(F.array_join(F.transform(F.sequence(F.lit(1), count), lambda k: F.element_at(a, _number(digest, k * 4) % F.size(a) + 1)), "")),
