@@ -233,6 +233,21 @@ def test_pii(spark):
     assert pii.surrogates(d.where("false")).count() == 0
 
 
+def test_pii_long_values(spark):
+    """Values of any length are replaced whole, the full stop of a sentence is not theirs."""
+    local, long, jwt, many = "x" * 70 + ".y", "Ab1" * 30_000, "eyJh.bGci~x.c2ln-_8=", "Qz." * 5_000 + "Qz"
+    texts = [f"mail {local}@corp.example.", f'token="{long}" end', f"token={jwt}. Next", f"token={jwt} Next", f"secret: {many} end", "u@" + "a." * 20 + "museum!", "token=abc.", "token=abcde. End"]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in pii.surrogates(d).collect()}
+    assert local not in got[0] and "corp" not in got[0] and got[0].startswith("mail ") and got[0].endswith(".")
+    a = got[1][7:-5]
+    assert len(a) == len(long) and sum(x == y for x, y in zip(a, long)) < len(long) / 4 and got[1].endswith('" end')
+    b = got[2].removeprefix("token=").removesuffix(". Next")
+    assert got[3] == f"token={b} Next" and len(b) == len(jwt) and all(x not in b for x in ("eyJh", "bGci", "c2ln")) and b[4] == b[11] == "." and b[-1] == "="
+    assert got[4].startswith("secret: ") and got[4].endswith(" end") and len(got[4]) == len(texts[4]) and got[4].count("Qz") < 500
+    assert "a.a.a" not in got[5] and "museum" not in got[5] and got[5].endswith("!") and [got[6], got[7]] == texts[6:]
+
+
 def test_pii_given_names_never_run_out(spark):
     """More distinct given names than the Greek list has up to three of: 8 + 64 + 512."""
     letters = "αβγδεζηθικ"

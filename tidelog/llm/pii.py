@@ -53,14 +53,14 @@ _ALL_GIVEN = "|".join(n for names in GIVEN.values() for n in names)
 _ALL_TITLES = "|".join((*TITLES_F, *TITLES_M, *TITLES_N))
 #: (kind, first characters, pattern), tried in this order at each place.
 PATTERNS = (
-    ("secret", "PpSsTtAa", r"(?<![A-Za-z])(?i:password|passwd|pwd|secret|token|api_?key)\s{0,2}[=:]\s{0,2}[\"']?[A-Za-z0-9_+/-]{6,512}"),
+    ("secret", "PpSsTtAa", r"(?<![A-Za-z])(?i:password|passwd|pwd|secret|token|api_?key)\s{0,2}[=:]\s{0,2}[\"']?(?=[A-Za-z0-9_+/=~.-]{5,}?[A-Za-z0-9_+/=~-])(?:\.*+[A-Za-z0-9_+/=~-]++)++"),
     ("key", "A", r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])"),
     ("iban", "A-Z", r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"),
     ("card", r"\d", r"(?<![\d.-])(?:\d{4}[ -]?){3}\d{4}(?![\d-])"),
     ("ssn", r"\d", r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"),
     ("ip", r"\d", rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d)"),
     ("phone", r"\d(+", r"(?<![\d.])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]?\d{4}(?!\d)|\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}(?!\d)"),
-    ("email", "A-Za-z0-9._%+-", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}"),
+    ("email", "A-Za-z0-9._%+-", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]{1,63}\.){1,126}[A-Za-z]{2,63}"),
     ("person", r"\p{Lu}", rf"(?<!\p{{L}})(?:(?:{_ALL_TITLES})\.?\s{_NAME}(?:\s{_NAME})?|(?:{_ALL_GIVEN})\s{_NAME})"),
 )
 PATTERN = "|".join(f"(?=[{first}])(?:{p})" for _, first, p in PATTERNS)
@@ -131,17 +131,18 @@ def _let(value: Column, body) -> Column:
 
 def _scramble(value: Column, digest: Column, hexadecimal: Column) -> Column:
     """Each digit by a digit, each letter by one of its case; all else stays. Characters go by their place among those."""
-    chars = F.transform(F.sequence(F.lit(1), F.greatest(F.length(value), F.lit(1))), lambda i: F.substr(value, i, F.lit(1)))
+    gaps = F.split(value, r"[\p{L}\d]", -1)
 
     def one(c, i):
-        before = F.length(F.regexp_replace(F.substr(value, F.lit(1), i), r"[^\p{L}\d]", ""))
         pick = lambda n: (
             F.when(hexadecimal, F.substr(F.lit("0123456789abcdef"), n % 16 + 1, F.lit(1)))
             .otherwise(F.char(F.when(c.rlike(r"^\d$"), n % 10 + 48).when(c.rlike(r"^\p{Lu}$"), n % 26 + 65).otherwise(n % 26 + 97)))
         )
-        return F.when(c.rlike(r"^[\p{L}\d]$"), _let(_number(digest, before), pick)).otherwise(c)
+        return _let(_number(digest, i), pick)
 
-    return F.array_join(F.transform(chars, one), "")
+    mixed = F.transform(F.regexp_extract_all(value, F.lit(r"[\p{L}\d]"), F.lit(0)), one)
+    rest = lambda g: F.slice(g, 2, F.greatest(F.size(g) - 1, F.lit(1)))
+    return _let(gaps, lambda g: F.concat(g[0], F.array_join(F.zip_with(mixed, rest(g), lambda m, x: F.concat(m, x)), "")))
 
 
 def _luhn_sum(digits: Column) -> Column:
