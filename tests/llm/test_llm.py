@@ -77,6 +77,19 @@ def test_simhash(spark):
     assert comp(4096) == comp(2)
 
 
+def test_simhash_rows_without_id(spark):
+    """One row of each component stays, of those without any id too."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for group, ids in enumerate(([None] * 4, [None, 7, None, 9], [None], [11, 12])):
+        w = [f"g{group}w{k}" for k in rng.integers(0, 400, 300)]
+        for k, i in enumerate(ids):
+            rows.append((i, " ".join([*w[:k], *w[k + 1 :]] if k % 2 else w), group))
+    d = spark.createDataFrame([*rows, rows[0]], "doc_id long, text string, grp int")
+    assert d.count() == 12 and len({r.component_id for r in simhash.near_duplicates(d.where("doc_id > 0")).collect()}) == 2
+    assert sorted((r.grp, r.doc_id) for r in simhash.one_of_each(d).collect()) == [(0, None), (1, 7), (2, None), (3, 11)]
+
+
 def test_mixing(spark):
     rows = [(i, " ".join(["w"] * (i % 50)), f"s{i % 5}" if i % 7 else None) for i in range(300)]
     d = spark.createDataFrame(rows, "doc_id long, text string, source string")

@@ -232,16 +232,22 @@ def links(nodes: DataFrame, tile: int = TILE) -> DataFrame:
     return rows.repartition("bucket", "tile").sortWithinPartitions("bucket", "tile").mapInArrow(_bucket_task, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, fp, component_id (smallest doc_id reachable)."""
+def _linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, fp) of every row, and (_fp, root, component_id) of every fingerprint."""
     prints = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_fingerprints, "doc_id long, fp long")
     prints = cut(prints)
     nodes = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("low")))
     comp = components(links(nodes.select("fp")))
     linked = nodes.join(comp, nodes["fp"] == comp["node"])
     lowest = linked.groupBy("root").agg(F.min("low").alias("component_id"))
-    by_fp = comp.join(lowest, "root").select(F.col("node").alias("fp"), "component_id")
-    by_fp = nodes.join(by_fp, "fp", "left").select(F.col("fp").alias("_fp"), F.coalesce("component_id", "low").alias("component_id"))
+    by_fp = comp.join(lowest, "root").select(F.col("node").alias("fp"), "root", "component_id")
+    by_fp = nodes.join(by_fp, "fp", "left").select(F.col("fp").alias("_fp"), F.coalesce("root", "fp").alias("root"), F.coalesce("component_id", "low").alias("component_id"))
+    return prints, by_fp
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """One row per document: doc_id, fp, component_id (smallest doc_id reachable)."""
+    prints, by_fp = _linked(docs)
     return prints.join(by_fp, prints["fp"] == by_fp["_fp"]).select("doc_id", "fp", "component_id")
 
 
@@ -252,11 +258,19 @@ def hex_digits(fp):
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The documents with the smallest doc_id of each component, once each, with all their columns.
 
-    Rows of one doc_id with different texts all stay if that id stays; rows without doc_id stay
-    unless a row with an id shares their component.
+    Rows of one doc_id with different texts all stay if that id stays. A row without doc_id has its text's hash
+    for an identity: one such row stays of each component in which no row has an id.
     """
-    kept = near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
-    rows = docs.select(F.col("doc_id").alias("_doc"), F.xxhash64("text").alias("_h"), packed(docs))
-    rows = rows.join(kept, rows["_doc"].eqNullSafe(kept["_id"]), "left_semi")
+    prints, by_fp = _linked(docs)
+    near = prints.join(by_fp, prints["fp"] == by_fp["_fp"])
+    kept = near.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_id"), F.lit(None).cast("long").alias("_of")).distinct()
+    bare = docs.where(F.col("doc_id").cast("long").isNull())
+    if bare.head(1):
+        bare = bare.select(F.xxhash64("text").alias("doc_id"), F.col("text").cast("string")).mapInArrow(_fingerprints, "doc_id long, fp long")
+        bare = bare.join(by_fp.where("component_id IS NULL"), F.col("fp") == F.col("_fp")).groupBy("root").agg(F.min("doc_id").alias("_of"))
+        kept = kept.unionByName(bare.select(F.lit(None).cast("long").alias("_id"), "_of"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("_doc"), F.xxhash64("text").alias("_h"), packed(docs))
+    of = F.when(rows["_doc"].isNull(), rows["_h"])
+    rows = rows.join(kept, rows["_doc"].eqNullSafe(kept["_id"]) & of.eqNullSafe(kept["_of"]), "left_semi")
     first = F.row_number().over(W.partitionBy("_doc", "_h").orderBy("_h"))
     return rows.withColumn("_n", first).where("_n = 1").select(*unpacked(docs))
