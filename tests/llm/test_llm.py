@@ -137,6 +137,17 @@ def test_token_files(spark, tmp_path):
     assert tokenfile.token_files(empty(spark)).count() == 0
 
 
+def test_token_files_read_added_tokens_as_the_library_does():
+    from tokenizers import Tokenizer
+
+    path = P.path("word_bpe_49k.json")
+    t = Tokenizer.from_file(path)
+    texts = [*filter(None, TEXTS), "one <|endoftext|> two", "one<|endoftext|>two\n<|startoftext|>'s <|ENDOFTEXT|> <|end oftext|>"]
+    assert all(not set(" \n") & set(x.content) and not (x.lstrip or x.rstrip) for x in t.get_added_tokens_decoder().values())
+    for x, got in zip(texts, tokenfile.encode_batch(path, texts)):
+        assert np.frombuffer(got, "<u4").tolist() == t.encode(x, add_special_tokens=False).ids
+
+
 def test_embeddings(spark):
     rng = np.random.default_rng(1)
     base = rng.normal(size=(30, 16))

@@ -52,15 +52,13 @@ def tokenizer(path: str):
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
-    return t, {}
+    return Tokenizer.from_file(path), {}
 
 
 def encode_batch(path: str, texts: list[str]) -> list[bytes]:
     """The ids of each text as little-endian uint32.
 
-    The tokenizer joins nothing across a space or a line feed, so words between them are
+    The tokenizer joins nothing across a space or a line feed, and its added tokens hold neither, so words between them are
     encoded apart and those of this worker's memory not again.
     """
     t, memo = tokenizer(path)
