@@ -222,3 +222,15 @@ def test_insight_without_samples_has_no_row(spark):
     row = lambda sampler, **m: (sampler, None, *[m.get(n) for n in names])
     got = stats.insight(spark.createDataFrame([row("disabled"), row("disabled", pending_jobs=0), row("ok"), row("ok", failed_jobs=2, failed_retryable_jobs=2)], kind))
     assert sorted((r.status, r.blocker) for r in got.collect()) == [("backlogged", "retryable_job_backoff"), ("idle", "none"), ("unknown", "cdc_sampler")]
+
+
+def test_change_records_are_decoded_whole_and_cut_by_shard(spark):
+    from tidelog.plans.queries import QUERIES
+    from tidelog.sources import dynamic
+
+    d = "/root/testdata/sf0.01"
+    assert QUERIES["change_record_decode_all"](spark, d).count() == spark.read.parquet(f"{d}/events.parquet").count() > 5000
+    body = '{"eventName":"INSERT","dynamodb":{"Keys":{"id":{"S":"k"}}}}'
+    rows = [(f"s{s}", i, (s + 1) * 10 * i, body) for s in range(3) for i in range(10)] + [("s0", 10, 0, body)]
+    got = dynamic.change_records(spark.createDataFrame(rows, "shard string, position long, arrival_ms long, body string"), cutoff_ms=60)
+    assert {(r["event_id"]) for r in got.collect()} == {f"s{s}:{i}" for s, n in enumerate((7, 4, 3)) for i in range(n)}

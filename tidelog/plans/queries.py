@@ -705,16 +705,25 @@ def config_scrub(spark, d):
     return read(spark, d, "events").select("event_id", X.scrub_url(url).alias("url"))
 
 
-@query("SELECT event_id, CASE WHEN event_id % 4 = 0 THEN 'delete' ELSE 'upsert' END AS op, 's' || event_id % 3 || ':' || event_id AS key, 'k' || event_id AS name FROM events WHERE event_id < 5000")
-def change_record_decode(spark, d):
+def _change_records(spark, d, cutoff_ms=None):
     i = F.col("event_id")
     image = F.concat(F.lit('{"id":{"S":"k'), i.cast("string"), F.lit('"}}'))
     body = F.concat(F.lit('{"eventName":"'), F.when(i % 4 == 0, "REMOVE").otherwise("INSERT"), F.lit('","dynamodb":{"ApproximateCreationDateTime":1.5,"'), F.when(i % 4 == 0, "Keys").otherwise("NewImage"), F.lit('":'), image, F.lit("}}"))
     r = read(spark, d, "events").select(F.concat(F.lit("s"), (i % 3).cast("string")).alias("shard"), i.alias("position"), i.alias("arrival_ms"), body.alias("body"))
-    c = dynamic.change_records(r, cutoff_ms=4999)
+    c = dynamic.change_records(r, cutoff_ms=cutoff_ms)
     return c.select(F.substring_index("event_id", ":", -1).cast("long").alias("event_id"), "op", F.col("event_id").alias("key"), F.get_json_object(dynamic.decoded(F.col("item")), "$.id").alias("name"))
 
 
+@query("SELECT event_id, CASE WHEN event_id % 4 = 0 THEN 'delete' ELSE 'upsert' END AS op, 's' || event_id % 3 || ':' || event_id AS key, 'k' || event_id AS name FROM events WHERE event_id < 5000")
+def change_record_decode(spark, d):
+    return _change_records(spark, d, cutoff_ms=4999)
+
+
+@query("SELECT event_id, CASE WHEN event_id % 4 = 0 THEN 'delete' ELSE 'upsert' END AS op, 's' || event_id % 3 || ':' || event_id AS key, 'k' || event_id AS name FROM events")
+def change_record_decode_all(spark, d):
+    return _change_records(spark, d)
+
+
 @query(JOBS + "SELECT job_id, CASE WHEN stage = 'received' THEN CASE status WHEN 'running' THEN 'applying' WHEN 'succeeded' THEN 'applied' WHEN 'failed' THEN 'failed' ELSE stage END ELSE stage END AS stage FROM jobs")
 def stage_normalisation(spark, d):
     return jobs(spark, d).select("job_id", ledger.stage_for(F.col("stage"), F.col("status")).alias("stage"))
