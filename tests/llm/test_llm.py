@@ -122,7 +122,9 @@ def test_byte_bpe(spark):
 
 
 def test_token_files(spark, tmp_path):
-    t, _ = tokenfile.tokenizer(P.path("word_bpe_49k.json"))
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(P.path("word_bpe_49k.json"))
     got = sorted(tokenfile.token_files(docs(spark)).collect(), key=lambda r: r.start)
     order = [None, *range(len(TEXTS))]
     start = 0
@@ -137,15 +139,29 @@ def test_token_files(spark, tmp_path):
     assert tokenfile.token_files(empty(spark)).count() == 0
 
 
-def test_token_files_read_added_tokens_as_the_library_does():
+def test_token_files_deal_out_one_id(spark, tmp_path):
+    """Many rows of one doc_id, or of none, do not meet in one shard."""
+    rows = [(7 if i % 2 else None, f"text number {i}") for i in range(400)]
+    m = tokenfile.write_tokens(spark.createDataFrame(rows, "doc_id long, text string"), str(tmp_path / "x"), shards=8).collect()
+    assert sum(r.n_docs for r in m) == 400 and max(r.n_docs for r in m) < 120
+    assert [r.start for r in sorted(m)] == [sum(x.n_tokens for x in sorted(m)[:k]) for k in range(len(m))]
+
+
+def test_token_files_encode_as_the_library_does():
     from tokenizers import Tokenizer
 
     path = P.path("word_bpe_49k.json")
     t = Tokenizer.from_file(path)
-    texts = [*filter(None, TEXTS), "one <|endoftext|> two", "one<|endoftext|>two\n<|startoftext|>'s <|ENDOFTEXT|> <|end oftext|>"]
-    assert all(not set(" \n") & set(x.content) and not (x.lstrip or x.rstrip) for x in t.get_added_tokens_decoder().values())
-    for x, got in zip(texts, tokenfile.encode_batch(path, texts)):
-        assert np.frombuffer(got, "<u4").tolist() == t.encode(x, add_special_tokens=False).ids
+    texts = [*filter(None, TEXTS), "one <|endoftext|> two", "one<|endoftext|>two\n<|startoftext|>'s <|ENDOFTEXT|> <|end oftext|> a<|endoftext|>. x.<|endoftext|>"]
+    texts += ["don't. DON'T! it's' dogs' 'tis 've. a.b. a..b... (word) word),-\u2026. \u2026.. 12. 3a. a3! e\u0301. e\u0301'. \u03a3\u0391\u03a3. \u0130. \ufb01. \u00bd. \u4e00. x\u0301.\u0301 a\u00a0b.\tc! d\r\n.e  f"]
+    rng = np.random.default_rng(4)
+    letters = list("abAZ\u00e9\u0130\u03a3\u4e00\u0301\u00bd19''<|>.,!-\u2026 \n\t\u00a0") + ["<|endoftext|>", "'s", "'ll"]
+    texts += ["".join(rng.choice(letters, 60)) for _ in range(3000)]
+    assert all(not set(" \n") & set(x.content) and "<|" in x.content and not (x.lstrip or x.rstrip) for x in t.get_added_tokens_decoder().values())
+    e = tokenfile.Encoder(path, most=500)
+    for k in range(0, len(texts), 100):
+        for x, got in zip(texts[k : k + 100], e(texts[k : k + 100])):
+            assert got.tolist() == t.encode(x, add_special_tokens=False).ids, x
 
 
 def test_embeddings(spark):

@@ -6,9 +6,9 @@ seek table of the public seekable format (compressed size, decompressed size and
 XXH64 for each frame; count, descriptor and magic number as footer). A reader opens the
 footer, then decompresses the frames of the documents that it wants and no others.
 
-Shards follow doc_id order: bounds come from quantiles of doc_id, rows go to the shard of
-their range and are sorted there. A shard is written under another name and renamed, so a
-task that runs again leaves one whole file.
+Shards follow doc_id order: Spark's range partitioning deals out the rows, each partition is sorted,
+encoded and written in one task, frame by frame. A shard is written under a name of its own and renamed,
+so a task that runs again, or twice at once, leaves one whole file.
 
 Defined results: a null text is an empty one (the end id alone); rows without doc_id come
 first; repeated rows are encoded each; an empty table gives no rows; columns besides doc_id
@@ -18,11 +18,14 @@ and text are not read. The shared folder must be mounted on every node.
 from __future__ import annotations
 
 import os
+import re
 import struct
+import unicodedata
+import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache, partial
-from itertools import islice
+from itertools import chain, islice
 
 import numpy as np
 import public_tokenizers
@@ -38,8 +41,10 @@ from .common import chunks, local_path, new_folder
 
 END_ID = 2
 LEVEL = 3
-#: Words whose ids a worker keeps. Beyond it the later half goes: frequent words came first.
-MEMO = 600_000
+#: Words whose ids a worker keeps, and bytes of text that it encodes at once.
+MEMO, ENCODE_BYTES = 600_000, 4 << 20
+#: Bytes of input for each shard, as Spark estimates them. The count is bounded, so that at most so many manifest rows reach the driver.
+SHARD_BYTES, MOST_SHARDS = 256 << 20, 1 << 20
 #: Fixed values of the seekable zstandard format.
 SKIPPABLE, SEEK_MAGIC, IDS_FRAME, SEEK_FRAME = 0x184D2A50, 0x8F92EAB1, 0x184D2A51, 0x184D2A5E
 _FOOTER = struct.Struct("<IBI")
@@ -47,38 +52,127 @@ _HEAD = struct.Struct("<II")
 _NO_ID = -(1 << 63)
 
 
-@lru_cache(2)
-def tokenizer(path: str):
-    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    from tokenizers import Tokenizer
+@lru_cache(1 << 16)
+def _ends_as_letter(character: str) -> bool:
+    """Is it a letter still when the tokenizer has normalised it; some gain a combining mark."""
+    return unicodedata.normalize("NFC", character).lower()[-1].isalpha()
+
+
+class _Table:
+    """Strings, and the ids of each in one growing array."""
+
+    def __init__(self):
+        self.place: dict[str, int] = {}
+        self.first, self.size, self.ids, self.used = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64), np.zeros(1 << 18, "<u4"), 0
+
+    def add(self, names: list[str], ids: np.ndarray, size: np.ndarray) -> None:
+        k, n, total = len(self.place), len(names), len(ids)
+        if k + n > len(self.first):
+            self.first, self.size = (np.concatenate([x[:k], np.zeros(k + 2 * n, np.int64)]) for x in (self.first, self.size))
+        if self.used + total > len(self.ids):
+            self.ids = np.concatenate([self.ids[: self.used], np.zeros(self.used + 2 * total, "<u4")])
+        self.size[k : k + n], self.first[k : k + n] = size, self.used + np.cumsum(size) - size
+        self.ids[self.used : self.used + total] = ids
+        self.used += total
+        self.place.update(zip(names, range(k, k + n)))
+
+    def places(self, names: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.place.__getitem__, names), np.int64, len(names))
+
+    def spelled(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of these strings one after the other, and where each ends."""
+        size = self.size[at]
+        end = np.cumsum(size)
+        return self.ids[np.repeat(self.first[at] - (end - size), size) + np.arange(end[-1] if len(end) else 0)], end
 
-    return Tokenizer.from_file(path), {}
+    def forget(self, keep: int) -> None:
+        """The later ones go: frequent strings came first."""
+        first = list(islice(self.place, keep))
+        self.used = int(self.first[len(first) - 1] + self.size[len(first) - 1]) if first else 0
+        self.place = dict(zip(first, range(len(first))))
 
 
-def encode_batch(path: str, texts: list[str]) -> list[bytes]:
-    """The ids of each text as little-endian uint32.
+class Encoder:
+    """A tokenizer with a memory of the words that it has met.
 
-    The tokenizer joins nothing across a space or a line feed, and its added tokens hold neither, so words between them are
-    encoded apart and those of this worker's memory not again.
+    The tokenizer joins nothing across a space or a line feed, so words between them are encoded apart. Its
+    pre-tokenizer parts a letter from the ASCII punctuation after it, and its added tokens hold `<|`: a word
+    without that, of which a letter stands before a tail of such punctuation, is encoded as head and tail.
+    Heads of plain letters are one pre-token each, whose last id alone bears the mark of a word's end, so many
+    of them are encoded in one call and parted at those ids. Case does not count.
     """
-    t, memo = tokenizer(path)
-    parts = [x.replace("\n", " ").split(" ") for x in texts]
-    if len(memo) > MEMO:
-        first = list(islice(memo.items(), MEMO // 2))
-        memo.clear()
-        memo.update(first)
-    new = [w for w in set().union(*parts) if w not in memo]
-    for k in range(0, len(new), 20_000):
-        for w, e in zip(new[k : k + 20_000], t.encode_batch_fast(new[k : k + 20_000], add_special_tokens=False)):
-            memo[w] = np.array(e.ids, "<u4").tobytes()
-    get = memo.__getitem__
-    return [b"".join(map(get, p)) for p in parts]
+
+    _TAIL = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+    _PLAIN = re.compile("[a-z\u00e0-\u00f6\u00f8-\u00ff\u0430-\u044f\u0451]+")
+    _AT_ONCE = 1000
+
+    def __init__(self, path: str, most: int = MEMO):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer
+
+        self.tokenizer, self.most = Tokenizer.from_file(path), most
+        self.words, self.heads = _Table(), _Table()
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.is_end = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.is_end[[i for w, i in vocabulary.items() if w.endswith("</w>")]] = True
+
+    def _encode(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn_heads(self, heads: list[str]) -> None:
+        plain = [h for h in heads if self._PLAIN.fullmatch(h)]
+        other = [h for h in heads if not self._PLAIN.fullmatch(h)]
+        for k in range(0, len(plain), 64 * self._AT_ONCE):
+            block = plain[k : k + 64 * self._AT_ONCE]
+            ids = np.fromiter(chain.from_iterable(self._encode([" ".join(block[i : i + self._AT_ONCE]) for i in range(0, len(block), self._AT_ONCE)])), "<u4")
+            ends = np.flatnonzero(self.is_end[ids]) + 1
+            if len(ends) == len(block) and ends[-1] == len(ids):
+                self.heads.add(block, ids, np.diff(ends, prepend=0))
+            else:
+                other += block
+        for k in range(0, len(other), 20_000):
+            each = self._encode(other[k : k + 20_000])
+            self.heads.add(other[k : k + 20_000], np.fromiter(chain.from_iterable(each), "<u4"), np.fromiter(map(len, each), np.int64, len(each)))
+
+    def _learn(self, words: list[str]) -> None:
+        parts, known = [], self.heads.place
+        for w in words:
+            h = w.rstrip(self._TAIL)
+            if not (h and _ends_as_letter(h[-1]) and "<|" not in w):
+                h = w
+            parts.append(h.lower() if h.isascii() and "<|" not in h else h)
+            parts.append(w[len(h) :])
+        self._learn_heads([h for h in dict.fromkeys(parts) if h not in known])
+        ids, end = self.heads.spelled(self.heads.places(parts))
+        self.words.add(words, ids, np.diff(end[1::2], prepend=0))
+
+    def __call__(self, texts: list[str] | pa.Array) -> list[np.ndarray]:
+        """The ids of each text; a null is an empty text."""
+        texts = pc.fill_null(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), "").cast(pa.large_string())
+        parts = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        flat = parts.flatten().dictionary_encode()
+        words = flat.dictionary.to_pylist()
+        for t in (self.words, self.heads):
+            if len(t.place) > self.most:
+                t.forget(self.most // 2)
+        known = self.words.place
+        new = [w for w in words if w not in known]
+        if new:
+            self._learn(new)
+        ids, end = self.words.spelled(self.words.places(words)[flat.indices.to_numpy()])
+        cuts = np.concatenate([[0], end])[parts.offsets.to_numpy() - parts.offsets[0].as_py()]
+        return [ids[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
+
+
+@lru_cache(2)
+def encoder(path: str) -> Encoder:
+    return Encoder(path)
 
 
 def write_shard(path: str, frames: Iterator[tuple[int | None, bytes, int, int]]) -> tuple[int, int]:
     """frames: (doc_id, frame, decompressed size, checksum). Returns documents and ids."""
     ids, table, total = [], [], 0
-    part = f"{path}.{os.getpid()}.part"
+    part = f"{path}.{uuid.uuid4().hex}.part"
     with open(part, "wb") as f:
         for doc_id, frame, size, check in frames:
             f.write(frame)
@@ -132,45 +226,42 @@ class ShardReader:
         self.file.close()
 
 
-def _frames(batches, path: str, bounds: list[int]) -> Iterator[pa.RecordBatch]:
-    zstd, tail, edge = zstandard.ZstdCompressor(level=LEVEL, write_checksum=True), np.array([END_ID], "<u4").tobytes(), np.array(bounds, np.int64)
+def _frames(batches, path: str) -> Iterator[tuple[int | None, bytes, int, int]]:
+    """(doc_id, frame, decompressed size, checksum) of each row, in order."""
+    zstd, tail, encode = zstandard.ZstdCompressor(level=LEVEL, write_checksum=True), np.array([END_ID], "<u4"), encoder(path)
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_pylist()
-        for a, b in chunks(sizes):
-            doc_id = batch.column("doc_id").slice(a, b - a)
-            shard = np.searchsorted(edge, doc_id.fill_null(_NO_ID).to_numpy(), "left").astype(np.int32)
-            raw = [x + tail for x in encode_batch(path, [t or "" for t in batch.column("text").slice(a, b - a).to_pylist()])]
-            yield pa.RecordBatch.from_arrays(
-                [doc_id, pa.array(shard), pa.array([zstd.compress(x) for x in raw], pa.binary()), pa.array([len(x) for x in raw], pa.int64()),
-                 pa.array([xxhash.xxh64_intdigest(x) & 0xFFFFFFFF for x in raw], pa.int64())],
-                names=["doc_id", "shard", "frame", "size", "checksum"],
-            )
-
-
-def _write(batches, folder: str) -> Iterator[pa.RecordBatch]:
+        for a, b in chunks(sizes, ENCODE_BYTES):
+            for doc_id, ids in zip(batch.column("doc_id").slice(a, b - a).to_pylist(), encode(batch.column("text").slice(a, b - a))):
+                raw = np.concatenate([ids, tail]).tobytes()
+                yield doc_id, zstd.compress(raw), len(raw), xxhash.xxh64_intdigest(raw) & 0xFFFFFFFF
+
+
+def _write(batches, folder: str, path: str) -> Iterator[pa.RecordBatch]:
     os.makedirs(folder, exist_ok=True)
     k = TaskContext.get().partitionId()
     name = f"{folder}/shard-{k:06d}.ids.zst"
-    rows = (r for b in batches for r in zip(*(b.column(c).to_pylist() for c in ("doc_id", "frame", "size", "checksum"))))
-    n, total = write_shard(name, rows)
+    n, total = write_shard(name, _frames(batches, path))
     yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([name]), pa.array([n], pa.int64()), pa.array([total], pa.int64())], names=["k", "path", "n_docs", "n_tokens"])
 
 
 def write_tokens(docs: DataFrame, folder: str, path: str | None = None, shards: int | None = None) -> DataFrame:
     """Encodes the texts into shards of the folder; returns the manifest, in doc_id order.
 
-    manifest: k, path, n_docs, n_tokens, start (ids in all shards before it).
+    manifest: k, path, n_docs, n_tokens, start (ids in all shards before it). Unless told, there is a shard for
+    every SHARD_BYTES of input, and no fewer than Spark's shuffle partitions. Rows of one doc_id follow the hash of
+    their text, so many rows of one id, or of none, are dealt over several shards too.
     """
     spark = docs.sparkSession
     path = path or public_tokenizers.path("word_bpe_49k.json")
-    shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    at = [(i + 1) / shards for i in range(shards - 1)]
-    bounds = docs.agg(F.percentile_approx("doc_id", F.lit(at) if at else F.lit([0.5]), 20_000)).first()[0] or []
-    frames = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        partial(_frames, path=path, bounds=sorted(bounds) if at else []), "doc_id long, shard int, frame binary, size long, checksum long"
-    )
-    placed = frames.repartitionById(shards, F.col("shard")).sortWithinPartitions(F.col("doc_id").asc_nulls_first())
-    rows = sorted(placed.mapInArrow(partial(_write, folder=local_path(folder)), "k int, path string, n_docs long, n_tokens long").collect())
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    if shards is None:
+        size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(-(-size // SHARD_BYTES), MOST_SHARDS))
+    order = [F.col("doc_id").asc_nulls_first(), F.col("_hash"), F.col("_place")]
+    rows = rows.withColumns({"_hash": F.xxhash64("text"), "_place": F.monotonically_increasing_id()})
+    placed = rows.repartitionByRange(shards, *order).sortWithinPartitions(*order).select("doc_id", "text")
+    rows = sorted(placed.mapInArrow(partial(_write, folder=local_path(folder), path=path), "k int, path string, n_docs long, n_tokens long").collect())
     start, out = 0, []
     for r in rows:
         out.append((*r, start))
