@@ -42,7 +42,7 @@ from .common import chunks, local_path, new_folder
 END_ID = 2
 LEVEL = 3
 #: Words whose ids a worker keeps, and bytes of text that it encodes at once.
-MEMO, ENCODE_BYTES = 600_000, 4 << 20
+MEMO, ENCODE_BYTES = 500_000, 8 << 20
 #: Bytes of input for each shard, as Spark estimates them. The count is bounded, so that at most so many manifest rows reach the driver.
 SHARD_BYTES, MOST_SHARDS = 256 << 20, 1 << 20
 #: Fixed values of the seekable zstandard format.
@@ -151,7 +151,7 @@ class Encoder:
         texts = pc.fill_null(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), "").cast(pa.large_string())
         parts = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
         flat = parts.flatten().dictionary_encode()
-        words = flat.dictionary.to_pylist()
+        words = flat.dictionary.to_numpy(zero_copy_only=False).tolist()
         for t in (self.words, self.heads):
             if len(t.place) > self.most:
                 t.forget(self.most // 2)
