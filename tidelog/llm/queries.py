@@ -36,7 +36,7 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.surrogates(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_entities", "text")
+    return pii.surrogates(table(spark, sf_dir, "documents").select("doc_id", "text"), pii.session_key(spark)).select("doc_id", "n_entities", "text")
 
 
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
