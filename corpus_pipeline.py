@@ -20,7 +20,7 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def pii_surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The same documents, personal data replaced."""
-    return pii.replaced_documents(docs)
+    return pii.replaced_documents(docs, pii.session_key(spark))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
