@@ -228,6 +228,7 @@ def test_toxicity(spark):
         toxic = i % 6 == 0
         if toxic:
             w.insert(20, "grumpf" + "abcdefg"[i % 7])
+            w.insert(40, "grumpf" + "abcdefg"[i % 5])
         rows.append((i, " ".join(w) + "."))
         labels.append((i, int(toxic)))
     rows += [(600, None), (601, "")]
@@ -237,10 +238,64 @@ def test_toxicity(spark):
     assert held == [i for i, _ in labels if zlib.crc32(str(i).encode()) % 5 == 0]
     assert all(got[i].predicted == labels[i][1] for i in held)
     assert got[600].score == got[601].score < 0.5
-    s = toxicity.Scorer({"idiot": 4.0}, (0, 1, 1))
+    assert toxicity.toxicity(d.where("false"), y).count() == 0
+    alone = {r.doc_id: r for r in toxicity.toxicity(d.limit(2), y.where("false")).collect()}
+    assert all(r.predicted == 0 for r in alone.values())
+
+
+def test_toxicity_grammar():
+    s = toxicity.Scorer({"idiot": 4.0})
+    p = lambda t: int(s.score(t) >= 0.5)
+    assert [p(t) for t in ("you idiot", "idiots like you", "You are an idiot!", "I will kill you", "you will be killed", "they should get shot", "kill you idiot")] == [1] * 7
+    assert [p(t) for t in ("idiot", "an idiot", "kill time", "you are not an idiot", "he said you idiot", "he killed them", "you", "I will not kill you", "an idiot. you")] == [0] * 9
     weight = lambda t: sum(s.clauses(t)[0])
-    assert weight("you idiot") > weight("idiot") > weight("not an idiot") > 0
-    assert weight("he said: an idiot") < weight("an idiot") and weight("I will kill you") > weight("kill time")
+    assert weight("kill you idiot") == weight("kill you") + weight("you idiot") and weight("idiots like you") == weight("you idiot")
+    assert weight("you idiot") > weight("he said: you idiot") > weight("you are not an idiot") > 0 == weight("idiot")
+    # without a target only from the second on
+    assert s.clauses("an idiot walks")[1] == [] and s.clauses("an idiot walks. An idiot stands")[1] == [4.0, 4.0] and p("idiot, idiot. idiot") == 1
+
+
+def test_toxicity_composition_is_its_machines_one_by_one():
+    rng = np.random.default_rng(6)
+    kinds = [toxicity.OTHER, toxicity.INSULT, toxicity.THREAT, toxicity.HARMED, toxicity.BE, toxicity.TARGET, toxicity.NOT, toxicity.SAID]
+    machine = toxicity.Composition(*toxicity.GRAMMAR)
+    reach = {toxicity.INSULT: (4, 3), toxicity.THREAT: (0, 3)}
+    for _ in range(3000):
+        symbols = [kinds[k] for k in rng.choice(len(kinds), rng.integers(1, 9), p=[0.3, 0.2, 0.1, 0.1, 0.1, 0.1, 0.05, 0.05])]
+        rows = [(k, 1.0 + i if k in (toxicity.INSULT, toxicity.THREAT, toxicity.HARMED) else 0.0) for i, k in enumerate(symbols)]
+        total, loose = machine.run(rows)
+        factors, matched = [1.0] * len(rows), set()
+        for m in toxicity.GRAMMAR:
+            state = m.start
+            for i, k in enumerate(symbols):
+                state, f, back = m.step(state, k)
+                factors[i] *= f
+                if back is not None:
+                    matched.add(i - back)
+        want = toxicity.BOUND * sum(rows[i][1] * factors[i] for i in sorted(matched))
+        assert total == want and len(loose) == sum(k == toxicity.INSULT and i not in matched for i, k in enumerate(symbols))
+        # factors, by the words before; an insult that is matched has a target near it
+        for i, k in enumerate(symbols):
+            weak = (0.2 if toxicity.SAID in symbols[:i] else 1.0) * (0.1 if toxicity.NOT in symbols[max(0, i - 3) : i] else 1.0)
+            assert k not in (toxicity.INSULT, toxicity.THREAT, toxicity.HARMED) or math.isclose(factors[i], weak)
+            if i in matched and k in reach and not (k == toxicity.THREAT and toxicity.BE in symbols[:i]):
+                a, b = reach[k]
+                assert toxicity.TARGET in symbols[max(0, i - a) : i] + symbols[i + 1 : i + 1 + b]
+
+
+def test_toxicity_held_out():
+    """Recall and false alarms on the labelled rows that are not learned from, read by the plain functions."""
+    import pyarrow.parquet as pq
+
+    for sf, recall in (("0.01", 0.8), ("0.1", 0.9)):
+        text = {r["doc_id"]: r["text"] or "" for r in pq.read_table(f"/root/testdata/sf{sf}/documents.parquet", columns=["doc_id", "text"]).to_pylist()}
+        label = {r["doc_id"]: r["toxic"] for r in pq.read_table(f"/root/testdata/sf{sf}/labels.parquet").to_pylist() if r["doc_id"] in text}
+        held = {i for i in label if zlib.crc32(str(i).encode()) % 5 == 0}
+        learned = sorted(label.keys() - held)
+        s = toxicity.Scorer(*toxicity.fit([text[i] for i in learned], [label[i] for i in learned]))
+        hit = {i for i in held if s.score(text[i]) >= 0.5}
+        toxic = {i for i in held if label[i]}
+        assert len(hit & toxic) >= recall * len(toxic) and len(hit - toxic) <= 0.02 * len(held - toxic)
 
 
 def test_toxicity_fit_settles_on_separable_classes():
@@ -249,7 +304,7 @@ def test_toxicity_fit_settles_on_separable_classes():
         y = (rng.random(3000) < 0.1).astype(float)
         a = np.where(y == 1, rng.uniform(1.5, 4.5, 3000), 0.0)
         x = np.column_stack([np.ones(3000), a, np.where(y == 1, rng.uniform(4, 60, 3000), 0.0)])
-        w = np.array(toxicity.fit_logistic(x, y, np.array((-3.5, 1.5, 0.5))))
+        w = np.array(toxicity.fit_logistic(x, y, np.array((-3.5, 1.5, 0.5)), pull=(0.05, 0.5, 0.5)))
         p = 1 / (1 + np.exp(-x @ w))
         assert np.abs(x.T @ (p - y) + np.array([0.05, 0.5, 0.5]) * (w - np.array((-3.5, 1.5, 0.5)))).max() < 1e-3
         assert ((p >= 0.5) == (y == 1)).all() and w[1] > 0
