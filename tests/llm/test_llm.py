@@ -108,6 +108,26 @@ def test_mixing(spark):
     assert mixing.mix(empty(spark)).count() == 0
 
 
+def test_mixing_repeated_and_missing_ids(spark):
+    """Rows of one id, or of none, are mixed each; the mix has the words that the plan takes."""
+    rows = [(i % 100 if i % 5 else None, " ".join([f"w{i}"] * (1 + i * 7 % 40)), f"s{i % 3}") for i in range(400)]
+    rows += [rows[7]] * 30 + [(None, "same text", "s1")] * 30
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    plan, mixed = mixing.mix(d).collect(), mixing.mixed_documents(d).collect()
+    assert len(plan) == 460
+    assert sum(r.taken for r in plan) == sum(len(words(r.text)) for r in mixed)
+    by = Counter()
+    for r in mixed:
+        by[r.source] += len(words(r.text))
+    for source in ("s0", "s1", "s2"):
+        target = next(r.target for r in plan if r.source == source)
+        assert abs(by[source] - target) <= 0.5
+    # each text is there as often as its rows' epochs, and at most one row of a source is cut
+    whole = Counter(t for _, t, _ in rows)
+    cut = [r for r in mixed if r.text not in whole]
+    assert len(cut) <= 3 and all(Counter(r.text for r in mixed)[t] <= 3 * n for t, n in whole.items())
+
+
 def test_byte_bpe(spark):
     enc, raw, _ = bytebpe.codec(P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)
     for t in TEXTS[4:]:
