@@ -201,6 +201,43 @@ def test_embeddings(spark):
     assert all(got[i].n_links == 0 and got[i].kept for i in (200, 201, 202, 203, 205))
 
 
+def test_embeddings_in_double_precision(spark):
+    """Values beyond single precision, squares beyond double, and pairs at the threshold however dense their tile."""
+    near = 0.93 + np.array([-1e-9, 0.0, 1e-9])
+    rows = [(0, [1e300, 1e300], 0), (1, [1e300, 1e300], 0), (2, [1e-60, 0.0], 0), (3, [3e-61, 0.0], 0), (4, [1.0, 0.0, 0.0], 1)]
+    rows += [(5 + i, [float(c), float(np.sqrt(1 - c * c)), 0.0], 1) for i, c in enumerate(near)]
+    got = {r.vec_id: r for r in embeddings.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    assert [got[i].n_links for i in (0, 1, 2, 3)] == [1, 1, 1, 1] and got[2].component_id == got[3].component_id == 2
+    assert got[4].n_links == sum(c >= 0.93 for c in near) and got[5].n_links == 2
+    empty_rows = spark.createDataFrame([], "vec_id long, embedding array<double>, label int")
+    assert embeddings.near_vectors(empty_rows).count() == 0
+    rng = np.random.default_rng(0)
+    x = embeddings.unit(rng.normal(size=(300, 8)) + 2.5)
+    want = {(i, j) for i in range(300) for j in range(i + 1, 300) if np.einsum("d,d->", x[i], x[j]) >= 0.93}
+    assert {(int(i), int(j)) for a, b in embeddings.tile_links(x, None) for i, j in zip(a, b)} == want
+    q, r = (rng.integers(-127, 128, (5, 3000)).astype(np.int8) for _ in range(2))
+    assert (embeddings.int8_products(q, r) == q.astype(np.int64) @ r.astype(np.int64).T).all()
+
+
+def test_components_with_hubs(spark):
+    """A node with most links, chains and repeats, against union-find."""
+    rng = np.random.default_rng(8)
+    links = [(0, i) for i in range(1, 3000)] + [(int(a), int(b)) for a, b in rng.integers(3000, 4000, (500, 2))] + [(i, i + 1) for i in range(5000, 5200)] + [(7, 7), (5, 3)]
+    from tidelog.llm.components import components
+
+    low = {n: n for ab in links for n in ab if ab[0] != ab[1]}
+    while True:
+        new = dict(low)
+        for a, b in links:
+            if a != b:
+                new[a] = new[b] = min(new[a], new[b])
+        if new == low:
+            break
+        low = new
+    got = components(spark.createDataFrame(links, "a long, b long")).collect()
+    assert {r.node: r.root for r in got} == low and len(got) == len(low)
+
+
 def test_html(spark):
     assert sum(len(y) for _, y in htmlcrf.labelled_pages(50, 99)) > 100
     page = '<html><title>t</title><nav><a href="/">Home</a></nav><div class="ad">Buy</div><article><h1>T &amp;\n U</h1><p>First  one.<br>x<p><b>Sec</b>ond.</article><div class="comments"><p>Nice text here.</p></div><footer>&copy; me</footer><script>var a="</p>"</script>'
@@ -229,6 +266,50 @@ def test_html_skipped_elements_end_where_they_end():
     assert texts(many + rest) == ["Main text."]
 
 
+def test_html_nests_to_any_depth():
+    deep = "<article>" + "<div>" * 30_000 + "<p>Deep text here.</p>" + "<section><h2>" * 5_000 + "Deeper." + "</b></i></li>" * 5_000
+    blocks = htmlcrf.leaf_blocks("<nav>" + "<div>" * 2_000 + "Menu" + "</div>" * 2_000 + "</nav>" + deep)
+    assert [s for s, _, _ in blocks] == ["Menu", "Deep text here.", "Deeper."]
+    assert "in:nav" in blocks[0][1] and "in:article" in blocks[1][1] and "in:article" in blocks[2][1] and "in:nav" not in blocks[1][1]
+
+
+#: Pages written by hand, not by the rules that the weights are fitted on; blocks of the main text start with `@`.
+BY_HAND = [
+    """<!doctype html><html lang=en><head><meta charset=utf-8><title>Rivers - The Daily</title></head><body class="home page"><div id="wrap"><div class="top-bar"><a href="/">The Daily</a><ul><li><a href="/w">World</a><li><a href="/s">Sport</a></ul></div>
+    <div class="post-content"><h1>@Rivers are rising</h1><p>@Water rose by two metres on Monday, and people in the valley left their homes before dawn.</p><p>@The mayor asked for boats.</p><div class="share-buttons"><a href="#">Share</a> <a href="#">Tweet</a></div>
+    <p>@By noon the bridge was closed. It had stood for ninety years.</p></div><div class="related-posts"><h3>Related</h3><ul><li><a href="/1">Dams of the north</a><li><a href="/2">A flood of 1954</a></ul></div><div id="comments"><h2>3 comments</h2><ol class="commentlist"><li>I saw the bridge from my window.<li>Stay safe, all of you out there.</ol></div><div id="footer">Copyright 2020 The Daily. All rights reserved.</div></div></body></html>""",
+    """<html><body><header role="banner"><a class=logo href=/>Bread book</a><nav><a href=/a>Recipes</a> <a href=/b>Shop</a></nav></header><main><article><h1>@Rye bread</h1><p class=byline>@By a baker</p><h2>@What you need</h2><ul><li>@500 g of rye flour<li>@Salt<li>@Water, warm</ul><h2>@How it is done</h2><ol><li>@Mix all and wait a night.<li>@Bake for an hour.</ol>
+    <aside class="ad-slot">Buy our oven mitts today!</aside><p>@It keeps for a week.</p></article></main><aside class="sidebar"><h4>Newsletter</h4><form><label>Your mail</label><input><button>Join</button></form></aside><footer><p>&copy; Bread book</p></footer></body></html>""",
+    """<html><body><table><tr><td class="menu"><a href=x>Start</a><br><a href=y>Links</a></td><td class="content"><h2>@My garden</h2><p>@In spring I plant peas along the fence, and beans when the nights are warm enough.</p><pre>@row one: peas</pre><blockquote>@A garden is never finished.</blockquote></td></tr></table><p class="footer">Last changed in May</p></body></html>""",
+    """<html><body><div class="cookie-consent" role="dialog"><p>We use cookies to improve this site.</p><button>Accept</button></div><nav class="breadcrumbs"><a href=/>Home</a> &gt; <a href=/d>Docs</a></nav><main id="main-content"><section><h1>@Install</h1><p>@Copy the file to a folder of your choice.</p><pre><code>@cp tool /usr/local/bin</code></pre></section><section><h2>@Use</h2><p>@Run it with the name of a file. It prints one line for each record that it finds there.</p><table><tr><th>@Option</th><th>@Meaning</th></tr><tr><td>@-q</td><td>@print nothing</td></tr></table></section></main><nav class="pager"><a href=/n>Next page</a></nav><footer class="site-footer"><a href=/i>Imprint</a></footer></body></html>""",
+    """<html><body><div id=header><h1>Chess club</h1></div><div id=nav><ul><li><a href=1>News</a></li><li><a href=2>Games</a></li></ul></div><div id=content><div class=entry><h2>@Spring open</h2><p>@Forty players came, more than ever before, and the hall was full until midnight.</p><p>@Results: <b>1.</b> Ito, <b>2.</b> Braun</p></div></div><div id=sidebar><h3>Archive</h3><ul><li><a href=3>April</a></li><li><a href=4>May</a></li></ul></div><div class="newsletter-popup">Subscribe to our newsletter and miss no game.</div><script>var x = "<p>no</p>";</script></body></html>""",
+]
+
+
+def test_html_pages_written_by_hand():
+    right = total = 0
+    model = htmlcrf.fitted()
+    for page in BY_HAND:
+        blocks = [s for s, _, _ in htmlcrf.leaf_blocks(page)]
+        want = [s.startswith("@") for s in blocks]
+        plain = page.replace("@", "")
+        kept = htmlcrf.main_text(plain, model)
+        labels = htmlcrf.viterbi([sum(model[0].get(f, 0.0) for f in fs) for fs in htmlcrf.features(htmlcrf.leaf_blocks(plain))], model[1])
+        assert kept == " ".join(s.lstrip("@") for s, y in zip(blocks, labels) if y)
+        right += sum(bool(y) == w for y, w in zip(labels, want))
+        total += len(want)
+    assert total > 60 and right >= 0.95 * total, (right, total)
+
+
+def test_html_unseen_pages_of_the_rules():
+    model = htmlcrf.fitted()
+    right = total = 0
+    for blocks, labels in htmlcrf.labelled_pages(150, 4242):
+        got = htmlcrf.viterbi([sum(model[0].get(f, 0.0) for f in fs) for fs in blocks], model[1])
+        right, total = right + sum(a == b for a, b in zip(got, labels)), total + len(labels)
+    assert right >= 0.99 * total
+
+
 def test_viterbi():
     import itertools
 
@@ -474,6 +555,17 @@ def test_lm(spark):
         assert math.isclose(r.score, want, rel_tol=1e-3), (i, r.score, want)
 
 
+def test_lm_without_training_rows(spark):
+    """An empty table gives no rows; without training rows every token is unknown and the base is uniform."""
+    d = docs(spark).where("doc_id is not null")
+    for order in (2, 3):
+        assert ngramtrie.lm_scores(empty(spark), order=order).count() == 0
+        held = ngramtrie.lm_scores(d.where("crc32(cast(cast(doc_id as string) as binary)) % 5 = 1"), order=order).collect()
+        assert held and all(r.held_out and r.n_known == r.train_tokens == 0 and r.base_score == r.score == 0.0 for r in held)
+        blank = ngramtrie.lm_scores(spark.createDataFrame([(2, ""), (3, None)], "doc_id long, text string"), order=order).collect()
+        assert all(r.n_tokens == r.n_known == 1 for r in blank)
+
+
 def test_lm_longer_contexts(spark):
     """Orders 3 and 4 against brute force, and a text with its pairs kept but longer contexts changed."""
     texts = [*TEXTS, *[f"the cat number {i % 7} sat on the {'mat' if i % 2 else 'hat'} and {'a b c' if i % 3 else 'd b e'}" for i in range(60)], "a b c a b c", "d b c", "d b e", "a b e"]

@@ -10,7 +10,7 @@ Defined results: a null, empty or textless page gives the empty string and 0; ma
 is read as far as it goes; repeated rows are read each; an empty table gives no rows; columns
 besides page_id, url and html are not read. Comments, scripts, styles and the like are never
 text; nor are the contents of svg, select, object and their like, but one without a close tag loses its
-open tag only. Inside a block every run of white space, <br> included, is one space.
+open tag only. Elements may nest to any depth. Inside a block every run of white space, <br> included, is one space.
 """
 
 from __future__ import annotations
@@ -40,6 +40,7 @@ CONTEXT_TAGS = frozenset(
     "head title nav header footer aside article main form section ul ol li dl table h1 h2 h3 h4 p blockquote figure figcaption pre "
     "address dialog button select label fieldset a details menu search".split()
 )
+_CONTEXT = frozenset(f"in:{t}" for t in CONTEXT_TAGS)
 #: Words in class, id or role, by the part of a page that they announce.
 PARTS = {
     "menu": "nav navigation navbar menu menubar breadcrumb breadcrumbs toc tabs pagination pager skip topbar".split(),
@@ -135,7 +136,9 @@ def _skips(page: str) -> dict[int, int]:
 def leaf_blocks(page: str) -> list[tuple[str, frozenset[str], float]]:
     """(text, context features, share of characters in links) for each block with text, in order."""
     out: list[tuple[str, frozenset[str], float]] = []
-    stack: list[tuple[str, frozenset[str]]] = []
+    # open elements: name, class words, and the context features of it and all around it
+    stack: list[tuple[str, frozenset[str], frozenset[str]]] = []
+    opened: dict[str, int] = {}
     text: list[str] = []
     at, in_link, link_chars, context = 0, 0, 0, None
 
@@ -145,12 +148,22 @@ def leaf_blocks(page: str) -> list[tuple[str, frozenset[str], float]]:
             s = " ".join(_html.unescape("".join(text)).split())
             if s:
                 if context is None:
-                    tags = {t for t, _ in stack}
-                    context = frozenset({f"in:{t}" for t in tags & CONTEXT_TAGS} | {f"part:{p}" for _, ps in stack for p in ps} | ({f"own:{stack[-1][0]}"} if stack else set()))
+                    context = stack[-1][2] | {f"own:{stack[-1][0]}"} if stack else frozenset()
                 out.append((s, context, min(1.0, link_chars / max(1, len(s)))))
             text.clear()
         link_chars = 0
 
+    def push(name, parts):
+        around = stack[-1][2] if stack else frozenset()
+        own = {f"in:{name}"} & _CONTEXT | {f"part:{p}" for p in parts}
+        stack.append((name, parts, around if own <= around else around | own))
+        opened[name] = opened.get(name, 0) + 1
+
+    def close(k):
+        for x in stack[k:]:
+            opened[x[0]] -= 1
+        del stack[k:]
+
     skips = _skips(page)
     while m := _TOKEN.search(page, at):
         if m.start() > at:
@@ -176,23 +189,23 @@ def leaf_blocks(page: str) -> list[tuple[str, frozenset[str], float]]:
         if name in VOID_TAGS:
             continue
         if closing:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == name:
-                    del stack[k:]
-                    break
+            if opened.get(name):
+                close(next(k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name))
             continue
         ends = _CLOSES.get(name, frozenset()) | ({"p"} if name in _P_ENDS else frozenset())
-        for k in range(len(stack) - 1, -1, -1):
-            if stack[k][0] in ends:
-                del stack[k:]
-                break
-            if stack[k][0] in _SCOPE:
-                break
-        if name == "body":
-            stack[:] = [x for x in stack if x[0] not in ("head", "title")]
-        stack.append((name, _parts(m[4] or m[7] or "")))
-        if len(stack) > 512:
-            del stack[256:]
+        if any(opened.get(e) for e in ends):
+            for k in range(len(stack) - 1, -1, -1):
+                if stack[k][0] in ends:
+                    close(k)
+                    break
+                if stack[k][0] in _SCOPE:
+                    break
+        if name == "body" and (opened.get("head") or opened.get("title")):
+            kept = [x for x in stack if x[0] not in ("head", "title")]
+            close(0)
+            for x in kept:
+                push(x[0], x[1])
+        push(name, _parts(m[4] or m[7] or ""))
     if at < len(page):
         text.append(page[at:])
     flush()
