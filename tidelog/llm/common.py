@@ -17,10 +17,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one for tests if unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Unset, it is an error but on one machine, as in tests."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext.getCheckpointDir()
     if current is None:
+        if not folder and not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = folder or "file://" + tempfile.mkdtemp(prefix="tidelog-")
         spark.sparkContext.setCheckpointDir(folder)
         current = folder
@@ -47,6 +49,21 @@ def local_path(uri: str) -> str:
     return uri
 
 
+#: A key is hot if it has more than one in so many of all rows; there are fewer hot keys than that.
+HOT_SHARE = 1000
+
+
+def spread_join(rows: DataFrame, side: DataFrame, key: list[str], n: str, total: int) -> DataFrame:
+    """Rows joined to `side`, which has one row for each key and in `n` the number of rows with it.
+
+    The hot keys' side, fewer than HOT_SHARE rows, is broadcast, so their rows stay where they are; the others meet by shuffle.
+    """
+    hot = F.col(n) * HOT_SHARE > total
+    few = F.broadcast(side.where(hot).drop(n))
+    rest = rows.join(few.select(*key), key, "left_anti").join(side.where(~hot).drop(n), key)
+    return rows.join(few, key).unionByName(rest)
+
+
 def packed(df: DataFrame) -> Column:
     """All columns as one struct, so that an operator's own columns clash with none of them."""
     return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row")

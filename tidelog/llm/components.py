@@ -1,8 +1,7 @@
 """Connected components by alternating large-star and small-star steps.
 
-Every step is a partial aggregate for each node's smallest neighbour and a sort-merge
-join that adaptive execution may split, so a node with very many links never sits in
-one task. Each round is cut to the shared folder.
+Every step is a partial aggregate for each node's smallest neighbour and a join in which nodes with
+very many links are broadcast, so none of them sits in one task. Each round is cut to the shared folder.
 """
 
 from __future__ import annotations
@@ -10,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, spread_join
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -29,12 +28,13 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     for _ in range(max_rounds):
         if not mark[0]:
             break
-        both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        low2 = large.groupBy("a").agg(F.min("b").alias("m"))
+        both, total = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b"))), 2 * mark[0]
+        low = both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).select("a", F.least("a", "m").alias("m"), "n")
+        large = spread_join(both, low, ["a"], "n", total).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = cut(large)
+        low2 = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
         small = (
-            large.join(low2, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+            spread_join(large, low2, ["a"], "n", total).where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
             .unionByName(low2.select("a", F.col("m").alias("b"))).distinct()
         )
         e = cut(small)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import cut, packed, unpacked
+from .common import cut, packed, spread_join, unpacked
 from .components import components
 
 SHINGLE, SEED, RADIUS = 4, 42, 4
@@ -232,23 +232,23 @@ def links(nodes: DataFrame, tile: int = TILE) -> DataFrame:
     return rows.repartition("bucket", "tile").sortWithinPartitions("bucket", "tile").mapInArrow(_bucket_task, "a long, b long")
 
 
-def _linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, fp) of every row, and (_fp, root, component_id) of every fingerprint."""
+def _linked(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows (doc_id, fp), the same with root and component_id, and (_fp, root, component_id) of every fingerprint."""
     prints = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_fingerprints, "doc_id long, fp long")
     prints = cut(prints)
-    nodes = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("low")))
+    nodes = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("low"), F.count("*").alias("n")))
     comp = components(links(nodes.select("fp")))
     linked = nodes.join(comp, nodes["fp"] == comp["node"])
-    lowest = linked.groupBy("root").agg(F.min("low").alias("component_id"))
-    by_fp = comp.join(lowest, "root").select(F.col("node").alias("fp"), "root", "component_id")
-    by_fp = nodes.join(by_fp, "fp", "left").select(F.col("fp").alias("_fp"), F.coalesce("root", "fp").alias("root"), F.coalesce("component_id", "low").alias("component_id"))
-    return prints, by_fp
+    lowest = linked.groupBy("root").agg(F.min("low").alias("component_id"), F.count("*").alias("k"))
+    by_fp = spread_join(comp, lowest, ["root"], "k", nodes.count()).select(F.col("node").alias("fp"), "root", "component_id")
+    by_fp = cut(nodes.join(by_fp, "fp", "left").select("fp", "n", F.coalesce("root", "fp").alias("root"), F.coalesce("component_id", "low").alias("component_id")))
+    total = nodes.agg(F.sum("n")).first()[0] or 0
+    return prints, spread_join(prints, by_fp, ["fp"], "n", total), by_fp.select(F.col("fp").alias("_fp"), "root", "component_id")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, fp, component_id (smallest doc_id reachable)."""
-    prints, by_fp = _linked(docs)
-    return prints.join(by_fp, prints["fp"] == by_fp["_fp"]).select("doc_id", "fp", "component_id")
+    return _linked(docs)[1].select("doc_id", "fp", "component_id")
 
 
 def hex_digits(fp):
@@ -261,8 +261,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     Rows of one doc_id with different texts all stay if that id stays. A row without doc_id has its text's hash
     for an identity: one such row stays of each component in which no row has an id.
     """
-    prints, by_fp = _linked(docs)
-    near = prints.join(by_fp, prints["fp"] == by_fp["_fp"])
+    _, near, by_fp = _linked(docs)
     kept = near.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_id"), F.lit(None).cast("long").alias("_of")).distinct()
     bare = docs.where(F.col("doc_id").cast("long").isNull())
     if bare.head(1):
