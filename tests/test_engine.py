@@ -225,7 +225,7 @@ def test_insight_without_samples_has_no_row(spark):
 
 
 def test_change_records_are_decoded_whole_and_cut_by_shard(spark):
-    from tidelog.plans.queries import QUERIES
+    from tidelog.plans import QUERIES
     from tidelog.sources import dynamic
 
     d = "/root/testdata/sf0.01"

@@ -10,8 +10,12 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Seconds of an interval's unit (a year is 365.25 days, a month 30 days).
-UNIT_SECONDS = {"year": 31_557_600.0, "mon": 2_592_000.0, "week": 604_800.0, "day": 86_400.0, "hour": 3_600.0, "min": 60.0, "sec": 1.0}
+#: Units of an interval and their seconds (a year is 365.25 days, a month 30 days).
+UNIT_SECONDS = {
+    "year": 31_557_600.0, "years": 31_557_600.0, "mon": 2_592_000.0, "mons": 2_592_000.0, "month": 2_592_000.0, "months": 2_592_000.0, "day": 86_400.0, "days": 86_400.0, "hour": 3_600.0, "hours": 3_600.0,
+    "minute": 60.0, "minutes": 60.0, "min": 60.0, "mins": 60.0, "second": 1.0, "seconds": 1.0, "sec": 1.0, "secs": 1.0,
+}
+_DECIMAL = r"^[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?$"
 
 
 def micros(ts: str) -> Column:
@@ -19,16 +23,35 @@ def micros(ts: str) -> Column:
     return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {ts})")
 
 
+def _decimal(text: Column) -> Column:
+    return F.when(text.rlike(_DECIMAL), text.try_cast("double"))
+
+
+def try_interval_seconds(text: Column) -> Column:
+    """`3 days 04:05:06.5` -> 273906.5; the sign belongs to each component. NULL if a number lacks its unit, or anything is no number, unit or clock of three parts."""
+    units = F.create_map(*[F.lit(x) for kv in UNIT_SECONDS.items() for x in kv])
+
+    def clock(token):
+        parts = F.transform(F.split(F.regexp_replace(token, "^[+-]", ""), ":"), _decimal)
+        total = F.get(parts, F.lit(0)) * 3600.0 + F.get(parts, F.lit(1)) * 60.0 + F.get(parts, F.lit(2))
+        return F.when(F.size(parts) == 3, F.when(token.startswith("-"), -total).otherwise(total))
+
+    def read(state, token):
+        """A token adds a clock, completes a number by its unit, or is the number; a NULL total is a failure and stays one."""
+        waits = state["number"].isNotNull()
+        total = F.when(waits, state["total"] + state["number"] * F.element_at(units, F.lower(token))).when(F.contains(token, F.lit(":")), state["total"] + clock(token))
+        number = F.when(~waits & ~F.contains(token, F.lit(":")), _decimal(token))
+        return F.struct(F.when(number.isNotNull(), state["total"]).otherwise(total).alias("total"), number.alias("number"))
+
+    start = F.struct(F.lit(0.0).alias("total"), F.lit(None).cast("double").alias("number"))
+    tokens = F.split(F.regexp_replace(text, r"^\s+|\s+$", ""), r"\s+")
+    return F.aggregate(tokens, start, read, lambda s: F.when(s["number"].isNull(), s["total"]))
+
+
 def interval_seconds(text: Column) -> Column:
-    """`3 days 04:05:06.5` -> 273906.5; the sign belongs to each component; no number gives NULL."""
-    total = F.lit(0.0)
-    for unit, seconds in UNIT_SECONDS.items():
-        found = F.regexp_extract(text, rf"(-?\d+(?:\.\d+)?)\s+{unit}s?\w*", 1)
-        total = total + F.coalesce(found.try_cast("double"), F.lit(0.0)) * seconds
-    clock = r"([+-]?)(\d+):(\d{2})(?::(\d{2}(?:\.\d+)?))?"
-    part = lambda k: F.coalesce(F.regexp_extract(text, clock, k).try_cast("double"), F.lit(0.0))
-    sign = F.when(F.regexp_extract(text, clock, 1) == "-", -1.0).otherwise(1.0)
-    return F.when(text.rlike(r"\d"), total + sign * (part(2) * 3600 + part(3) * 60 + part(4)))
+    """The same, but a text that is no interval is an error."""
+    seconds = try_interval_seconds(text)
+    return F.when(text.isNotNull() & seconds.isNull(), F.raise_error(F.concat(F.lit("no interval: "), text)).cast("double")).otherwise(seconds)
 
 
 def epoch_micros(text: Column) -> Column:
@@ -94,26 +117,57 @@ def array_literal_json(text: str | None, element: str) -> str | None:
         return text
 
 
+#: How an unquoted element of each type looks that needs no parser.
+_PLAIN = {"long": r"-?(?:0|[1-9]\d{0,17})", "bool": r"(?:t|f|true|false)", "string": r"[A-Za-z0-9_.:-]+", "numeric": r"[A-Za-z0-9_.:+-]+"}
+
+
 def array_to_json(text: Column, element: str = "long") -> Column:
-    """`{1,NULL,3}` -> `[1,null,3]`. Quoting needs a parser, so this one is an Arrow-batched UDF."""
+    """`{1,NULL,3}` -> `[1,null,3]`. Literals without quotes or odd elements are read by expressions; only the others reach a parser in Python."""
 
     @F.pandas_udf("string")
     def parse(s: pd.Series) -> pd.Series:
         return s.map(lambda x: array_literal_json(x, element), na_action="ignore")
 
-    return parse(text)
+    if element not in _PLAIN:
+        return parse(text)
+    plain = text.rlike(rf"^\{{(?:(?:{_PLAIN[element]}|(?i:null))(?:,(?:{_PLAIN[element]}|(?i:null)))*)?\}}$")
+    return F.when(plain, _plain_array(text, element)).otherwise(parse(F.when(~plain, text)))
 
 
-def simple_array_to_json(text: Column) -> Column:
-    """The same for unquoted whole numbers, without Python."""
-    items = F.split(F.regexp_replace(text, r"^\{|\}$", ""), ",")
-    return F.when(text == "{}", "[]").otherwise(F.concat(F.lit("["), F.array_join(F.transform(items, lambda x: F.when(F.lower(x) == "null", "null").otherwise(F.trim(x))), ","), F.lit("]")))
+def _plain_array(text: Column, element: str) -> Column:
+    quoted = lambda x: F.concat(F.lit('"'), x, F.lit('"'))
+    shown = {"long": lambda x: x, "bool": lambda x: F.when(F.substr(x, F.lit(1), F.lit(1)) == "t", "true").otherwise("false"), "string": quoted, "numeric": quoted}[element]
+    items = F.split(F.substr(text, F.lit(2), F.length(text) - 2), ",")
+    each = F.transform(items, lambda x: F.when(F.lower(x) == "null", "null").otherwise(shown(x)))
+    return F.when(text == "{}", "[]").otherwise(F.concat(F.lit("["), F.array_join(each, ","), F.lit("]")))
 
 
 def rfc3339(ts: Column) -> Column:
     return F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z"))
 
 
+def date_text(day: Column) -> Column:
+    return F.date_format(day, "yyyy-MM-dd")
+
+
+def time_text(micros_of_day: Column) -> Column:
+    """Time of day with as many groups of three digits after the second as it needs."""
+    seconds, rest = F.floor(micros_of_day / 1_000_000), micros_of_day % 1_000_000
+    two = lambda n: F.lpad(n.cast("int").cast("string"), 2, "0")
+    part = F.when(rest == 0, "").when(rest % 1000 == 0, F.concat(F.lit("."), F.lpad((rest / 1000).cast("int").cast("string"), 3, "0"))).otherwise(F.concat(F.lit("."), F.lpad(rest.cast("string"), 6, "0")))
+    return F.concat_ws(":", two(seconds / 3600), two(seconds / 60 % 60), F.concat(two(seconds % 60), part))
+
+
+#: Spellings that the strict forms take for a truth value.
+TRUE, FALSE = ("t", "true", "1"), ("f", "false", "0")
+
+
+def strict(text: Column, kind: str) -> Column:
+    """The value of a text; an error where it is none of the type."""
+    value = F.when(F.lower(text).isin(*TRUE), True).when(F.lower(text).isin(*FALSE), False) if kind == "boolean" else epoch_micros(text) if kind == "epoch" else text.try_cast(kind)
+    return F.when(F.assert_true(text.isNull() | value.isNotNull(), f"not a {kind}").isNull(), value)
+
+
 def lenient(text: Column, kind: str) -> Column:
     """NULL where the text is no value of the type."""
     if kind == "boolean":
@@ -151,6 +205,16 @@ def lsn_number(lsn: Column) -> Column:
     return (half(0) * F.lit(4294967296).cast("decimal(20,0)") + half(1)).cast("decimal(20,0)")
 
 
+def lsn_behind(current: Column, saved: Column) -> Column:
+    """Bytes from a saved position of the log to the current one."""
+    return (lsn_number(current) - lsn_number(saved)).cast("decimal(20,0)")
+
+
+def continuity_lost(slot_found: Column, saved: Column) -> Column:
+    """A position is saved, but the slot that kept its log is gone."""
+    return ~slot_found & saved.isNotNull()
+
+
 def scrub_url(url: Column) -> Column:
     """A password between the user and the host becomes three stars."""
     return F.regexp_replace(url, r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^:/@\s]*):[^@/\s]*@", "$1:***@")
@@ -160,10 +224,28 @@ def stable_id(*parts: Column, length: int = 24) -> Column:
     return F.substr(F.sha2(F.concat_ws("\0", *[p.cast("string") for p in parts]), 256), F.lit(1), F.lit(length))
 
 
+def fragment_id(job_id: Column, sequence: Column) -> Column:
+    return F.concat_ws(":", job_id, sequence.cast("string"))
+
+
+def attempt_key(jobs: Column) -> Column:
+    """What names an attempt on several jobs: array<struct<job_id, attempt_count>> -> `job:attempt,...`."""
+    return F.array_join(F.transform(jobs, lambda j: F.concat_ws(":", j["job_id"], F.greatest(j["attempt_count"], F.lit(0)).cast("string"))), ",")
+
+
 #: The retry rules' seconds and limits.
 BACKOFF_FLOOR, BACKOFF_CAP, BACKOFF_DOUBLINGS, JITTER = 16, 1024, 20, 0.2
 
 
+#: Fixed value: seconds beyond which a snapshot's retry does not wait.
+SNAPSHOT_CAP = 900
+
+
+def snapshot_backoff_seconds(attempt: Column, floor: int = BACKOFF_FLOOR) -> Column:
+    """A snapshot's delay: doubled without jitter, up to a quarter of an hour."""
+    return backoff_seconds(attempt, floor, SNAPSHOT_CAP)
+
+
 def backoff_seconds(attempt: Column, floor: int = BACKOFF_FLOOR, cap: int = BACKOFF_CAP, jitter_key: Column | None = None) -> Column:
     doubled = F.lit(float(floor)) * F.pow(F.lit(2.0), F.least(F.greatest(attempt - 1, F.lit(0)), F.lit(BACKOFF_DOUBLINGS)))
     base = F.least(doubled, F.lit(float(cap)))
@@ -175,9 +257,9 @@ def backoff_seconds(attempt: Column, floor: int = BACKOFF_FLOOR, cap: int = BACK
 
 #: Reasons that a warehouse names in an error, by retry class, tried in order.
 WAREHOUSE_REASONS = (
-    ("backpressure", "jobratelimitexceeded quotaexceeded ratelimitexceeded".split()),
-    ("transient", "backenderror internalerror jobbackenderror jobinternalerror tableunavailable".split()),
-    ("permanent", "accessdenied billingnotenabled billingtierlimitexceeded duplicate invalid invalidquery invaliduser notfound notimplemented resourcesexceeded responsetoolarge".split()),
+    ("backpressure", ("jobratelimitexceeded", "quotaexceeded", "ratelimitexceeded")),
+    ("transient", ("backenderror", "internalerror", "jobbackenderror", "jobinternalerror", "tableunavailable")),
+    ("permanent", ("accessdenied", "billingnotenabled", "billingtierlimitexceeded", "duplicate", "invalid", "invalidquery", "invaliduser", "notfound", "notimplemented", "resourcesexceeded", "responsetoolarge")),
 )
 
 

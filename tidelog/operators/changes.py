@@ -21,17 +21,23 @@ def newest_first() -> list[Column]:
 def after_truncate(log: DataFrame, op: str = "op", table: str = "table") -> DataFrame:
     """What follows each table's last truncate, with `truncated` telling whether there was one.
 
-    The cut is one aggregate per table joined back, so no table is ordered in one task.
+    The cut is an aggregate of the truncates alone, joined back, so no table is ordered in one task, and tables without one need none.
     """
-    at = F.max(F.when(F.col(op) == "truncate", F.struct(*ORDER)))
-    cuts = log.groupBy(F.col(table).alias("_t")).agg(at.alias("_cut"))
-    kept = log.join(cuts, log[table].eqNullSafe(F.col("_t"))).where(F.col("_cut").isNull() | (F.struct(*ORDER) > F.col("_cut")))
+    cuts = log.where(F.col(op) == "truncate").groupBy(F.col(table).alias("_t")).agg(F.max(F.struct(*ORDER)).alias("_cut"))
+    kept = log.join(cuts, log[table].eqNullSafe(F.col("_t")), "left").where(F.col("_cut").isNull() | (F.struct(*ORDER) > F.col("_cut")))
     return kept.withColumn("truncated", F.col("_cut").isNotNull()).drop("_t", "_cut")
 
 
-def compact(log: DataFrame, keys: list[str], soft_delete: bool, op: str = "op") -> DataFrame:
-    """The last action of each key; deletes count only with soft_delete. A NULL key is an error."""
+def compact(log: DataFrame, keys: list[str], soft_delete: bool, op: str = "op", before: str | None = None, one_table: str | None = None) -> DataFrame:
+    """The last action of each key; deletes count only with soft_delete, and, where `before` names the column that says so, with an old row. A NULL key is an error.
+
+    `one_table` names the table that all events must be of; another one is an error.
+    """
     rows = log if soft_delete else log.where(F.col(op) != "delete")
+    if before is not None:
+        rows = rows.where((F.col(op) != "delete") | F.col(before))
+    if one_table is not None:
+        rows = rows.where(F.assert_true(F.col("table").eqNullSafe(F.lit(one_table)), f"an event is not of table {one_table}").isNull())
     for k in keys:
         rows = rows.where(F.assert_true(F.col(k).isNotNull(), f"primary key {k} is null").isNull())
     return latest(rows, keys, *newest_first())
@@ -42,13 +48,22 @@ def with_tombstones(actions: DataFrame, now: Column, op: str = "op", deleted: st
     return actions.withColumn(deleted, F.when(F.col(op) == "delete", now)).withColumn(synced, now)
 
 
-def staging(log: DataFrame, op: str = "op") -> DataFrame:
-    """Columns that a reducer orders by."""
+def staging(log: DataFrame, op: str = "op", commits: DataFrame | None = None) -> DataFrame:
+    """Columns that a reducer orders by. `commits` (commit_lsn, sequence), one row each, number the log's commits; an unknown one is an error."""
+    if commits is not None:
+        c = commits.select(F.col("commit_lsn").alias("_commit_lsn"), F.col("sequence").alias("_known"))
+        log = log.join(c, F.col("commit_lsn") == F.col("_commit_lsn"), "left")
+        log = log.withColumns({"sequence": F.when(F.assert_true(F.col("_known").isNotNull(), "a commit has no sequence").isNull(), F.col("_known")), "_commit_lsn": F.col("commit_lsn")}).drop("_known")
     return log.withColumns({"_sequence": F.col("sequence"), "_tx_ordinal": F.col("tx_ordinal"), "_operation": F.when(F.col(op) == "delete", "delete").otherwise("upsert")})
 
 
 def split_by_table(log: DataFrame) -> DataFrame:
-    """One fragment for each table of a commit."""
+    """One fragment for each table of a commit, in the order in which the commit names them.
+
+    Where the log has a column `tables`, a truncate names all of its tables there and counts in each of them.
+    """
+    if "tables" in log.columns:
+        log = log.withColumn("table", F.explode(F.when(F.col("op") == "truncate", F.col("tables")).otherwise(F.array("table"))))
     return log.groupBy("sequence", "table").agg(F.count("*").alias("events"), F.min("tx_ordinal").alias("first_ordinal"))
 
 

@@ -48,26 +48,41 @@ def step_rows(payload: Column) -> Column:
     return F.coalesce(F.aggregate(steps, F.lit(0).cast("long"), lambda a, x: a + F.coalesce(x["row_count"], F.lit(0).cast("long"))), F.lit(0).cast("long"))
 
 
-def top_queued(jobs: DataFrame, k: int = 5) -> DataFrame:
-    j = jobs.where(F.col("status").isin("pending", "running")).withColumn("rows", step_rows(F.col("payload_json")))
+def of(items: DataFrame, connection: str) -> DataFrame:
+    return items.where(F.col("connection_id") == connection)
+
+
+def top_queued(jobs: DataFrame, connection: str, k: int = 5) -> DataFrame:
+    j = of(jobs, connection).where(F.col("status").isin("pending", "running")).withColumn("rows", step_rows(F.col("payload_json")))
     return j.groupBy("table_key").agg(F.count("*").alias("queued_jobs"), F.sum("rows").alias("queued_rows")).orderBy(F.desc("queued_rows"), F.desc("queued_jobs"), "table_key").limit(k)
 
 
-def top_loaded(jobs: DataFrame, now: int, k: int = 5, window_ms: int = WINDOW_MS) -> DataFrame:
-    j = jobs.where((F.col("status") == "succeeded") & (F.col("updated_at") >= now - window_ms)).withColumn("rows", step_rows(F.col("payload_json")))
+def top_loaded(jobs: DataFrame, connection: str, now: int, k: int = 5, window_ms: int = WINDOW_MS) -> DataFrame:
+    j = of(jobs, connection).where((F.col("status") == "succeeded") & (F.col("updated_at") >= now - window_ms)).withColumn("rows", step_rows(F.col("payload_json")))
     took = F.sum(F.col("updated_at") - F.col("created_at"))
     return j.groupBy("table_key").agg(F.count("*").alias("succeeded_jobs"), F.sum("rows").alias("loaded_rows"), took.alias("total_ms")).orderBy(F.desc("total_ms"), F.desc("succeeded_jobs"), "table_key").limit(k)
 
 
-def rows_per_minute(jobs: DataFrame, now: int) -> DataFrame:
-    j = jobs.where((F.col("status") == "succeeded") & (F.col("updated_at") >= now - MINUTE_MS))
+def rows_per_minute(jobs: DataFrame, connection: str, now: int) -> DataFrame:
+    j = of(jobs, connection).where((F.col("status") == "succeeded") & (F.col("updated_at") >= now - MINUTE_MS))
     return j.agg(F.coalesce(F.sum(step_rows(F.col("payload_json"))), F.lit(0)).cast("long").alias("rows_per_minute"))
 
 
-def backpressure(items: DataFrame, now: int, most: int, oldest_ms: int) -> DataFrame:
-    out = items.where(F.col("status") == "pending").agg(F.count("*").alias("pending"), F.min("created_at").alias("oldest"))
+def pending_summary(items: DataFrame, connection: str, now: int, most: int | None, oldest_ms: int | None) -> DataFrame:
+    """Pending items of a connection, the oldest, and whether either bound is reached."""
+    out = of(items, connection).where(F.col("status") == "pending").agg(F.count("*").alias("pending"), F.min("created_at").alias("oldest"))
     age = F.greatest(F.lit(now) - F.col("oldest"), F.lit(0))
-    return out.select("pending", "oldest", F.coalesce((F.col("pending") >= most) | (age >= oldest_ms), F.lit(False)).alias("exceeded"))
+    many = F.lit(False) if most is None else F.col("pending") >= most
+    return out.select("pending", "oldest", F.coalesce(many | (F.lit(False) if oldest_ms is None else age >= oldest_ms), F.lit(False)).alias("exceeded"))
+
+
+def backpressure(fragments: DataFrame, jobs: DataFrame, connection: str, now: int, most_fragments: int | None, most_jobs: int | None, oldest_ms: int | None) -> DataFrame:
+    """The ledger that holds the stream back, if one does: fragments are looked at first, then jobs."""
+    parts = [
+        pending_summary(items, connection, now, most, oldest_ms).select(F.lit(place).alias("_place"), F.lit(name).alias("ledger"), "*")
+        for place, (name, items, most) in enumerate((("fragments", fragments, most_fragments), ("jobs", jobs, most_jobs)))
+    ]
+    return parts[0].unionByName(parts[1]).where("exceeded").orderBy("_place").limit(1).select("ledger", "pending", "oldest")
 
 
 def completeness(fragments: DataFrame) -> DataFrame:
@@ -105,35 +120,39 @@ def heads(jobs: DataFrame) -> DataFrame:
     return latest(j, ["connection_id", "table_key"], F.asc("first_sequence"), F.asc("created_at"), F.asc("job_id"))
 
 
+def _windows(jobs: DataFrame, now: int, stale_before: int, most: int, fill_ms: int) -> DataFrame:
+    key, order = ["connection_id", "table_key"], ("first_sequence", "created_at", "job_id")
+    per = W.partitionBy(*key)
+    fits = F.coalesce((F.col("status") == "pending") & (F.col("stage") == "loaded") & F.col("barrier_kind").isNull() & F.col("reducer_eligible"), F.lit(False))
+    eligible = F.coalesce("reducer_eligible", F.lit(False))
+    head = F.min(F.when(F.col("status").isin(*OPEN), F.struct(*order, "status", "stage", "updated_at", "barrier_kind", eligible.alias("eligible")))).over(per)
+    h = lambda c: F.col("_head")[c]
+    stale = (h("status") == "running") & (h("updated_at") < stale_before)
+    alone = h("barrier_kind").isNotNull() | ~h("eligible")
+    j = jobs.withColumn("_head", head).where((F.col("first_sequence") >= h("first_sequence")) & (stale | ((h("status") == "pending") & (h("stage") == "loaded"))))
+    j = j.withColumn("_fits", fits).withColumn("_is_head", F.col("job_id") == h("job_id"))
+    j = j.withColumn("_stop", F.min(F.when(~F.col("_is_head") & ~F.col("_fits"), F.col("first_sequence"))).over(per))
+    after = F.col("_fits") & ~alone & (F.col("first_sequence") > h("first_sequence")) & (F.col("_stop").isNull() | (F.col("first_sequence") <= F.col("_stop")))
+    j = j.where(F.col("_is_head") | after).withColumn("_jobs", F.count("*").over(per))
+    j = j.withColumn("place", F.row_number().over(per.orderBy(*order)).cast("long")).where(F.col("place") <= most)
+    ready = (h("status") == "running") | (h("updated_at") <= now - fill_ms) | alone | (F.col("_jobs") >= most)
+    return j.select(*key, "job_id", h("job_id").alias("head_id"), "place", ready.alias("ready"), F.struct(*[h(c).alias(c) for c in order]).alias("_at"))
+
+
 def windows(jobs: DataFrame, now: int, stale_before: int, most: int, fill_ms: int) -> DataFrame:
     """Jobs that a reducer may take together, per table, and whether the window is ready.
 
     The head is loaded, or runs and is stale. Later jobs join it up to the first sequence that holds
-    another job which does not fit; that sequence comes from one aggregate per table.
+    another job, of any status, which does not fit. All of it happens within one partitioning by table.
     """
-    key = ["connection_id", "table_key"]
-    fits = F.coalesce((F.col("status") == "pending") & (F.col("stage") == "loaded") & F.col("barrier_kind").isNull() & F.col("reducer_eligible"), F.lit(False))
-    alone = F.col("barrier_kind").isNotNull() | ~F.coalesce("reducer_eligible", F.lit(False))
-    stale = (F.col("status") == "running") & (F.col("updated_at") < stale_before)
-    h = heads(jobs).where(stale | ((F.col("status") == "pending") & (F.col("stage") == "loaded")))
-    h = h.select(*key, F.col("job_id").alias("head_id"), F.col("first_sequence").alias("head_sequence"), alone.alias("head_alone"),
-                 ((F.col("status") == "running") | (F.col("updated_at") <= now - fill_ms) | alone).alias("head_ready"))
-    j = jobs.join(h, key).where(F.col("first_sequence") >= F.col("head_sequence")).withColumn("is_head", F.col("job_id") == F.col("head_id")).withColumn("fits", fits)
-    stops = j.groupBy(*key).agg(F.min(F.when(~F.col("is_head") & ~F.col("fits"), F.col("first_sequence"))).alias("stop"))
-    after = F.col("fits") & ~F.col("head_alone") & (F.col("first_sequence") > F.col("head_sequence")) & (F.col("stop").isNull() | (F.col("first_sequence") <= F.col("stop")))
-    j = j.join(stops, key).where(F.col("is_head") | after)
-    counts = j.groupBy(*key).agg(F.count("*").alias("window_jobs"))
-    place = F.row_number().over(W.partitionBy(*key).orderBy("first_sequence", "created_at", "job_id"))
-    j = j.withColumn("place", place.cast("long")).where(F.col("place") <= most).join(counts, key)
-    return j.select(*key, "job_id", "head_id", "place", (F.col("head_ready") | (F.col("window_jobs") >= most)).alias("ready"))
+    return _windows(jobs, now, stale_before, most, fill_ms).drop("_at")
 
 
 def claim(jobs: DataFrame, now: int, stale_before: int, most: int, fill_ms: int) -> DataFrame:
     """The one window that a connection's next reducer takes: the ready one with the earliest head."""
-    w = windows(jobs, now, stale_before, most, fill_ms).where("ready")
-    order = jobs.select(F.col("job_id").alias("head_id"), F.struct("first_sequence", "created_at", "job_id").alias("_at"))
-    first = w.join(order, "head_id").groupBy("connection_id").agg(F.min_by("head_id", "_at").alias("head_id"))
-    return w.join(first, ["connection_id", "head_id"], "left_semi").select("connection_id", "table_key", "job_id", "place")
+    w = _windows(jobs, now, stale_before, most, fill_ms).where("ready")
+    first = W.partitionBy("connection_id")
+    return w.withColumn("_first", F.min("_at").over(first)).where("_at = _first").select("connection_id", "table_key", "job_id", "place")
 
 
 def doomed(jobs: DataFrame, fragments: DataFrame) -> DataFrame:
@@ -147,11 +166,11 @@ def repaired(fragments: DataFrame, jobs: DataFrame) -> DataFrame:
     return fragments.join(done, "job_id", "left").withColumn("status", F.when(F.col("_done"), "succeeded").otherwise(F.col("status"))).drop("_done")
 
 
-def newest_by_status(jobs: DataFrame) -> DataFrame:
-    """The job furthest on: the newest of each status, then the newest of those."""
-    key = F.struct("first_sequence", "created_at", "job_id")
-    each = jobs.groupBy("connection_id", "status").agg(F.max_by(F.struct("job_id", "first_sequence", "status"), key).alias("j"))
-    return each.groupBy("connection_id").agg(F.max_by("j", F.struct("j.first_sequence", "j.job_id")).alias("j")).select("connection_id", "j.job_id", "j.first_sequence", "j.status")
+def enqueue_state(fragments: DataFrame) -> DataFrame:
+    """Where each connection's enqueued log ends: its newest fragment that is pending, succeeded or failed."""
+    f = fragments.where(F.col("status").isin("pending", "succeeded", "failed"))
+    end = F.max(F.struct("sequence", "created_at", "commit_lsn")).alias("e")
+    return f.groupBy("connection_id").agg(end).select("connection_id", "e.sequence", "e.commit_lsn", "e.created_at")
 
 
 def fragment_ends(fragments: DataFrame, next_sequence: int) -> DataFrame:
@@ -165,7 +184,8 @@ def fragment_ends(fragments: DataFrame, next_sequence: int) -> DataFrame:
 
 
 def latest_failed_job(jobs: DataFrame) -> DataFrame:
-    return jobs.where("status = 'failed'").orderBy(F.desc("updated_at"), F.desc("job_id")).limit(1)
+    """The last failed job of each connection."""
+    return latest(jobs.where("status = 'failed'"), ["connection_id"], F.desc("updated_at"), F.desc("job_id"))
 
 
 def hot_tables(pending: DataFrame, table: str, k: int = 8) -> DataFrame:
@@ -173,23 +193,37 @@ def hot_tables(pending: DataFrame, table: str, k: int = 8) -> DataFrame:
 
 
 def staging_claim(jobs: DataFrame, stale_before: int) -> DataFrame:
+    """The next job to stage of each connection: the earliest that is received, or staged by one that is gone."""
     free = (F.col("status") == "pending") & ((F.col("stage") == "received") | ((F.col("stage") == "staged") & (F.col("updated_at") < stale_before)))
-    return jobs.where(free).orderBy("first_sequence", "created_at", "job_id").limit(1)
+    return latest(jobs.where(free), ["connection_id"], F.asc("first_sequence"), F.asc("created_at"), F.asc("job_id"))
+
+
+def at_work() -> Column:
+    return (F.col("status") == "running") | ((F.col("status") == "pending") & (F.col("stage") == "staged"))
 
 
 def stale_jobs(jobs: DataFrame, now: int) -> DataFrame:
-    return jobs.where(((F.col("status") == "running") | ((F.col("status") == "pending") & (F.col("stage") == "staged"))) & (F.col("updated_at") < now - STALE_MS))
+    return jobs.where(at_work() & (F.col("updated_at") < now - STALE_MS))
+
+
+def retry_due(jobs: DataFrame, now: int, jitter: bool = True) -> DataFrame:
+    """Failed jobs that may be tried again now, in the order in which they are. The delay varies by table and attempt."""
+    delay = backoff_seconds(F.greatest("attempt_count", F.lit(1)), jitter_key=F.concat(F.lit("cdc_batch_load:"), F.col("table_key")) if jitter else None)
+    due = F.col("updated_at") + delay * 1000 <= now
+    return jobs.where((F.col("status") == "failed") & F.col("retry_class").isin(*RETRYABLE) & due).orderBy("updated_at", "first_sequence", "created_at")
 
 
-def retry_due(jobs: DataFrame, now: int) -> DataFrame:
-    due = F.col("updated_at") + backoff_seconds(F.col("attempt_count")) * 1000 <= now
-    return jobs.where((F.col("status") == "failed") & F.col("retry_class").isin("backpressure", "transient") & due)
+def requeued(jobs: DataFrame, now: int, jitter: bool = True) -> DataFrame:
+    """All jobs; those that are due again are pending and received, without their error."""
+    delay = backoff_seconds(F.greatest("attempt_count", F.lit(1)), jitter_key=F.concat(F.lit("cdc_batch_load:"), F.col("table_key")) if jitter else None)
+    due = F.coalesce((F.col("status") == "failed") & F.col("retry_class").isin(*RETRYABLE) & (F.col("updated_at") + delay * 1000 <= now), F.lit(False))
+    return updated(jobs, due, status=F.lit("pending"), stage=F.lit("received"), last_error=F.lit(None), updated_at=F.lit(now))
 
 
-def requeued(jobs: DataFrame, now: int) -> DataFrame:
-    due = retry_due(jobs, now).select(F.col("job_id"), F.lit(True).alias("_due"))
-    out = jobs.join(due, "job_id", "left")
-    return out.withColumn("status", F.when(F.col("_due"), "pending").otherwise(F.col("status"))).withColumn("stage", F.when(F.col("_due"), "received").otherwise(F.col("stage"))).drop("_due")
+def updated(rows: DataFrame, where: Column, **values: Column) -> DataFrame:
+    """The rows, these columns set where the condition holds; one pass, no join."""
+    where = F.coalesce(where, F.lit(False))
+    return rows.select(*[F.when(where, values[c]).otherwise(F.col(c)).cast(rows.schema[c].dataType).alias(c) if c in values else F.col(c) for c in rows.columns])
 
 
 def stage_for(stage: Column, status: Column) -> Column:
@@ -198,8 +232,12 @@ def stage_for(stage: Column, status: Column) -> Column:
 
 
 def scan(items: DataFrame, statuses: list[str]) -> DataFrame:
-    """Items of these statuses, a missing stage following from the status."""
-    return items.where(F.col("status").isin(statuses)).withColumn("stage", F.coalesce("stage", stage_of(F.col("status"))))
+    """Items of these statuses, a missing stage following from the status, a missing expectation none; in order of their sequence."""
+    order = [c for c in ("sequence", "first_sequence") if c in items.columns] + ["created_at"]
+    out = items.where(F.col("status").isin(statuses)).withColumn("stage", F.coalesce("stage", stage_of(F.col("status"))))
+    if "expected_fragments" in items.columns:
+        out = out.withColumn("expected_fragments", F.coalesce("expected_fragments", F.lit(0)))
+    return out.orderBy(*order)
 
 
 def merged_sequences(*parts: DataFrame) -> DataFrame:

@@ -18,9 +18,7 @@ def upsert(target: DataFrame, source: DataFrame, pk: str) -> DataFrame:
 def reduce_steps(steps: list[DataFrame], pk: str, helpers: tuple[str, ...] = ("sequence", "tx_ordinal")) -> DataFrame:
     """Union of staged steps -> the newest row of each key, without the reducer's columns."""
     rows = fold(lambda a, b: a.unionByName(b, allowMissingColumns=True), steps)
-    null_keys = rows.where(F.col(pk).isNull())
-    null_keys = latest(null_keys, [pk], *newest_first())
-    return latest(rows.where(F.col(pk).isNotNull()), [pk], *newest_first()).unionByName(null_keys).drop(*helpers)
+    return latest(rows, [pk], *newest_first()).drop(*helpers)
 
 
 def reducer_merge(target: DataFrame, steps: list[DataFrame], pk: str) -> DataFrame:
@@ -42,12 +40,19 @@ def event_time_merge(target: DataFrame, source: DataFrame, pk: str, at: str = "e
     return kept.select(*[F.when(F.col("_use"), F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c) for c in target.columns])
 
 
+def ranged(kind: str) -> bool:
+    """Keys of these types have a range that prunes a merge."""
+    return kind in ("bigint", "int", "smallint", "tinyint", "date", "timestamp", "timestamp_ntz") or kind.startswith("decimal")
+
+
 def key_range(source: DataFrame, pk: str) -> DataFrame:
     return source.agg(F.min(pk).alias("low"), F.max(pk).alias("high"))
 
 
 def merge_in_range(target: DataFrame, source: DataFrame, pk: str) -> DataFrame:
-    """The upsert whose join reads only the target rows within the source's keys; the bounds reach the scan."""
+    """The upsert whose join reads only the target rows within the source's keys; the bounds reach the scan, hence the driver. Other types have no range."""
+    if not ranged(target.schema[pk].dataType.simpleString()):
+        return upsert(target, source, pk)
     low, high = key_range(source, pk).first()
     if low is None:
         return target.unionByName(source, allowMissingColumns=True)

@@ -36,6 +36,19 @@ def glob_like(name: Column, pattern: str) -> Column:
     return name.rlike("^" + special.replace("*", ".*").replace("?", ".") + "$")
 
 
+def selected(tables: DataFrame, name: str, include: list[str], exclude: list[str]) -> DataFrame:
+    """The same over rows: names that match an included pattern and no excluded one."""
+    any_of = lambda ps: F.lit(False) if not ps else _fold([glob_like(F.col(name), p) for p in ps])
+    return tables.where(any_of(include) & ~any_of(exclude))
+
+
+def _fold(conditions: list[Column]) -> Column:
+    out = conditions[0]
+    for c in conditions[1:]:
+        out = out | c
+    return out
+
+
 def resolve_key(keys: list[str], table: str) -> str:
     if len(keys) != 1:
         raise ValueError(f"{table}: {'no' if not keys else 'composite'} primary key")

@@ -38,6 +38,17 @@ def checkpoint_age(checkpoints: DataFrame, now_s: int, synced_s: str = "synced_s
     return checkpoints.withColumn("age_s", F.when(F.col(synced_s).isNotNull(), F.greatest(F.lit(now_s) - F.col(synced_s), F.lit(0))).cast("long"))
 
 
+def connection_age(checkpoints: DataFrame, configured: DataFrame, now_s: int, key: str = "table_key") -> DataFrame:
+    """Age of the oldest checkpoint of each connection's configured tables."""
+    c = checkpoint_age(checkpoints, now_s).join(configured.select("connection_id", key), ["connection_id", key], "left_semi")
+    return c.groupBy("connection_id").agg(F.max("age_s").alias("age_s"))
+
+
+def run_tables(measures: DataFrame, run) -> DataFrame:
+    """A run's tables, those with most rows read first."""
+    return measures.where(F.col("run_id") == run).orderBy(F.desc("rows_read"), "table_key")
+
+
 def reconciled(source: DataFrame, destination: DataFrame, soft_delete: bool, key: str = "table_key") -> DataFrame:
     """Source count against destination count, tombstones left out if there are any."""
     live = F.col("dest_rows") - (F.coalesce("dest_deleted", F.lit(0)) if soft_delete else F.lit(0))

@@ -2,35 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as X
 from ..operators import changes, incremental, ledger, merge, schema, stats
 from ..sources import dynamic
 from ..storage import json_rows as encoded_rows
+from .registry import query, read
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
 NOW = 1_000_000_000
 
 
-def query(sql: str | None = None):
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            SQL[f.__name__] = sql
-        return f
-
-    return add
-
-
-def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 # --- simulated logs over events: key user_id, commits of ten events -----------------------------
 
 
@@ -46,24 +29,35 @@ LOG = """WITH log AS (SELECT event_id, user_id, event_type, value, props, epoch_
   event_id // 10 AS sequence, event_id % 10 AS tx_ordinal FROM events) """
 
 
+#: Every status, stage, retry class and kind of error meets every other one in the jobs.
+_STATUS = ("pending", "succeeded", "running", "failed", "pending", "succeeded")
+_STAGE = ("loaded", "received", "staged", "applying", "loaded", "applied", "failed", "blocked", "apply_pending", "loaded", "received")
+_CLASS = ("permanent", "backpressure", "transient", None)
+_ERROR = (None, f"{ledger.HANDOFF} of t", ledger.HANDOFF, f"x {ledger.HANDOFF}", "other")
+
+
+def _list(xs) -> str:
+    return "[" + ", ".join("NULL" if x is None else f"'{x}'" for x in xs) + "]"
+
+
 def jobs(spark, d) -> DataFrame:
     e = read(spark, d, "events")
     i = F.col("event_id")
+    of = lambda xs, n: F.element_at(F.array(*[F.lit(x) for x in xs]), (n % len(xs) + 1).cast("int"))
     j = e.select(
-        F.lit("c1").alias("connection_id"), F.concat(F.lit("j"), F.lpad(i.cast("string"), 10, "0")).alias("job_id"), F.col("event_type").alias("table_key"),
-        F.expr("event_id div 3").alias("first_sequence"), F.element_at(F.array(*[F.lit(x) for x in ("pending", "succeeded", "running", "failed", "pending", "succeeded")]), (i % 6 + 1).cast("int")).alias("status"),
-        F.element_at(F.array(*[F.lit(x) for x in ("loaded", "received", "staged", "applying", "loaded")]), (i % 5 + 1).cast("int")).alias("stage"),
+        F.when(i % 10 == 9, "c2").otherwise("c1").alias("connection_id"), F.concat(F.lit("j"), F.lpad(i.cast("string"), 10, "0")).alias("job_id"), F.col("event_type").alias("table_key"),
+        F.expr("event_id div 3").alias("first_sequence"), of(_STATUS, i).alias("status"), of(_STAGE, i).alias("stage"),
         F.concat(F.lit('{"steps":[{"row_count":'), (i % 97).cast("string"), F.lit('},{"row_count":'), (i % 13).cast("string"), F.lit("}]}")).alias("payload_json"),
-        (i % 7).cast("int").alias("attempt_count"), F.when(i % 6 == 3, F.element_at(F.array(*[F.lit(x) for x in ("permanent", "backpressure", "transient")]), (i % 3 + 1).cast("int"))).alias("retry_class"),
+        (i % 7).cast("int").alias("attempt_count"), F.when(i % 6 == 3, of(_CLASS, F.floor(i / 6))).alias("retry_class"), of(_ERROR, i).alias("last_error"),
         F.when(i % 41 == 0, "truncate").alias("barrier_kind"), (i % 43 != 0).alias("reducer_eligible"),
         (F.lit(NOW) - i * 50).alias("created_at"), (F.lit(NOW) - i * 50 + (i % 1000)).alias("updated_at"),
     )
     return j
 
 
-JOBS = f"""WITH jobs AS (SELECT 'c1' AS connection_id, 'j' || lpad(CAST(event_id AS VARCHAR), 10, '0') AS job_id, event_type AS table_key, event_id // 3 AS first_sequence,
-  ['pending','succeeded','running','failed','pending','succeeded'][event_id % 6 + 1] AS status, ['loaded','received','staged','applying','loaded'][event_id % 5 + 1] AS stage,
-  event_id % 97 + event_id % 13 AS step_rows, CAST(event_id % 7 AS INTEGER) AS attempt_count, CASE WHEN event_id % 6 = 3 THEN ['permanent','backpressure','transient'][event_id % 3 + 1] END AS retry_class,
+JOBS = f"""WITH jobs AS (SELECT CASE WHEN event_id % 10 = 9 THEN 'c2' ELSE 'c1' END AS connection_id, 'j' || lpad(CAST(event_id AS VARCHAR), 10, '0') AS job_id, event_type AS table_key, event_id // 3 AS first_sequence,
+  {_list(_STATUS)}[event_id % 6 + 1] AS status, {_list(_STAGE)}[event_id % 11 + 1] AS stage, {_list(_ERROR)}[event_id % 5 + 1] AS last_error,
+  event_id % 97 + event_id % 13 AS step_rows, CAST(event_id % 7 AS INTEGER) AS attempt_count, CASE WHEN event_id % 6 = 3 THEN {_list(_CLASS)}[event_id // 6 % 4 + 1] END AS retry_class,
   CASE WHEN event_id % 41 = 0 THEN 'truncate' END AS barrier_kind, event_id % 43 <> 0 AS reducer_eligible, {NOW} - event_id * 50 AS created_at, {NOW} - event_id * 50 + event_id % 1000 AS updated_at FROM events) """
 
 
@@ -279,7 +273,7 @@ def reconcile_counts(spark, d):
 
 # --- ledger -----------------------------------------------------------------------------------------
 
-_HANDOFF = "CDC batch-load waiting for snapshot handoff"
+_HANDOFF = ledger.HANDOFF
 _WHEN = {f"{x}_jobs": f"status = '{x}'" for x in ("pending", "running", "succeeded", "failed")} | {
     "failed_retryable_jobs": "status = 'failed' AND retry_class IN ('backpressure','transient')", "failed_permanent_jobs": "status = 'failed' AND retry_class = 'permanent'",
     "failed_snapshot_handoff_jobs": f"status = 'failed' AND retry_class IN ('backpressure','transient') AND last_error LIKE '{_HANDOFF}%'",
@@ -295,34 +289,33 @@ _SUMMARY = ", ".join(
 )
 
 
-@query(JOBS + f""", j AS (SELECT * REPLACE (CASE WHEN attempt_count = 5 THEN 'blocked' ELSE stage END AS stage, CASE WHEN attempt_count <> 2 THEN retry_class END AS retry_class),
-  CASE WHEN job_id LIKE '%1' THEN '{_HANDOFF} of t' WHEN job_id LIKE '%5' THEN '{_HANDOFF}' WHEN job_id LIKE '%3' THEN 'x {_HANDOFF}' END AS last_error FROM jobs)
-SELECT connection_id, count(*) AS total_jobs, {_SUMMARY}, round(avg(updated_at - created_at) FILTER (WHERE status = 'succeeded' AND updated_at >= {NOW - 900000}), 3) AS avg_job_duration_ms FROM j GROUP BY 1""")
+@query(JOBS + f"""SELECT connection_id, count(*) AS total_jobs, {_SUMMARY}, round(avg(updated_at - created_at) FILTER (WHERE status = 'succeeded' AND updated_at >= {NOW - 900000}), 3) AS avg_job_duration_ms FROM jobs GROUP BY 1""")
 def queue_summary(spark, d):
-    ends = lambda x: F.col("job_id").endswith(x)
-    error = F.when(ends("1"), _HANDOFF + " of t").when(ends("5"), _HANDOFF).when(ends("3"), "x " + _HANDOFF)
-    j = jobs(spark, d).withColumn("last_error", error).withColumn("retry_class", F.when(F.col("attempt_count") != 2, F.col("retry_class")))
-    return ledger.queue_summary(j.withColumn("stage", F.when(F.col("attempt_count") == 5, "blocked").otherwise(F.col("stage"))), NOW)
+    return ledger.queue_summary(jobs(spark, d), NOW)
 
 
-@query(JOBS + "SELECT table_key, count(*) AS queued_jobs, CAST(sum(step_rows) AS BIGINT) AS queued_rows FROM jobs WHERE status IN ('pending','running') GROUP BY 1 ORDER BY 3 DESC, 2 DESC, 1 LIMIT 5")
+@query(JOBS + "SELECT table_key, count(*) AS queued_jobs, CAST(sum(step_rows) AS BIGINT) AS queued_rows FROM jobs WHERE connection_id = 'c1' AND status IN ('pending','running') GROUP BY 1 ORDER BY 3 DESC, 2 DESC, 1 LIMIT 5")
 def top_queued_tables(spark, d):
-    return ledger.top_queued(jobs(spark, d))
+    return ledger.top_queued(jobs(spark, d), "c1")
 
 
-@query(JOBS + f"SELECT table_key, count(*) AS succeeded_jobs, CAST(sum(step_rows) AS BIGINT) AS loaded_rows, CAST(sum(updated_at - created_at) AS BIGINT) AS total_ms FROM jobs WHERE status = 'succeeded' AND updated_at >= {NOW - 900000} GROUP BY 1 ORDER BY 4 DESC, 2 DESC, 1 LIMIT 5")
+@query(JOBS + f"SELECT table_key, count(*) AS succeeded_jobs, CAST(sum(step_rows) AS BIGINT) AS loaded_rows, CAST(sum(updated_at - created_at) AS BIGINT) AS total_ms FROM jobs WHERE connection_id = 'c1' AND status = 'succeeded' AND updated_at >= {NOW - 900000} GROUP BY 1 ORDER BY 4 DESC, 2 DESC, 1 LIMIT 5")
 def top_loaded_tables(spark, d):
-    return ledger.top_loaded(jobs(spark, d), NOW)
+    return ledger.top_loaded(jobs(spark, d), "c1", NOW)
 
 
-@query(JOBS + f"SELECT CAST(coalesce(sum(step_rows), 0) AS BIGINT) AS rows_per_minute FROM jobs WHERE status = 'succeeded' AND updated_at >= {NOW - 60000}")
+@query(JOBS + f"SELECT CAST(coalesce(sum(step_rows), 0) AS BIGINT) AS rows_per_minute FROM jobs WHERE connection_id = 'c1' AND status = 'succeeded' AND updated_at >= {NOW - 60000}")
 def rows_per_minute(spark, d):
-    return ledger.rows_per_minute(jobs(spark, d), NOW)
+    return ledger.rows_per_minute(jobs(spark, d), "c1", NOW)
+
+
+_PENDING = f"SELECT {{0}} AS ledger, count(*) AS pending, min(created_at) AS oldest, coalesce(count(*) >= {{2}} OR greatest({NOW} - min(created_at), 0) >= 50000000, false) AS exceeded FROM {{1}} WHERE connection_id = 'c1' AND status = 'pending'"
 
 
-@query(FRAGMENTS + f"SELECT count(*) AS pending, min(created_at) AS oldest, coalesce(count(*) >= 100000 OR greatest({NOW} - min(created_at), 0) >= 5000, false) AS exceeded FROM fragments WHERE status = 'pending'")
+@query(FRAGMENTS + ", " + JOBS.removeprefix("WITH ") + ", p AS (" + _PENDING.format("0", "fragments", 100_000) + " UNION ALL " + _PENDING.format("1", "jobs", 100) + ") SELECT CASE ledger WHEN 0 THEN 'fragments' ELSE 'jobs' END AS ledger, pending, oldest FROM p WHERE exceeded ORDER BY p.ledger LIMIT 1")
 def backpressure(spark, d):
-    return ledger.backpressure(fragments(spark, d), NOW, 100_000, 5_000)
+    """The jobs exceed their bound, the fragments do not."""
+    return ledger.backpressure(fragments(spark, d), jobs(spark, d), "c1", NOW, 100_000, 100, 50_000_000)
 
 
 @query(FRAGMENTS + "SELECT job_id, count(*) AS total, count(*) FILTER (WHERE status = 'succeeded') AS durable, count(*) FILTER (WHERE status = 'failed') AS failed FROM fragments GROUP BY 1")
@@ -350,33 +343,43 @@ def ready_heads(spark, d):
     return ledger.heads(jobs(spark, d)).select("connection_id", "table_key", "job_id", "first_sequence")
 
 
-_LIVE = "status IN ('pending', 'running') AND NOT (status = 'pending' AND stage <> 'loaded' AND first_sequence < 400) AND NOT (status = 'running' AND first_sequence < 300)"
+#: Jobs of many tables: each table's first ones have succeeded, then come loaded ones with here and there one that blocks.
+_QUEUE = JOBS + f""", queue AS (SELECT connection_id, job_id, event_id % 211 AS table_key, event_id AS first_sequence, {NOW} - event_id AS created_at, {NOW} - event_id % 4001 AS updated_at,
+  CASE WHEN event_id < event_id % 211 * 17 THEN 'succeeded' WHEN event_id % 59 = 3 THEN 'running' WHEN event_id % 61 = 3 THEN 'failed' ELSE 'pending' END AS status,
+  CASE WHEN event_id % 53 = 3 THEN 'received' ELSE 'loaded' END AS stage, CASE WHEN event_id % 41 = 0 THEN 'truncate' END AS barrier_kind, event_id % 43 <> 0 AS reducer_eligible
+  FROM (SELECT connection_id, job_id, CAST(substr(job_id, 2) AS BIGINT) AS event_id FROM jobs)) """
+
+
+def queue(spark, d) -> DataFrame:
+    i = F.substr("job_id", F.lit(2)).cast("long")
+    status = F.when(i < i % 211 * 17, "succeeded").when(i % 59 == 3, "running").when(i % 61 == 3, "failed").otherwise("pending")
+    return jobs(spark, d).select(
+        "connection_id", "job_id", (i % 211).alias("table_key"), i.alias("first_sequence"), (F.lit(NOW) - i).alias("created_at"), (F.lit(NOW) - i % 4001).alias("updated_at"), status.alias("status"),
+        F.when(i % 53 == 3, "received").otherwise("loaded").alias("stage"), "barrier_kind", "reducer_eligible",
+    )
+
+
 _FITS = "{0}.status = 'pending' AND {0}.stage = 'loaded' AND {0}.barrier_kind IS NULL AND {0}.reducer_eligible"
-WINDOW = f""", live AS (SELECT * FROM jobs WHERE {_LIVE}),
-h AS (SELECT * FROM live WHERE status IN ('pending','running','failed') QUALIFY row_number() OVER (PARTITION BY connection_id, table_key ORDER BY first_sequence, created_at, job_id) = 1),
-head AS (SELECT * FROM h WHERE (status = 'pending' AND stage = 'loaded') OR (status = 'running' AND updated_at < {NOW - 10000})),
+WINDOW = f""", h AS (SELECT * FROM queue WHERE status IN ('pending','running','failed') QUALIFY row_number() OVER (PARTITION BY connection_id, table_key ORDER BY first_sequence, created_at, job_id) = 1),
+head AS (SELECT * FROM h WHERE (status = 'pending' AND stage = 'loaded') OR (status = 'running' AND updated_at < {NOW - 1000})),
 candidates AS (SELECT j.*, head.job_id AS head_id, head.status = 'running' OR head.updated_at <= {NOW - 2000} OR head.barrier_kind IS NOT NULL OR NOT head.reducer_eligible AS head_ready
-  FROM live j JOIN head USING (connection_id, table_key)
+  FROM queue j JOIN head USING (connection_id, table_key)
   WHERE j.job_id = head.job_id OR (head.barrier_kind IS NULL AND head.reducer_eligible AND {_FITS.format("j")} AND j.first_sequence > head.first_sequence
-    AND NOT EXISTS (SELECT 1 FROM live b WHERE b.connection_id = j.connection_id AND b.table_key = j.table_key AND b.job_id <> head.job_id
+    AND NOT EXISTS (SELECT 1 FROM queue b WHERE b.connection_id = j.connection_id AND b.table_key = j.table_key AND b.job_id <> head.job_id
       AND b.first_sequence >= head.first_sequence AND b.first_sequence < j.first_sequence AND NOT ({_FITS.format("b")})))),
 placed AS (SELECT *, row_number() OVER (PARTITION BY connection_id, table_key ORDER BY first_sequence, created_at, job_id) AS place,
-  head_ready OR count(*) OVER (PARTITION BY connection_id, table_key) >= 16 AS ready FROM candidates) """
-
-
-def live_jobs(spark, d) -> DataFrame:
-    return jobs(spark, d).where(_LIVE)
+  head_ready OR count(*) OVER (PARTITION BY connection_id, table_key) >= 5 AS ready FROM candidates) """
 
 
-@query(JOBS + WINDOW + "SELECT connection_id, table_key, job_id, head_id, place, ready FROM placed WHERE place <= 16")
+@query(_QUEUE + WINDOW + "SELECT connection_id, table_key, job_id, head_id, place, ready FROM placed WHERE place <= 5")
 def reducer_window(spark, d):
-    return ledger.windows(live_jobs(spark, d), NOW, NOW - 10_000, 16, 2_000)
+    return ledger.windows(queue(spark, d), NOW, NOW - 1_000, 5, 2_000)
 
 
-@query(JOBS + WINDOW + """, first AS (SELECT l.connection_id, l.job_id FROM live l WHERE l.job_id IN (SELECT head_id FROM placed WHERE ready) QUALIFY row_number() OVER (PARTITION BY l.connection_id ORDER BY l.first_sequence, l.created_at, l.job_id) = 1)
-SELECT p.connection_id, p.table_key, p.job_id, p.place FROM placed p JOIN first ON p.head_id = first.job_id AND p.connection_id = first.connection_id WHERE p.place <= 16""")
+@query(_QUEUE + WINDOW + """, first AS (SELECT l.connection_id, l.job_id FROM queue l WHERE l.job_id IN (SELECT head_id FROM placed WHERE ready) QUALIFY row_number() OVER (PARTITION BY l.connection_id ORDER BY l.first_sequence, l.created_at, l.job_id) = 1)
+SELECT p.connection_id, p.table_key, p.job_id, p.place FROM placed p JOIN first ON p.head_id = first.job_id AND p.connection_id = first.connection_id WHERE p.place <= 5""")
 def reducer_claim(spark, d):
-    return ledger.claim(live_jobs(spark, d), NOW, NOW - 10_000, 16, 2_000)
+    return ledger.claim(queue(spark, d), NOW, NOW - 1_000, 5, 2_000)
 
 
 @query(FRAGMENTS + """, j AS (SELECT DISTINCT job_id, CASE WHEN CAST(substr(job_id, 2) AS BIGINT) % 3 = 0 THEN 'running' ELSE 'succeeded' END AS status FROM fragments)
@@ -394,9 +397,19 @@ def replay_repaired_fragments(spark, d):
     return ledger.repaired(f, j).select("fragment_id", "status")
 
 
-@query(JOBS + "SELECT connection_id, job_id, first_sequence, status FROM jobs ORDER BY first_sequence DESC, job_id DESC LIMIT 1")
+_STATES = FRAGMENTS + ", f AS (SELECT * REPLACE (CASE WHEN sequence % 5 = 0 AND status = 'succeeded' THEN 'running' ELSE status END AS status, created_at + sequence % 3 AS created_at), 'c' || sequence % 7 AS connection, '0/' || to_hex(sequence) AS commit_lsn FROM fragments) "
+
+
+def states(spark, d) -> DataFrame:
+    """Fragments of several connections, some of them running, which no enqueue state counts."""
+    status = F.when((F.col("sequence") % 5 == 0) & (F.col("status") == "succeeded"), "running").otherwise(F.col("status"))
+    f = fragments(spark, d).withColumns({"status": status, "created_at": F.col("created_at") + F.col("sequence") % 3, "commit_lsn": F.concat(F.lit("0/"), F.hex("sequence"))})
+    return f.withColumn("connection_id", F.concat(F.lit("c"), F.col("sequence") % 7))
+
+
+@query(_STATES + "SELECT connection AS connection_id, sequence, commit_lsn, created_at FROM f WHERE status IN ('pending', 'succeeded', 'failed') QUALIFY row_number() OVER (PARTITION BY connection ORDER BY sequence DESC, created_at DESC) = 1")
 def enqueue_latest(spark, d):
-    return ledger.newest_by_status(jobs(spark, d).withColumn("created_at", F.lit(0)))
+    return ledger.enqueue_state(states(spark, d))
 
 
 @query(FRAGMENTS + "SELECT connection_id, arg_min(fragment_id, struct_pack(a := sequence, b := created_at, c := fragment_id)) FILTER (WHERE status = 'pending') AS oldest_pending, arg_max(fragment_id, struct_pack(a := updated_at, b := sequence, c := fragment_id)) FILTER (WHERE status = 'failed') AS latest_failed, greatest(max(sequence) - 7, 0) AS sequence_lag FROM fragments GROUP BY 1")
@@ -404,9 +417,9 @@ def oldest_pending(spark, d):
     return ledger.fragment_ends(fragments(spark, d), 7)
 
 
-@query(JOBS + "SELECT job_id, retry_class, updated_at FROM jobs WHERE status = 'failed' ORDER BY updated_at DESC, job_id DESC LIMIT 1")
+@query(JOBS + "SELECT connection_id, job_id, retry_class, last_error, updated_at FROM jobs WHERE status = 'failed' QUALIFY row_number() OVER (PARTITION BY connection_id ORDER BY updated_at DESC, job_id DESC) = 1")
 def latest_failed(spark, d):
-    return ledger.latest_failed_job(jobs(spark, d)).select("job_id", "retry_class", "updated_at")
+    return ledger.latest_failed_job(jobs(spark, d)).select("connection_id", "job_id", "retry_class", "last_error", "updated_at")
 
 
 @query("SELECT user_id, count(*) AS n FROM events GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 8")
@@ -414,9 +427,9 @@ def hot_tables_top8(spark, d):
     return ledger.hot_tables(read(spark, d, "events"), "user_id")
 
 
-@query(JOBS + f"SELECT job_id FROM jobs WHERE status = 'pending' AND (stage = 'received' OR (stage = 'staged' AND updated_at < {NOW - 90000})) ORDER BY first_sequence, created_at, job_id LIMIT 1")
+@query(JOBS + f"SELECT connection_id, job_id FROM jobs WHERE status = 'pending' AND (stage = 'received' OR (stage = 'staged' AND updated_at < {NOW - 90000})) QUALIFY row_number() OVER (PARTITION BY connection_id ORDER BY first_sequence, created_at, job_id) = 1")
 def staging_claim(spark, d):
-    return ledger.staging_claim(jobs(spark, d), NOW - 90_000).select("job_id")
+    return ledger.staging_claim(jobs(spark, d), NOW - 90_000).select("connection_id", "job_id")
 
 
 @query(JOBS + f"SELECT job_id FROM jobs WHERE (status = 'running' OR (status = 'pending' AND stage = 'staged')) AND updated_at < {NOW - 90000}")
@@ -429,7 +442,7 @@ BACKOFF = "CAST(least(16 * pow(2, least(greatest(attempt_count - 1, 0), 20)), 10
 
 @query(JOBS + f"SELECT job_id, attempt_count FROM jobs WHERE status = 'failed' AND retry_class IN ('backpressure','transient') AND updated_at + {BACKOFF} * 1000 <= {NOW}")
 def retry_due_jobs(spark, d):
-    return ledger.retry_due(jobs(spark, d), NOW).select("job_id", "attempt_count")
+    return ledger.retry_due(jobs(spark, d), NOW, jitter=False).select("job_id", "attempt_count")
 
 
 @query(JOBS + f"SELECT DISTINCT attempt_count, {BACKOFF} AS seconds FROM jobs")
@@ -464,7 +477,7 @@ def blocked_table_skip(spark, d):
     return go.select("job_id", F.lit(False).alias("skipped")).unionByName(skip.select("job_id", F.lit(True).alias("skipped")))
 
 
-@query(JOBS + "SELECT job_id FROM jobs WHERE stage = 'applying' AND table_key <> 'click'")
+@query(JOBS + "SELECT job_id FROM jobs WHERE stage IN ('applying', 'blocked') AND table_key <> 'click'")
 def handoff_release(spark, d):
     j = jobs(spark, d).withColumn("stage", F.when(F.col("stage") == "applying", "blocked").otherwise(F.col("stage")))
     c = spark.createDataFrame([("click", [(True,), (False,)]), ("view", [(True,)])], "table_key string, chunks array<struct<complete boolean>>")
@@ -606,18 +619,25 @@ def lenient_coercion(spark, d):
     return read(spark, d, "events").select("event_id", X.lenient(text, "long").alias("n"), X.lenient(flag, "boolean").alias("flag"))
 
 
-@query("SELECT event_id, (event_id - 500) * 1000000 + event_id % 10 * 100000 AS us FROM events")
+@query("SELECT event_id, CASE WHEN event_id < 500 THEN -(abs(event_id - 500) * 1000000 + event_id % 10 * 100000 + CASE WHEN event_id % 3 = 0 THEN 1 ELSE 0 END) ELSE abs(event_id - 500) * 1000000 + event_id % 10 * 100000 END AS us FROM events")
 def epoch_parse(spark, d):
-    text = F.concat((F.col("event_id") - 500).cast("string"), F.lit("."), (F.col("event_id") % 10).cast("string"))
-    e = read(spark, d, "events").select("event_id", X.epoch_micros(F.when(F.col("event_id") >= 500, text)).alias("us"))
-    return e.withColumn("us", F.coalesce("us", (F.col("event_id") - 500) * 1_000_000 + F.col("event_id") % 10 * 100_000))
+    i = F.col("event_id")
+    text = F.concat(F.when(i < 500, "-").otherwise(""), F.abs(i - 500).cast("string"), F.lit("."), (i % 10).cast("string"), F.when(i % 3 == 0, "0000004").otherwise(""))
+    return read(spark, d, "events").select("event_id", X.epoch_micros(text).alias("us"))
+
+
+#: Interval texts of each form, `N` standing for a number, and their seconds as SQL; the last ones are no intervals.
+_INTERVALS = [
+    ("N days 04:05:06.5", "n * 86400 + 14706.5"), ("N mons", "n * 2592000"), ("-01:30:00", "-5400"), ("1 year N mons -2 days +00:00:N", "31557600 + n * 2592000 - 172800 + n"), ("  -N hours 3 mins  ", "n * -3600 + 180"),
+    ("N.25 secs", "n + 0.25"), ("N fortnights", "NULL"), ("N", "NULL"), ("N monkey", "NULL"), ("01:N", "NULL"), ("N weeks", "NULL"), ("", "NULL"), ("N days 3", "NULL"), ("N 01:02:03", "NULL"), ("x:1:2", "NULL"),
+]
 
 
-@query("SELECT event_id, round(event_id % 40 * 86400.0 + event_id % 24 * 3600 + event_id % 60 * 60 + 6.5, 3) AS seconds FROM events".replace("86400.0", "CAST(86400.0 AS DOUBLE)"))
+@query(f"SELECT event_id, CASE event_id % {len(_INTERVALS)} " + " ".join(f"WHEN {k} THEN CAST({x} AS DOUBLE)" for k, (_, x) in enumerate(_INTERVALS)) + " END AS seconds FROM (SELECT event_id, event_id % 60 AS n FROM events)")
 def interval_seconds(spark, d):
-    two = lambda n: F.lpad((F.col("event_id") % n).cast("string"), 2, "0")
-    text = F.concat((F.col("event_id") % 40).cast("string"), F.lit(" days "), two(24), F.lit(":"), two(60), F.lit(":06.5"))
-    return read(spark, d, "events").select("event_id", F.round(X.interval_seconds(text), 3).alias("seconds"))
+    form = F.element_at(F.array(*[F.lit(t) for t, _ in _INTERVALS]), (F.col("event_id") % len(_INTERVALS) + 1).cast("int"))
+    text = F.replace(form, F.lit("N"), (F.col("event_id") % 60).cast("string"))
+    return read(spark, d, "events").select("event_id", X.try_interval_seconds(text).alias("seconds"))
 
 
 @query("SELECT event_id, base64(encode(event_type)) AS plain, base64(encode(event_type)) AS hexed FROM events")
@@ -626,10 +646,14 @@ def bytes_base64(spark, d):
     return read(spark, d, "events").select("event_id", X.bytea_base64(F.col("event_type")).alias("plain"), X.bytea_base64(h).alias("hexed"))
 
 
-@query("SELECT event_id, '[' || event_id || ',null,' || event_id % 7 || ']' AS parsed, '[' || event_id || ',null,' || event_id % 7 || ']' AS native FROM events")
+@query("""SELECT event_id, '[' || event_id || ',null,' || event_id % 7 || ']' AS longs, CASE WHEN event_id % 5 = 0 THEN '["a\\"b",null,"NULL","x,y"]' ELSE '["' || event_type || '",null]' END AS strings,
+  CASE WHEN event_id % 2 = 0 THEN '[true,false,null]' ELSE '{t,maybe}' END AS bools, CASE WHEN event_id % 3 = 0 THEN '[]' WHEN event_id % 3 = 1 THEN '{1,2' END AS odd FROM events""")
 def array_to_json(spark, d):
-    text = F.concat(F.lit("{"), F.col("event_id").cast("string"), F.lit(",NULL,"), (F.col("event_id") % 7).cast("string"), F.lit("}"))
-    return read(spark, d, "events").select("event_id", X.array_to_json(text).alias("parsed"), X.simple_array_to_json(text).alias("native"))
+    i = F.col("event_id")
+    longs = F.concat(F.lit("{"), i.cast("string"), F.lit(",NULL,"), (i % 7).cast("string"), F.lit("}"))
+    strings = F.when(i % 5 == 0, '{"a\\"b",null,"NULL",x\\,y}').otherwise(F.concat(F.lit("{"), "event_type", F.lit(",NULL}")))
+    bools, odd = F.when(i % 2 == 0, "{t,f,NULL}").otherwise("{t,maybe}"), F.when(i % 3 == 0, "{}").when(i % 3 == 1, "{1,2")
+    return read(spark, d, "events").select("event_id", X.array_to_json(longs).alias("longs"), X.array_to_json(strings, "string").alias("strings"), X.array_to_json(bools, "bool").alias("bools"), X.array_to_json(odd).alias("odd"))
 
 
 @query("SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS at FROM events")
@@ -637,10 +661,10 @@ def rfc3339(spark, d):
     return read(spark, d, "events").select("event_id", X.rfc3339(F.col("ts")).alias("at"))
 
 
-@query("SELECT n_name FROM nation WHERE n_name LIKE '%A' OR n_name LIKE 'U%'")
+@query("SELECT o_orderpriority || '.' || o_orderkey AS name FROM orders WHERE (o_orderpriority || '.' || o_orderkey LIKE '1%.%7_' OR o_orderpriority || '.' || o_orderkey LIKE '%W.1%') AND o_orderpriority || '.' || o_orderkey NOT LIKE '%77'")
 def table_selection_globs(spark, d):
-    n = F.col("n_name")
-    return read(spark, d, "nation").where(schema.glob_like(n, "*A") | schema.glob_like(n, "U*")).select("n_name")
+    n = F.concat("o_orderpriority", F.lit("."), "o_orderkey")
+    return schema.selected(read(spark, d, "orders").select(n.alias("name")), "name", ["1*.*7?", "*W.1*"], ["*77"])
 
 
 @query("SELECT n_nationkey, regexp_replace(replace('public.' || n_name, '.', '__'), '[^A-Za-z0-9_]', '_', 'g') AS name FROM nation")
@@ -706,20 +730,31 @@ def config_scrub(spark, d):
 
 
 def _change_records(spark, d, cutoff_ms=None):
+    """Creation times under either name, at either place, or missing; arrival times missing or not; old, new and key images."""
     i = F.col("event_id")
     image = F.concat(F.lit('{"id":{"S":"k'), i.cast("string"), F.lit('"}}'))
-    body = F.concat(F.lit('{"eventName":"'), F.when(i % 4 == 0, "REMOVE").otherwise("INSERT"), F.lit('","dynamodb":{"ApproximateCreationDateTime":1.5,"'), F.when(i % 4 == 0, "Keys").otherwise("NewImage"), F.lit('":'), image, F.lit("}}"))
-    r = read(spark, d, "events").select(F.concat(F.lit("s"), (i % 3).cast("string")).alias("shard"), i.alias("position"), i.alias("arrival_ms"), body.alias("body"))
-    c = dynamic.change_records(r, cutoff_ms=cutoff_ms)
-    return c.select(F.substring_index("event_id", ":", -1).cast("long").alias("event_id"), "op", F.col("event_id").alias("key"), F.get_json_object(dynamic.decoded(F.col("item")), "$.id").alias("name"))
+    removed = F.when(i % 4 == 0, "REMOVE").when(i % 4 == 1, "INSERT").otherwise("MODIFY")
+    under = F.when(i % 3 == 0, F.concat(F.lit('"ApproximateCreationDateTime":'), i.cast("string"), F.lit(".5,"))).otherwise("")
+    above = F.when(i % 3 == 1, F.concat(F.lit('"approximateCreationDateTime":'), i.cast("string"), F.lit(","))).otherwise("")
+    name = F.when(i % 5 == 0, "Keys").when(i % 4 == 0, "OldImage").otherwise("NewImage")
+    body = F.concat(F.lit('{"eventName":"'), removed, F.lit('",'), above, F.lit('"dynamodb":{'), under, F.lit('"'), name, F.lit('":'), image, F.lit("}}"))
+    r = read(spark, d, "events").select(F.concat(F.lit("s"), (i % 7).cast("string")).alias("shard"), i.alias("position"), F.when(i % 2 == 0, i * 1000 + i % 13 * 700).alias("arrival_ms"), body.alias("body"))
+    c = dynamic.change_records(r, now_s=5000.0, cutoff_ms=cutoff_ms)
+    return c.select(F.substring_index("event_id", ":", -1).cast("long").alias("event_id"), "op", F.col("event_id").alias("key"), F.get_json_object(dynamic.decoded(F.col("item")), "$.id").alias("name"), "event_at_s", "deleted_at_s")
+
+
+_CHANGES = """WITH r AS (SELECT event_id, event_id % 7 AS shard, CAST(CASE event_id % 3 WHEN 0 THEN event_id + 0.5 WHEN 1 THEN event_id ELSE 5000 END AS DOUBLE) AS event_at_s, event_id % 4 = 0 AS gone FROM events),
+a AS (SELECT *, max(CASE WHEN coalesce(CASE WHEN event_id % 2 = 0 THEN event_id * 1000 + event_id % 13 * 700 END, event_at_s * 1000) > {0} THEN 1 ELSE 0 END) OVER (PARTITION BY shard ORDER BY event_id) AS late FROM r)
+SELECT event_id, CASE WHEN gone THEN 'delete' ELSE 'upsert' END AS op, 's' || shard || ':' || event_id AS key, 'k' || event_id AS name, event_at_s, CASE WHEN gone THEN event_at_s END AS deleted_at_s FROM a WHERE late = 0"""
 
 
-@query("SELECT event_id, CASE WHEN event_id % 4 = 0 THEN 'delete' ELSE 'upsert' END AS op, 's' || event_id % 3 || ':' || event_id AS key, 'k' || event_id AS name FROM events WHERE event_id < 5000")
+@query(_CHANGES.format(7_000_000))
 def change_record_decode(spark, d):
-    return _change_records(spark, d, cutoff_ms=4999)
+    """One shot: each shard stops at its first record that arrived after the cutoff."""
+    return _change_records(spark, d, cutoff_ms=7_000_000)
 
 
-@query("SELECT event_id, CASE WHEN event_id % 4 = 0 THEN 'delete' ELSE 'upsert' END AS op, 's' || event_id % 3 || ':' || event_id AS key, 'k' || event_id AS name FROM events")
+@query(_CHANGES.format("1e300"))
 def change_record_decode_all(spark, d):
     return _change_records(spark, d)
 
@@ -729,10 +764,10 @@ def stage_normalisation(spark, d):
     return jobs(spark, d).select("job_id", ledger.stage_for(F.col("stage"), F.col("status")).alias("stage"))
 
 
-@query(JOBS + f"""SELECT job_id, CASE WHEN due THEN 'pending' ELSE status END AS status, CASE WHEN due THEN 'received' ELSE stage END AS stage
+@query(JOBS + f"""SELECT job_id, CASE WHEN due THEN 'pending' ELSE status END AS status, CASE WHEN due THEN 'received' ELSE stage END AS stage, CASE WHEN NOT due THEN last_error END AS last_error
 FROM (SELECT *, coalesce(status = 'failed' AND retry_class IN ('backpressure','transient') AND updated_at + {BACKOFF} * 1000 <= {NOW}, false) AS due FROM jobs)""")
 def requeued_jobs(spark, d):
-    return ledger.requeued(jobs(spark, d), NOW).select("job_id", "status", "stage")
+    return ledger.requeued(jobs(spark, d), NOW, jitter=False).select("job_id", "status", "stage", "last_error")
 
 
 @query(f"SELECT event_id, CASE WHEN event_id % 3 = 0 THEN CAST({NOW} AS BIGINT) END AS by_flag, epoch_us(ts) AS by_time, CAST(NULL AS BIGINT) AS by_text, event_type AS kept_text FROM events")

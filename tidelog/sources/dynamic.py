@@ -29,14 +29,34 @@ def decode_item(text: str | None) -> str | None:
     return json.dumps({k: _plain(v) for k, v in json.loads(text).items()}, separators=(",", ":"), sort_keys=True, ensure_ascii=False)
 
 
+_SCALARS = "map<string,struct<S:string,N:string,BOOL:boolean,NULL:boolean,B:string,SS:array<string>,NS:array<string>,BS:array<string>>>"
+
+
+def _flat(item: Column) -> Column:
+    """Attributes without nesting as plain JSON, names in order."""
+    quoted = lambda x: F.substr(F.to_json(F.array(x)), F.lit(2), F.length(F.to_json(F.array(x))) - 2)
+
+    def value(v):
+        out = F.when(v["S"].isNotNull(), quoted(v["S"])).when(v["N"].isNotNull(), quoted(v["N"])).when(v["BOOL"].isNotNull(), v["BOOL"].cast("string")).when(v["NULL"].isNotNull(), "null")
+        out = out.when(v["B"].isNotNull(), quoted(v["B"]))
+        for k in ("SS", "NS", "BS"):
+            out = out.when(v[k].isNotNull(), F.to_json(v[k]))
+        return out.otherwise("null")
+
+    entries = F.array_sort(F.map_entries(F.from_json(item, _SCALARS)))
+    return F.concat(F.lit("{"), F.array_join(F.transform(entries, lambda e: F.concat(quoted(e["key"]), F.lit(":"), value(e["value"]))), ","), F.lit("}"))
+
+
 def decoded(item: Column) -> Column:
-    """A map of typed attributes as plain JSON. Nesting is unbounded, so this one is an Arrow-batched UDF."""
+    """A map of typed attributes as plain JSON. Nested ones, of any depth, go through an Arrow-batched UDF, the others through expressions."""
 
     @F.pandas_udf("string")
     def decode(s: pd.Series) -> pd.Series:
         return s.map(decode_item, na_action="ignore")
 
-    return decode(item)
+    # backslashes mark escapes, which the two writers of JSON spell differently
+    nested = item.rlike(r'"[ML]"\s*:|\\')
+    return F.when(nested, decode(F.when(nested, item))).otherwise(_flat(item))
 
 
 def flat_attribute(item: Column, name: str) -> Column:
@@ -59,24 +79,30 @@ def read_export(spark, path: str) -> DataFrame:
     return spark.read.text(path).where(F.length("value") > 0).select(F.get_json_object("value", "$.Item").alias("item"))
 
 
-def change_records(records: DataFrame, cutoff_ms: int | None = None) -> DataFrame:
-    """(shard, position, arrival_ms, body) -> op, event_at_s, event_id, item.
+def change_records(records: DataFrame, now_s: float | None = None, cutoff_ms: int | None = None) -> DataFrame:
+    """(shard, position, arrival_ms, body) -> op, event_at_s, event_id, item, deleted_at_s.
 
-    A removal takes its old image, others their new one, both the keys if there is none. With a
-    cutoff, each shard stops at its first record that arrived later.
+    A removal takes its old image, others their new one, both the keys if there is none; a record without a name or an image is
+    an error. A record is as old as its payload says, else its envelope, else it is of now; it arrived then if no arrival is
+    known. With a cutoff, each shard stops at its first record that arrived later.
     """
-    r = records
+    part = lambda path: F.get_json_object("body", path)
+    name = part("$.eventName")
+    name = F.when(F.assert_true(name.isNotNull() | F.col("body").isNull(), "a change record lacks eventName").isNull(), name)
+    at = F.coalesce(part("$.dynamodb.ApproximateCreationDateTime").try_cast("double"), part("$.approximateCreationDateTime").try_cast("double"), F.unix_micros(F.current_timestamp()) / 1e6 if now_s is None else F.lit(float(now_s)))
+    r = records.withColumns({"_name": name, "_at": at})
     if cutoff_ms is not None:
-        late = F.max((F.col("arrival_ms") > cutoff_ms).cast("int")).over(W.partitionBy("shard").orderBy("position"))
-        r = r.withColumn("_late", late).where("_late = 0").drop("_late")
-    removed = F.get_json_object("body", "$.eventName") == "REMOVE"
-    image = lambda k: F.get_json_object("body", f"$.dynamodb.{k}")
-    at = F.coalesce(image("ApproximateCreationDateTime"), image("approximateCreationDateTime"))
+        arrived = F.coalesce(F.col("arrival_ms"), F.col("_at") * 1000)
+        late = F.max((arrived > cutoff_ms).cast("int")).over(W.partitionBy("shard").orderBy("position"))
+        r = r.withColumn("_late", late).where("_late = 0")
+    removed = F.col("_name") == "REMOVE"
+    image = lambda k: F.when(part(f"$.dynamodb.{k}").startswith("{"), part(f"$.dynamodb.{k}"))
+    item = F.when(removed, F.coalesce(image("OldImage"), image("Keys"))).otherwise(F.coalesce(image("NewImage"), image("Keys")))
+    item = F.when(F.assert_true(item.isNotNull(), "a change record lacks its image").isNull(), item)
     return r.select(
-        F.when(removed, "delete").otherwise("upsert").alias("op"), at.try_cast("double").alias("event_at_s"),
-        F.concat_ws(":", "shard", "position").alias("event_id"), F.when(removed, F.coalesce(image("OldImage"), image("Keys"))).otherwise(F.coalesce(image("NewImage"), image("Keys"))).alias("item"),
-        F.when(removed, at.try_cast("double")).alias("deleted_at_s"),
-    )
+        F.when(removed, "delete").otherwise("upsert").alias("op"), F.col("_at").alias("event_at_s"), F.concat_ws(":", "shard", "position").alias("event_id"),
+        item.alias("item"), F.when(removed, F.col("_at")).alias("deleted_at_s"),
+    )
 
 
 def read_jdbc(spark, url: str, table: str, pk: str, low: int, high: int, parts: int, **options) -> DataFrame:
