@@ -127,15 +127,179 @@ def test_follow_is_idempotent(spark, tmp_path):
     assert sorted((r.id, r.v, r.deleted_at is not None) for r in t.read().collect()) == [(1, "a", True), (2, "c", False)]
 
 
-def test_lease_and_control(tmp_path):
-    lease = Lease(str(tmp_path))
-    assert lease.acquire("x", "a", 0) and not lease.acquire("x", "b", 30) and lease.acquire("x", "b", 90)
+def test_lease(spark, tmp_path):
+    lease = Lease(spark, str(tmp_path / "leases"))
+    assert lease.acquire("x", "a", 0) and not lease.acquire("x", "b", 30) and lease.acquire("x", "a", 40) and not lease.acquire("x", "b", 90) and lease.acquire("x", "b", 100)
+    lease.release("x", "a")
+    assert not lease.acquire("x", "a", 110)
+    lease.release("x", "b")
+    assert lease.acquire("x", "a", 111) and lease.acquire("y", "b", 111)
+    # two that have seen the same state: one makes the next file
+    number, _ = lease._held("x")
+    assert [lease._next("x", number, o, 112) for o in "ab"] == [True, False]
+
+
+def test_control():
     assert control.schedule_seconds("5m") == 300
     assert control.feedback_lsn(9, 5, {"a": True, "b": False}) == 5
     with pytest.raises(ValueError):
         control.merged_payload([{"target_table": "a", "primary_key": "i", "steps": [], "truncate": True}, {"target_table": "a", "primary_key": "i", "steps": []}])
 
 
+@pytest.mark.parametrize("text", ["3 fortnights", "5", "1 monkey", "01:30", "2 weeks", ""])
+def test_no_intervals(spark, text):
+    assert one(spark, X.try_interval_seconds(F.lit(text))) is None and one(spark, X.interval_seconds(F.lit(None).cast("string"))) is None
+    with pytest.raises(Exception, match="no interval"):
+        one(spark, X.interval_seconds(F.lit(text)))
+
+
+@pytest.mark.parametrize("body", ['{"dynamodb":{"Keys":{"id":{"S":"k"}}}}', '{"eventName":"INSERT","dynamodb":{"OldImage":{}}}', '{"eventName":"REMOVE","dynamodb":{"NewImage":{}}}'])
+def test_bad_change_records_fail(spark, body):
+    with pytest.raises(Exception, match="a change record lacks"):
+        dynamic.change_records(spark.createDataFrame([("s", 1, 0, body)], "shard string, position long, arrival_ms long, body string")).collect()
+
+
+def test_native_readers_agree_with_the_parsers(spark):
+    literals = ["{1,NULL,3}", "{}", "{01}", "{-5,null}", "{1,x}", "{+1}", "{1 ,2}", "{99999999999999999999}", "{t,false}", "{a,b:c}", '{"q",x}', "{a\\,b}", "{é}", "{,}", "x", None]
+    for element in ("long", "bool", "string", "numeric", "double"):
+        got = spark.createDataFrame([(i, t) for i, t in enumerate(literals)], "i int, t string").select("i", X.array_to_json(F.col("t"), element).alias("j")).collect()
+        assert {r.i: r.j for r in got} == {i: X.array_literal_json(t, element) for i, t in enumerate(literals)}, element
+    items = ['{"b":{"S":"x"},"a":{"N":"1"}}', '{"a":{"BOOL":false},"c":{"NULL":true},"d":{"B":"=="}}', '{"s":{"SS":["a","b"]},"n":{"NS":["1"]},"e":{"?":1}}', '{"m":{"M":{"x":{"L":[{"S":"y"}]}}}}', "{}", '{"q":{"S":"a\\"b"}}', '{"two":{"N":"1","S":"s"}}', None]
+    got = spark.createDataFrame([(i, t) for i, t in enumerate(items)], "i int, t string").select("i", dynamic.decoded(F.col("t")).alias("j")).collect()
+    assert {r.i: r.j for r in got} == {i: dynamic.decode_item(t) for i, t in enumerate(items)}
+
+
+def test_retry_jitter_stays_within_bounds(spark):
+    kind = "job_id int, table_key string, status string, retry_class string, attempt_count int, updated_at long, first_sequence long, created_at long"
+    rows = [(i, f"t{i}", "failed", ("transient", "backpressure", "permanent")[i % 3], 3, 0, i, 0) for i in range(300)]
+    j = spark.createDataFrame(rows, kind)
+    n = [ledger.retry_due(j, now).count() for now in (50_000, 64_000, 77_000)]
+    assert n[0] == 0 and 0 < n[1] < 200 and n[2] == 200
+    due = [r.first_sequence for r in ledger.retry_due(j, 77_000).collect()]
+    assert due == sorted(due) and ledger.retry_due(j, 64_000, jitter=False).count() == 200
+
+
+def test_snapshot_scheduler():
+    from tidelog.operators.snapshots import SnapshotScheduler, Task
+
+    now, done, fails = [0.0], [], {"b2": 2, "d1": 1}
+
+    def sleep(s):
+        now[0] += s
+
+    def work(name):
+        def run():
+            if name == "c1":
+                raise PermissionError("no right to c")
+            if fails.get(name, 0):
+                fails[name] -= 1
+                raise OSError("lost")
+            done.append((name, now[0]))
+        return run
+
+    s = SnapshotScheduler(1, lambda: now[0], sleep, lambda attempt: 10.0 * attempt, lambda e: isinstance(e, PermissionError))
+    for name in ("a1", "a2", "b1", "b2", "b3", "c1", "c2", "d1"):
+        s.add(Task(name[0], work(name), upserts=name[0] == "b"))
+    assert s.run() == {"c": "no right to c"}
+    names = [n for n, _ in done]
+    assert names[:3] == ["a1", "b1", "a2"] and set(names) == {"a1", "a2", "b1", "b2", "b3", "d1"}
+    # the failed task of b is tried again after its delays, before the next one of b
+    assert names.index("b2") < names.index("b3") and dict(done)["b2"] >= 30 and dict(done)["d1"] >= 10
+
+
+def test_upserting_tasks_of_a_table_run_one_at_a_time():
+    import threading
+    import time
+
+    from tidelog.operators.snapshots import SnapshotScheduler, Task
+
+    active, most, lock = {"u": 0, "p": 0}, {"u": 0, "p": 0}, threading.Lock()
+
+    def run(t):
+        def work():
+            with lock:
+                active[t] += 1
+                most[t] = max(most[t], active[t])
+            time.sleep(0.05)
+            with lock:
+                active[t] -= 1
+        return work
+
+    s = SnapshotScheduler(4, time.monotonic, time.sleep, lambda a: 0.0, lambda e: True)
+    for _ in range(4):
+        s.add(Task("u", run("u"), upserts=True))
+        s.add(Task("p", run("p")))
+    assert s.run() == {} and most["u"] == 1 and most["p"] >= 2
+
+
+def test_uncommitted_and_oversized_transactions(spark):
+    from tidelog.streaming.decode import committed_changes
+
+    kind = "position long, tx long, kind string, commit_lsn string, rel_id long, rel_ids array<long>, columns array<struct<name:string,type:string>>, before string, after string"
+    rows = [(1, 1, "begin"), (2, 1, "insert"), (3, 1, "insert"), (4, 2, "begin"), (5, 2, "insert"), (6, 1, "commit")]
+    m = spark.createDataFrame([(p, tx, k, "0/1" if k in ("begin", "commit") else None, 1, None, None, None, None) for p, tx, k in rows], kind)
+    t = spark.createDataFrame([(1, "t")], "rel_id long, table string")
+    assert [(r.tx, r.tx_ordinal) for r in committed_changes(m, t, 2).orderBy("tx_ordinal").collect()] == [(1, 0), (1, 1)]
+    with pytest.raises(Exception, match="too many pending"):
+        committed_changes(m, t, 1).collect()
+
+
+def test_shards_refuse_another_stream(spark):
+    from tidelog.sources import shards
+
+    s = spark.createDataFrame([("a",), ("b",)], "shard string")
+    c = spark.createDataFrame([("a", "0099")], "shard string, sequence string")
+    with pytest.raises(ValueError, match="rebuild"):
+        shards.resume_points(s, c, None, "new", "old")
+    assert sorted((r.shard, r.kind) for r in shards.resume_points(s, c, None, "x", None).collect()) == [("a", "AFTER_SEQUENCE_NUMBER"), ("b", "TRIM_HORIZON")]
+    r = spark.createDataFrame([("a", x, 0) for x in ("98", "99", "100", "0101")] + [("b", "1", 0)], "shard string, sequence string, arrival_ms long")
+    assert sorted(x.sequence for x in shards.unread(r, shards.resume_points(s, c, None, "x", None)).collect()) == ["0101", "1", "100"]
+
+
+def test_boundaries_and_problems_are_errors(spark):
+    from tidelog.operators import discovery
+    from tidelog.streaming import triggers
+
+    f = spark.createDataFrame([(True, False)], "landed boolean, applied boolean")
+    assert triggers.acknowledged(f, "durable_enqueue", 10).first().acked and not triggers.acknowledged(f, "target_apply").first().acked
+    for args in (("durable_enqueue",), ("other", 1)):
+        with pytest.raises(ValueError):
+            triggers.acknowledged(f, *args)
+    with pytest.raises(ValueError, match="unknown whether idle"):
+        triggers.feedback(F.lit(1), F.lit(0), {"in_tx": F.lit(True)})
+    t = spark.createDataFrame([("a", None), ("b", "no primary key")], "name string, problem string")
+    assert discovery.checked(t.where("name = 'a'")).count() == 1
+    with pytest.raises(Exception, match="b: no primary key"):
+        discovery.checked(t).collect()
+    spark.sql("CREATE DATABASE IF NOT EXISTS found_here")
+    spark.range(1).createOrReplaceTempView("passing")
+    assert discovery.catalog_tables(spark, "found_here") == []
+
+
+def test_other_tables_and_unknown_commits_fail(spark):
+    df = spark.createDataFrame([(1, 0, "insert", 1, "u", "0/1")], "sequence long, tx_ordinal long, op string, id long, table string, commit_lsn string")
+    with pytest.raises(Exception, match="not of table t"):
+        changes.compact(df, ["id"], True, one_table="t").collect()
+    with pytest.raises(Exception, match="a commit has no sequence"):
+        changes.staging(df.drop("sequence"), commits=spark.createDataFrame([("0/2", 1)], "commit_lsn string, sequence long")).collect()
+
+
+def test_strict_forms_fail(spark):
+    for text, kind in (("x", "boolean"), ("1.5.2", "epoch"), ("2024-13-01", "date"), ("1e", "double")):
+        with pytest.raises(Exception, match=f"not a {kind}"):
+            one(spark, X.strict(F.lit(text), kind))
+    assert one(spark, X.strict(F.lit("-3.2"), "epoch")) == -3_200_000 and one(spark, X.strict(F.lit(None).cast("string"), "long")) is None
+
+
+def test_jdbc_scan_by_key_range(spark, tmp_path):
+    url = f"jdbc:derby:{tmp_path}/db;create=true"
+    options = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    spark.range(100).selectExpr("id", "id * 2 AS twice").write.jdbc(url, "numbers", properties=options)
+    rows = dynamic.read_jdbc(spark, url, "numbers", "id", 0, 100, 4, **options)
+    assert rows.rdd.getNumPartitions() == 4 and rows.where("id >= 90").agg(F.sum("twice")).first()[0] == sum(2 * i for i in range(90, 100))
+
+
+
 def test_upsert_rewrites_touched_buckets_only(spark, tmp_path):
     t = VersionedTable(spark, str(tmp_path / "t"), "id", buckets=16)
     t.append(spark.range(200).selectExpr("id", "'a' AS v"))

@@ -6,6 +6,9 @@ import hashlib
 import json
 import re
 
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
 
 def schedule_seconds(text: str) -> int:
     """`30s`, `5m`, `1h`, `1d` or plain seconds."""
@@ -15,6 +18,13 @@ def schedule_seconds(text: str) -> int:
     return int(m[1]) * {"": 1, "s": 1, "m": 60, "h": 3600, "d": 86400}[m[2]]
 
 
+def schedule_column(text: Column) -> Column:
+    """The same of a column; a text that is no schedule is an error."""
+    number, unit = F.regexp_extract(text, r"^\s*(\d+)\s*([smhd]?)\s*$", 1).try_cast("long"), F.regexp_extract(text, r"^\s*(\d+)\s*([smhd]?)\s*$", 2)
+    seconds = number * F.when(unit == "m", 60).when(unit == "h", 3600).when(unit == "d", 86400).otherwise(1)
+    return F.when(F.assert_true(text.isNull() | F.coalesce(seconds > 0, F.lit(False)), "no schedule").isNull(), seconds)
+
+
 def config_hash(config: dict) -> str:
     return hashlib.sha256(json.dumps(config, sort_keys=True, separators=(",", ":")).encode()).hexdigest()
 
@@ -30,6 +40,17 @@ def selected_connections(connections: list[dict], wanted: str | None = None) ->
     return found
 
 
+def enabled(connections: DataFrame, wanted: str | None = None) -> DataFrame:
+    """The same of rows (id, enabled)."""
+    on = connections.where(F.coalesce("enabled", F.lit(True)))
+    if wanted is None:
+        return on
+    found = on.where(F.col("id") == wanted)
+    if not found.head(1):
+        raise ValueError(f"no enabled connection {wanted}")
+    return found
+
+
 def snapshot_scope(included: set[str], in_progress: set[str], resync: set[str], new: set[str], full: bool, has_position: bool, keep_backlog: bool) -> set[str]:
     """Tables to read whole: all at a full sync or without a position, else those that need it."""
     if full or (not has_position and not keep_backlog):
@@ -66,21 +87,16 @@ def merged_payload(payloads: list[dict]) -> dict:
     return {**first, "steps": [s for p in payloads for s in p["steps"]], "reducer": staged}
 
 
-def request_id(prefix: str, key: str) -> str:
-    return f"{prefix}{hashlib.sha256(key.encode()).hexdigest()}"[:36]
-
-
-class ResyncRequests:
-    """An ordered set of tables to read again."""
+def merged_payloads(payloads: DataFrame, window: str) -> DataFrame:
+    """The same of rows, per window: steps in order of first_sequence; a window that may not be is an error."""
+    fine = F.assert_true((F.count_distinct("target_table", "primary_key") == 1) & ((F.count("*") == 1) | ~F.bool_or("truncate")), "jobs that share no window")
+    steps = F.array_sort(F.collect_list(F.struct("first_sequence", "steps")))
+    out = payloads.groupBy(window).agg(
+        F.min("target_table").alias("target_table"), F.min("primary_key").alias("primary_key"), F.bool_or("truncate").alias("truncate"), steps.alias("_steps"),
+        F.bool_and(F.col("staging_schema").isNotNull()).alias("reducer"), fine.isNull().alias("_fine"),
+    )
+    return out.where("_fine").select(window, "target_table", "primary_key", "truncate", F.flatten(F.transform("_steps", lambda x: x["steps"])).alias("steps"), "reducer")
 
-    def __init__(self):
-        self._at: dict[str, int] = {}
 
-    def request(self, table: str) -> None:
-        self._at[table] = max(self._at.values(), default=0) + 1
-
-    def pending(self) -> list[str]:
-        return sorted(self._at, key=self._at.get)
-
-    def clear(self, table: str) -> None:
-        self._at.pop(table, None)
+def request_id(prefix: str, key: str) -> str:
+    return f"{prefix}{hashlib.sha256(key.encode()).hexdigest()}"[:36]

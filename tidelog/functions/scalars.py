@@ -165,7 +165,7 @@ TRUE, FALSE = ("t", "true", "1"), ("f", "false", "0")
 def strict(text: Column, kind: str) -> Column:
     """The value of a text; an error where it is none of the type."""
     value = F.when(F.lower(text).isin(*TRUE), True).when(F.lower(text).isin(*FALSE), False) if kind == "boolean" else epoch_micros(text) if kind == "epoch" else text.try_cast(kind)
-    return F.when(F.assert_true(text.isNull() | value.isNotNull(), f"not a {kind}").isNull(), value)
+    return F.when(text.isNull() | value.isNotNull(), value).otherwise(F.raise_error(F.concat(F.lit(f"not a {kind}: "), text)))
 
 
 def lenient(text: Column, kind: str) -> Column:

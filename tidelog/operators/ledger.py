@@ -100,15 +100,22 @@ def fragment_progress(sequences: DataFrame, fragments: DataFrame) -> DataFrame:
 
 
 def frontier(progress: DataFrame, start: int, most: int) -> DataFrame:
-    """The contiguous run of complete commits from `start`, at most `most` of them per connection.
+    """The contiguous run of complete commits from `start`, at most `most` of them per connection."""
+    return frontier_from(progress, F.lit(start), most)
+
+
+def frontier_from(progress: DataFrame, start: Column, most: int, *kept: str) -> DataFrame:
+    """The same from a start of each connection's own, a column of `progress`; other such columns may be kept.
 
     Only numbers in [start, start + most) can belong to it, so a filter bounds each window.
     """
-    rows = progress.where((F.col("sequence") >= start) & (F.col("sequence") < start + most))
+    rows = progress.withColumn("_from", start).where((F.col("sequence") >= F.col("_from")) & (F.col("sequence") < F.col("_from") + most))
     w = W.partitionBy("connection_id").orderBy("sequence")
-    bad = (F.col("sequence") != F.lit(start) + F.row_number().over(w) - 1) | (F.col("succeeded_fragments") < F.greatest(F.col("expected_fragments"), F.lit(1)))
+    bad = (F.col("sequence") != F.col("_from") + F.row_number().over(w) - 1) | (F.col("succeeded_fragments") < F.greatest(F.col("expected_fragments"), F.lit(1)))
     good = rows.withColumn("_bad", bad.cast("int")).withColumn("_stop", F.max("_bad").over(w)).where("_stop = 0")
-    return good.groupBy("connection_id").agg((F.lit(start) + F.count("*")).alias("next_sequence"), F.max_by("commit_lsn", "sequence").alias("commit_lsn"))
+    ends = [F.first("_from").alias("_start"), *[F.first(c).alias(c) for c in kept]]
+    out = good.groupBy("connection_id").agg((F.first("_from") + F.count("*")).cast("long").alias("next_sequence"), F.max_by("commit_lsn", "sequence").alias("commit_lsn"), *ends)
+    return out if kept else out.drop("_start")
 
 
 OPEN = ("pending", "running", "failed")

@@ -95,6 +95,21 @@ def check_policy(changes: list[tuple[str, str]], key_changed: bool, policy: str)
         raise ValueError(f"schema policy {policy}: {bad or 'primary key changed'}")
 
 
+def stops(change: Column, policy: str) -> Column:
+    """Does a change of a column stop the table: any does under `fail`, else a change of type."""
+    return change.isNotNull() if policy == "fail" else F.coalesce(change == "type_changed", F.lit(False))
+
+
+def key_changed_column(saved_key: Column, key: Column, saved_hash: Column, hash_now: Column, differs: Column) -> Column:
+    """Has the primary key changed: the saved key tells; without one, a fingerprint that differs though no column does."""
+    return F.when(saved_key.isNotNull(), saved_key != key).otherwise(F.coalesce((saved_hash != hash_now) & ~differs, F.lit(False)))
+
+
+def fingerprint_column(name: Column, key: Column, columns: Column) -> Column:
+    """Fingerprint of a table's name, key and columns (array of structs)."""
+    return F.sha2(F.to_json(F.struct(name.alias("name"), key.alias("key"), columns.alias("columns"))), 256)
+
+
 def key_changed(saved_key: str | None, saved_hash: str | None, schema: TableSchema, has_diff: bool) -> bool:
     if saved_key is not None:
         return saved_key != schema.primary_key

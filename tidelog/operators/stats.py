@@ -46,7 +46,7 @@ def connection_age(checkpoints: DataFrame, configured: DataFrame, now_s: int, ke
 
 def run_tables(measures: DataFrame, run) -> DataFrame:
     """A run's tables, those with most rows read first."""
-    return measures.where(F.col("run_id") == run).orderBy(F.desc("rows_read"), "table_key")
+    return measures.where(F.col("run_id") == run).orderBy(F.desc("rows_read"), "table_name")
 
 
 def reconciled(source: DataFrame, destination: DataFrame, soft_delete: bool, key: str = "table_key") -> DataFrame:

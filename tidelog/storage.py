@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 import json
-import os
 import time
 import uuid
 from collections.abc import Callable
-from pathlib import Path
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,7 +23,7 @@ class Files:
     """The few file calls of a table, by Hadoop's file system: any store that Spark can reach."""
 
     def __init__(self, spark: SparkSession, root: str):
-        jvm = spark._jvm
+        self.jvm = jvm = spark._jvm
         self.path = jvm.org.apache.hadoop.fs.Path
         self.fs = self.path(root).getFileSystem(spark._jsc.hadoopConfiguration())
         self.utf8 = jvm.java.nio.charset.StandardCharsets.UTF_8
@@ -49,14 +48,37 @@ class Files:
             self.io.write(text, stream, self.utf8)
         finally:
             stream.close()
-        if self.fs.exists(self.path(path)) or not self.fs.rename(aside, self.path(path)):
+        if not self._place(aside, self.path(path)):
             self.fs.delete(aside, False)
             raise FileExistsError(f"another writer made {path}")
 
+    def _place(self, aside, target) -> bool:
+        """A distributed file system's rename never replaces a file; a local one's does, but its links don't."""
+        if self.fs.getScheme() != "file":
+            return not self.fs.exists(target) and self.fs.rename(aside, target)
+        at = lambda p: self.jvm.java.io.File(p.toUri().getPath()).toPath()
+        try:
+            self.jvm.java.nio.file.Files.createLink(at(target), at(aside))
+        except Py4JJavaError:
+            return False
+        self.fs.delete(aside, False)
+        return True
+
     def delete(self, path: str) -> None:
         self.fs.delete(self.path(path), True)
 
 
+#: Types by which a warehouse clusters a table.
+CLUSTERED = ("string", "bigint", "int", "boolean", "timestamp", "timestamp_ntz", "date", "binary")
+
+
+def layout(schema: T.StructType, pk: str | None, synced: str | None = None) -> list[Column]:
+    """How rows are sorted in files: by the day they were synced, where that is wanted, then by the key, if its type allows."""
+    kind = schema[pk].dataType.simpleString() if pk and pk in schema.names else ""
+    days = [F.to_date(synced)] if synced and synced in schema.names else []
+    return days + ([F.col(pk)] if kind in CLUSTERED or kind.startswith("decimal") else [])
+
+
 class VersionedTable:
     """A table as numbered manifests over immutable folders; readers never see half a write.
 
@@ -65,11 +87,11 @@ class VersionedTable:
     table. A manifest holds the schema (columns are only ever added; older files read as NULL), the
     folders of each bucket and the names of the last batches; a repeated batch is no new version.
     Two writers cannot make one version: the second gets a FileExistsError.
-    Files are sorted by `cluster_by` and the key, for pruning by their minima and maxima.
+    Files are sorted by the day of `by_day` and the key, for pruning by their minima and maxima.
     """
 
-    def __init__(self, spark: SparkSession, root: str, pk: str | None = None, cluster_by: str | None = None, buckets: int = 64):
-        self.spark, self.root, self.pk, self.cluster_by = spark, root.rstrip("/"), pk, cluster_by
+    def __init__(self, spark: SparkSession, root: str, pk: str | None = None, by_day: str | None = None, buckets: int = 64):
+        self.spark, self.root, self.pk, self.by_day = spark, root.rstrip("/"), pk, by_day
         self.buckets = buckets if pk else 1
         self.files = Files(spark, self.root)
 
@@ -109,8 +131,7 @@ class VersionedTable:
         folder = f"data/{uuid.uuid4().hex}"
         out = rows.withColumn("_bucket", self._bucket(rows, n))
         out = out.hint("rebalance", "_bucket") if self.pk else out.hint("rebalance")
-        order = ["_bucket", *[c for c in (self.cluster_by, self.pk) if c and c in rows.columns]]
-        out.sortWithinPartitions(*order).write.option("compression", "snappy").partitionBy("_bucket").parquet(f"{self.root}/{folder}")
+        out.sortWithinPartitions("_bucket", *layout(rows.schema, self.pk, self.by_day)).write.option("compression", "snappy").partitionBy("_bucket").parquet(f"{self.root}/{folder}")
         made = [n for n in self.files.names(f"{self.root}/{folder}") if n.startswith("_bucket=")]
         return {n.split("=")[1]: [f"{folder}/{n}"] for n in made}
 
@@ -214,26 +235,39 @@ def json_rows(df: DataFrame) -> DataFrame:
 
 
 class Lease:
-    """One owner per name; a lease not renewed for ttl seconds may be taken over."""
+    """One owner per name; a lease not renewed for ttl seconds may be taken over.
 
-    def __init__(self, folder: str, ttl: float = 60.0):
-        self.folder, self.ttl = Path(folder), ttl
-        self.folder.mkdir(parents=True, exist_ok=True)
+    A lease is a row of numbered files; who makes the next one holds it, and only one can. The file system is Hadoop's.
+    """
 
-    def acquire(self, name: str, owner: str, now: float | None = None) -> bool:
-        now, path = time.time() if now is None else now, self.folder / f"{name}.lease"
+    def __init__(self, spark: SparkSession, folder: str, ttl: float = 60.0):
+        self.folder, self.ttl, self.files = folder.rstrip("/"), ttl, Files(spark, folder)
+
+    def _held(self, name: str) -> tuple[int, dict | None]:
+        made = [n for n in self.files.names(f"{self.folder}/{name}") if n.endswith(".json")]
+        if not made:
+            return 0, None
+        return int(made[-1][:-5]), json.loads(self.files.read(f"{self.folder}/{name}/{made[-1]}"))
+
+    def _next(self, name: str, number: int, owner: str | None, now: float) -> bool:
         try:
-            held = json.loads(path.read_text())
-        except (FileNotFoundError, ValueError):
-            held = None
-        if held and held["owner"] != owner and now - held["at"] < self.ttl:
+            self.files.create(f"{self.folder}/{name}/{number + 1:012d}.json", json.dumps({"owner": owner, "at": now}))
+        except FileExistsError:
             return False
-        aside = self.folder / f".{name}-{uuid.uuid4().hex}"
-        aside.write_text(json.dumps({"owner": owner, "at": now}))
-        os.replace(aside, path)
+        for n in self.files.names(f"{self.folder}/{name}"):
+            if n.endswith(".json") and int(n[:-5]) < number:
+                self.files.delete(f"{self.folder}/{name}/{n}")
         return True
 
+    def acquire(self, name: str, owner: str, now: float | None = None) -> bool:
+        """Also renews the owner's own."""
+        now = time.time() if now is None else now
+        number, held = self._held(name)
+        if held and held["owner"] not in (None, owner) and now - held["at"] < self.ttl:
+            return False
+        return self._next(name, number, owner, now)
+
     def release(self, name: str, owner: str) -> None:
-        path = self.folder / f"{name}.lease"
-        if path.exists() and json.loads(path.read_text())["owner"] == owner:
-            path.unlink()
+        number, held = self._held(name)
+        if held and held["owner"] == owner:
+            self._next(name, number, None, held["at"])
