@@ -4,7 +4,7 @@ One pattern finds e-mail and IPv4 addresses, telephone, card, account and social
 access keys, secrets after a name, and persons after a title or a given name. In a document that names persons,
 their given names and surnames are found where they stand alone, too. Each entity becomes a
 keyed, type-consistent surrogate: digits stay digits, letters keep case, separators stay, card
-numbers keep their issuer digit and stay valid if they were, telephone numbers keep their country code, whatever
+numbers (sixteen digits with a right check digit) keep their issuer digit and stay valid, telephone numbers keep their country code, whatever
 the spelling; given names keep gender and script (a name of unknown gender gets one that any gender bears),
 surnames keep script, and each part of a name has its own surrogate, so `Mr Reed` and `Anna
 Reed` still agree. A surrogate depends on the key, the kind and the value only: the same entity has
@@ -68,7 +68,7 @@ PATTERNS = (
     ("secret", "PpSsTtAa", r"(?<![A-Za-z])(?i:password|passwd|pwd|secret|token|api_?key)\s{0,2}[=:]\s{0,2}[\"']?(?=[A-Za-z0-9_+/=~.-]{5,}?[A-Za-z0-9_+/=~-])(?:\.*+[A-Za-z0-9_+/=~-]++)++"),
     ("key", "A", r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])"),
     ("iban", "A-Z", r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"),
-    ("card", r"\d", r"(?<![\d.-])(?:\d{4}[ -]?){3}\d{4}(?![\d-])"),
+    ("card", "2-6", r"(?<![\d.-])[2-6]\d{3}[ -]?(?:\d{4}[ -]?){2}\d{4}(?![\d-])"),
     ("ssn", r"\d", r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"),
     ("ip", r"\d", rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d)"),
     ("phone", r"\d(+", r"(?<![\d.])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]?\d{4}(?!\d)|\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}(?!\d)"),
@@ -92,6 +92,7 @@ _TITLE_HEAD = rf"^((?:{_ALL_TITLES})\.?\s)(.*)$"
 
 
 def found(text: Column) -> Column:
+    """What the pattern matches; `real` tells which of it is an entity."""
     return F.when(text.rlike(GATE), F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))).otherwise(F.array().cast("array<string>"))
 
 
@@ -102,6 +103,11 @@ def kind_of(entity: Column) -> Column:
     return out.otherwise("person")
 
 
+def real(entity: Column) -> Column:
+    """A number of a card's length is one only if its check digit is right."""
+    return F.when(kind_of(entity) == "card", _luhn_sum(_digits(entity)) == 0).otherwise(True)
+
+
 def normal(kind: Column, value: Column) -> Column:
     """What makes two spellings one entity: digits of numbers, case of addresses."""
     return (
@@ -175,12 +181,11 @@ def _digits(value: Column) -> Column:
     return F.regexp_replace(value, r"[^\d]", "")
 
 
-def _checked(value: Column, mixed: Column) -> Column:
-    """A card number whose last digit makes it valid exactly if `value` is."""
+def _checked(mixed: Column) -> Column:
+    """A card number with a right check digit."""
     last = F.substr(mixed, F.length(mixed), F.lit(1)).cast("int")
     right = (last - _luhn_sum(_digits(mixed)) + 10) % 10
-    off = F.when(_luhn_sum(_digits(value)) == 0, right).when(right == last, (last + 1) % 10).otherwise(last)
-    return F.concat(F.substr(mixed, F.lit(1), F.length(mixed) - 1), off.cast("string"))
+    return F.concat(F.substr(mixed, F.lit(1), F.length(mixed) - 1), right.cast("string"))
 
 
 def _strings(names: list[str]) -> Column:
@@ -231,7 +236,7 @@ def surrogate(kind: Column, value: Column, attempt: Column, key: str) -> Column:
         extra = F.when(more > 0, F.array_join(F.transform(F.sequence(F.lit(1), F.greatest(more, F.lit(1))), digit), "")).otherwise("")
         changed = _let(
             F.concat(_scramble(body, d, hexadecimal, first), extra),
-            lambda m: F.when(kind == "card", _checked(value, m)).when(kind == "email", F.concat(m, host)).otherwise(m),
+            lambda m: F.when(kind == "card", _checked(m)).when(kind == "email", F.concat(m, host)).otherwise(m),
         )
         return F.when(kind == "ip", _ip(d, attempt)).when(kind.startswith("given"), _given(kind, value, d, attempt)).when(kind == "surname", _surname(value, d, attempt)).otherwise(changed)
 
@@ -240,7 +245,7 @@ def surrogate(kind: Column, value: Column, attempt: Column, key: str) -> Column:
 
 def entities(docs: DataFrame) -> DataFrame:
     """Distinct (kind, value) over all texts, value in its normal form, with one spelling of it."""
-    each = docs.select(F.explode(found(F.col("text"))).alias("e")).groupBy("e").count().select(F.explode(parts_of(F.col("e"))).alias("p"))
+    each = docs.select(F.explode(found(F.col("text"))).alias("e")).groupBy("e").count().where(real(F.col("e"))).select(F.explode(parts_of(F.col("e"))).alias("p"))
     return each.groupBy(F.col("p.kind").alias("kind"), normal(F.col("p.kind"), F.col("p.value")).alias("value")).agg(F.min("p.value").alias("spelling"))
 
 
@@ -283,7 +288,7 @@ def _replaced(entity: Column, names: Column, later: Column | None, key: str) ->
     kind = kind_of(entity)
     done = F.array_join(F.transform(parts_of(entity), lambda p: _part(p, names, later, key)), " ")
     head = F.when(kind == "secret", F.regexp_extract(entity, _SECRET_HEAD, 1)).when(kind == "person", F.regexp_extract(entity, _TITLE_HEAD, 1)).otherwise("")
-    return F.concat(head, done)
+    return F.when(real(entity), F.concat(head, done)).otherwise(entity)
 
 
 def _named(gap: Column, names: Column) -> Column:
@@ -309,10 +314,12 @@ def _rows(docs: DataFrame, key: str) -> DataFrame:
     fixed = cut(attempts(docs, key))
     rows = docs.select(packed(docs))
     text = F.col("_row")["text"]
-    rows = rows.withColumn("_found", F.coalesce(found(text), F.array().cast("array<string>")))
+    # without a real entity there is nothing to replace
+    none = F.array().cast("array<string>")
+    rows = rows.withColumn("_found", F.coalesce(found(text), none)).withColumn("_found", F.when(F.exists("_found", real), F.col("_found")).otherwise(none))
     later = None
     if fixed.head(1):
-        ids = docs.select(F.xxhash64(F.col("text")).alias("_h"), F.explode(found(F.col("text"))).alias("e")).select("_h", F.explode(parts_of(F.col("e"))).alias("p"))
+        ids = docs.select(F.xxhash64(F.col("text")).alias("_h"), F.explode(found(F.col("text"))).alias("e")).where(real(F.col("e"))).select("_h", F.explode(parts_of(F.col("e"))).alias("p"))
         ids = ids.select("_h", F.col("p.kind").alias("k"), normal(F.col("p.kind"), F.col("p.value")).alias("v"))
         per = ids.join(fixed, (F.col("k") == F.col("kind")) & (F.col("v") == F.col("value"))).select("_h", F.concat("k", F.lit(":"), "v").alias("kv"), "attempt").distinct()
         per = cut(per.groupBy("_h").agg(F.map_from_entries(F.collect_list(F.struct("kv", "attempt"))).alias("_later")))
@@ -330,7 +337,7 @@ def _rows(docs: DataFrame, key: str) -> DataFrame:
     each = F.zip_with(F.col("_found"), F.slice(gaps, 2, F.greatest(F.size(gaps) - 1, F.lit(1))), lambda e, g: F.concat(_replaced(e, F.col("_names"), later, key), between(g)))
     joined = F.concat(between(gaps[0]), F.array_join(each, ""))
     alone = F.when(F.size("_names") > 0, F.aggregate(gaps, F.lit(0), lambda n, g: n + F.size(_named(g, F.col("_names"))))).otherwise(0)
-    return rows.withColumns({"_text": F.when(F.size("_found") > 0, joined).otherwise(text), "_n": (F.size("_found") + alone).cast("long")})
+    return rows.withColumns({"_text": F.when(F.size("_found") > 0, joined).otherwise(text), "_n": (F.size(F.filter("_found", real)) + alone).cast("long")})
 
 
 def _replaced_columns(docs: DataFrame) -> list[Column]:
