@@ -644,3 +644,108 @@ def test_clashing_names_in_operators(spark):
     assert embeddings.near_vectors(v).count() == 5
     pages = spark.createDataFrame([(1, "u", "<p>hello</p>", 1), (1, "u", "<p>hello</p>", 1), (None, None, None, None)], "page_id long, url string, html string, n_chars int")
     assert htmlcrf.extract(pages).count() == 3
+
+
+def test_pipeline_against_brute_force(spark):
+    """Every stage of the smallest tables, held against plain Python on what the stage before it returned."""
+    import corpus_pipeline
+    from pyspark.sql import functions as F
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    before = [r.asDict() for r in docs.collect()]
+    word = lambda t: (t or "").encode().split()
+    key = lambda r: tuple(sorted((k, str(v)) for k, v in r.items()))
+    stage_of = dict(corpus_pipeline.STAGES)
+
+    def go(name, d):
+        out = stage_of[name](spark, d, "/root/testdata/sf0.001")
+        got = [r.asDict() for r in out.collect()]
+        return got, spark.createDataFrame(got, out.schema)
+
+    # quality: the base rules by counting; then the verdict's limits
+    def grams(w, n):
+        seen = Counter(tuple(w[k : k + n]) for k in range(len(w) - n + 1))
+        return {k + j for k in range(len(w) - n + 1) if seen[tuple(w[k : k + n])] > 1 for j in range(n)}
+
+    def good(t):
+        w = word(t)
+        chars = lambda at: sum(len(w[k].decode()) for k in at)
+        if len(w) < 20 or 100 * len(grams(w, 8)) > 30 * len(w):
+            return False
+        lines = [x for x in t.split("\n") if x.encode().split()]
+        later = [x for k, x in enumerate(lines) if x in lines[:k]]
+        if len(later) > 0.4 * len(lines) or sum(map(len, later)) > 0.4 * sum(map(len, lines)) or sum(t.count(c) for c in "#*$%&|<>") > 0.2 * len(w):
+            return False
+        return all(chars(grams(w, n)) <= limit * chars(range(len(w))) for n, limit in quality.NGRAM_LIMITS.items())
+
+    got, docs = go("quality_rules", docs)
+    want = [r for r in before if good(r["text"])]
+    assert sorted(map(key, got)) == sorted(map(key, want)) and 0 < len(want) < len(before)
+    before = got
+
+    got, docs = go("simhash_near_dedup", docs)
+    fp = {}
+    for r in before:
+        w = [x.lower() for x in word(r["text"])]
+        h = [xxhash.xxh64_intdigest(b" ".join(w[k : k + 4]), 42) for k in range(max(1, len(w) - 3))] if w else []
+        fp[r["doc_id"]] = sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h)) if h else 0
+    low = {i: i for i in fp}
+    while True:
+        new = {a: min(low[b] for b in low if bin(fp[a] ^ fp[b]).count("1") <= 4) for a in low}
+        if new == low:
+            break
+        low = new
+    assert sorted(map(key, got)) == sorted(key(r) for r in before if low[r["doc_id"]] == r["doc_id"]) and len(got) < len(before)
+    before = got
+
+    got, docs = go("pii_surrogates", docs)
+    plain = {r.doc_id: r.text for r in pii.surrogates(spark.createDataFrame([(r["doc_id"], r["text"]) for r in before], "doc_id long, text string"), pii.session_key(spark)).collect()}
+    assert sorted(map(key, got)) == sorted(key(r | {"text": plain[r["doc_id"]], "n_chars": len(plain[r["doc_id"]])}) for r in before)
+    assert any(r["text"] != plain[r["doc_id"]] for r in before)
+    before = got
+
+    # mix: targets by handing the excess on until none is above its cap, then whole epochs and a cut by the rows' keys
+    got, docs = go("mix_sources", docs)
+    size = Counter()
+    for r in before:
+        size[r["source"]] += len(word(r["text"]))
+    weight = {s: (5, 2, 1)[k % 3] for k, s in enumerate(sorted(size, key=lambda s: (s is None, s or "")))}
+    target, open_ = {}, set(size)
+    while True:
+        left = sum(size.values()) - sum(target.values())
+        share = {s: left * weight[s] / sum(weight[x] for x in open_) for s in open_}
+        over = [s for s in open_ if share[s] > 3 * size[s]]
+        if not over:
+            target |= share
+            break
+        # those that are furthest above their cap are capped first
+        s = max(over, key=lambda s: weight[s] / size[s])
+        target[s] = 3 * size[s]
+        open_.remove(s)
+    want = []
+    for s in size:
+        budget = math.floor(target[s] + 0.5)
+        full, rest = divmod(budget, size[s])
+        md5 = lambda x: hashlib.md5(x.encode()).hexdigest()
+        mine = sorted((r for r in before if r["source"] == s), key=lambda r: md5(f"mix-1:{r['doc_id']}:{md5(r['text'])}"))
+        for r in mine:
+            w = word(r["text"])
+            part = max(0, min(len(w), rest))
+            rest -= len(w)
+            want += [r] * full
+            if part:
+                text = r["text"] if part == len(w) else b" ".join(w[:part]).decode()
+                want.append(r | {"text": text, "n_chars": r["n_chars"] if part == len(w) else len(text)})
+    assert sorted(map(key, got)) == sorted(map(key, want))
+    before = got
+
+    got, docs = go("byte_bpe", docs)
+    enc, _, _ = bytebpe.codec(P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)
+    sha = lambda b: hashlib.sha256(b).hexdigest()
+    want = []
+    for r in before:
+        ids = enc.encode_ordinary(r["text"])
+        want.append((r["doc_id"], len(ids), sha(",".join(map(str, ids)).encode()), sha(r["text"].encode())))
+    assert sorted((r["doc_id"], r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for r in got) == sorted(want)
+    whole = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    assert sorted(tuple(r) for r in whole.collect()) == sorted(tuple(r.values()) for r in got) and docs.where(F.col("n_tokens") > 0).count() == len(got)

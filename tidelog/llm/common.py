@@ -36,8 +36,13 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def new_folder(spark: SparkSession, kind: str) -> str:
-    """A fresh place under the shared folder, as a URI."""
-    return f"{shared_dir(spark)}/{kind}-{uuid.uuid4().hex}"
+    """A fresh place under the shared folder, as a URI; it is deleted when the driver ends."""
+    folder = f"{shared_dir(spark)}/{kind}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return folder
 
 
 def local_path(uri: str) -> str:
