@@ -43,6 +43,15 @@ def compact(log: DataFrame, keys: list[str], soft_delete: bool, op: str = "op",
     return latest(rows, keys, *newest_first())
 
 
+def uncompacted(log: DataFrame, now: Column, soft_delete: bool, op: str = "op") -> DataFrame:
+    """Every change after its table's last truncate as a row of its own, in the log's order; a sink that keeps history appends them.
+
+    Deletes count only with soft_delete, as tombstones.
+    """
+    rows = after_truncate(log, op).where(F.col(op) != "truncate")
+    return with_tombstones(rows if soft_delete else rows.where(F.col(op) != "delete"), now, op)
+
+
 def with_tombstones(actions: DataFrame, now: Column, op: str = "op", deleted: str = "deleted_at", synced: str = "synced_at") -> DataFrame:
     """A delete becomes an upsert of the old row that bears the time of its deletion."""
     return actions.withColumn(deleted, F.when(F.col(op) == "delete", now)).withColumn(synced, now)

@@ -223,6 +223,13 @@ def truncate_fan_out(spark, d):
     return changes.split_by_table(l).withColumnRenamed("table", "tbl")
 
 
+@query(f"""WITH l AS (SELECT event_id, event_type, event_id % 997 = 5 AS cut, event_type = 'error' AS gone FROM events), c AS (SELECT event_type, max(event_id) AS at_id FROM l WHERE cut GROUP BY 1)
+SELECT l.event_id, CASE WHEN gone THEN {NOW} END AS deleted_at FROM l LEFT JOIN c USING (event_type) WHERE NOT cut AND (at_id IS NULL OR l.event_id > at_id)""")
+def every_change_kept(spark, d):
+    l = log(spark, d).withColumn("op", F.when(F.col("event_id") % 997 == 5, "truncate").otherwise(F.col("op"))).withColumn("table", F.col("event_type"))  # noqa: E741
+    return changes.uncompacted(l, F.lit(NOW), True).select("event_id", "deleted_at")
+
+
 @query("SELECT user_id, event_id, event_type = 'error' AS gone FROM events WHERE event_type <> 'error' OR event_id % 2 = 0 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1")
 def deletes_need_an_old_row(spark, d):
     l = log(spark, d).withColumn("has_before", F.col("event_id") % 2 == 0)  # noqa: E741
