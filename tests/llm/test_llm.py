@@ -481,6 +481,16 @@ def test_pii_coreference(spark):
     assert set(got[3].text.split()[1].split("-")) <= set(pii.NEUTRAL["latin"]) and b[2] == got[3].text.split()[2].rstrip(".")
 
 
+def test_pii_moved_values_meet_their_texts_either_way(spark, monkeypatch):
+    """Few texts with values of a later attempt are broadcast, many meet by shuffle, common ones apart: the same result."""
+    rows = [(i, f"Mrs Zoe{'abcdefghij'[i % 10]}{'abcdefghij'[i // 10 % 10]} Karst" if i % 3 else "no names here", "s") for i in range(300)] + [(1000 + i, "Mrs Zoeaa Karst", "s") for i in range(300)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    few = sorted(map(tuple, pii.surrogates(d, "k").collect()))
+    monkeypatch.setattr(pii, "MOST_BROADCAST", 0)
+    monkeypatch.setattr(pii, "HOT_SHARE", 20)
+    assert sorted(map(tuple, pii.surrogates(d, "k").collect())) == few and len({t for _, t, *_ in few}) == len({t for _, t, _ in rows})
+
+
 def test_pii_many_values_settle(spark):
     """Ten thousand names, and numbers of a format with few values, of which nearly all occur."""
     from pyspark.sql import functions as F

@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, packed, unpacked
+from .common import HOT_SHARE, cut, packed, unpacked
 
 #: Documents with entities of a second attempt are broadcast up to so many rows.
 MOST_BROADCAST = 2_000
@@ -309,6 +309,23 @@ def _between(gap: Column, names: Column, later: Column | None, key: str) -> Colu
     return F.when(F.size(_named(gap, names)) > 0, whole).otherwise(gap)
 
 
+def _beside(rows: DataFrame, per: DataFrame, key: Column) -> DataFrame:
+    """Rows with `_later` of their text (`per`: _h, _later, _times), NULL where it has none.
+
+    Few texts are broadcast. Of many, the commonest are, fewer than HOT_SHARE; other rows meet their text's by shuffle, and rows that
+    look for none go anywhere.
+    """
+    few, total = per.agg(F.count("*") <= MOST_BROADCAST, F.sum("_times")).first()
+    if few:
+        return rows.join(F.broadcast(per.drop("_times")), key == F.col("_h"), "left")
+    hot = F.col("_times") * HOT_SHARE > total
+    common = F.broadcast(per.where(hot).select(F.col("_h").alias("_h1"), F.col("_later").alias("_later1")))
+    rows = rows.withColumn("_key", key).join(common, F.col("_key") == F.col("_h1"), "left")
+    at = F.when(F.col("_key").isNotNull() & F.col("_h1").isNull(), F.col("_key")).otherwise(F.xxhash64(F.monotonically_increasing_id(), F.lit("none")))
+    rows = rows.withColumn("_at", at).join(per.where(~hot).drop("_times"), F.col("_at") == F.col("_h"), "left")
+    return rows.withColumn("_later", F.coalesce("_later1", F.when(F.col("_key") == F.col("_h"), F.col("_later")))).drop("_later1", "_h1", "_h", "_key", "_at")
+
+
 def _rows(docs: DataFrame, key: str) -> DataFrame:
     """`_row` with the input's columns, the new `_text`, and `_n`, the number of entities."""
     fixed = cut(attempts(docs, key))
@@ -321,11 +338,9 @@ def _rows(docs: DataFrame, key: str) -> DataFrame:
     if fixed.head(1):
         ids = docs.select(F.xxhash64(F.col("text")).alias("_h"), F.explode(found(F.col("text"))).alias("e")).where(real(F.col("e"))).select("_h", F.explode(parts_of(F.col("e"))).alias("p"))
         ids = ids.select("_h", F.col("p.kind").alias("k"), normal(F.col("p.kind"), F.col("p.value")).alias("v"))
-        per = ids.join(fixed, (F.col("k") == F.col("kind")) & (F.col("v") == F.col("value"))).select("_h", F.concat("k", F.lit(":"), "v").alias("kv"), "attempt").distinct()
-        per = cut(per.groupBy("_h").agg(F.map_from_entries(F.collect_list(F.struct("kv", "attempt"))).alias("_later")))
-        small = per.count() <= MOST_BROADCAST
-        rows = rows.withColumn("_h0", F.when(F.size("_found") > 0, F.xxhash64(text)))
-        rows = rows.join(F.broadcast(per) if small else per, F.col("_h0") == F.col("_h"), "left")
+        per = ids.join(fixed, (F.col("k") == F.col("kind")) & (F.col("v") == F.col("value"))).select("_h", F.struct(F.concat("k", F.lit(":"), "v"), "attempt").alias("kv"))
+        per = cut(per.groupBy("_h").agg(F.map_from_entries(F.collect_set("kv")).alias("_later"), F.count("*").alias("_times")))
+        rows = _beside(rows, per, F.when(F.size("_found") > 0, F.xxhash64(text)))
         later = F.coalesce(F.col("_later"), F.create_map().cast("map<string,int>"))
     no_names = F.array().cast("array<struct<kind:string,value:string>>")
     persons = F.filter("_found", lambda e: kind_of(e) == "person")
