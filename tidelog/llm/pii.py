@@ -251,14 +251,13 @@ def entities(docs: DataFrame) -> DataFrame:
 
 def attempts(docs: DataFrame, key: str) -> DataFrame:
     """(kind, value, attempt) for the values whose first surrogate is taken; attempt is 1 or more."""
-    state = entities(docs).withColumns({"attempt": F.lit(0), "moved": F.lit(True), "s": F.lit(None).cast("string")})
-    real = None
+    known = cut(entities(docs))
+    real = known.select(F.col("kind").alias("_kind"), F.col("value").alias("_real"))
+    state = known.withColumns({"attempt": F.lit(0), "moved": F.lit(True), "s": F.lit(None).cast("string")})
     for _ in range(MOST_ATTEMPTS):
         # only values that moved get a new surrogate
         s = F.when(F.col("moved"), normal(F.col("kind"), surrogate(F.col("kind"), F.col("spelling"), F.col("attempt"), key))).otherwise(F.col("s"))
-        state = cut(state.select("kind", "value", "spelling", "attempt", s.alias("s")))
-        if real is None:
-            real = state.select(F.col("kind").alias("_kind"), F.col("value").alias("_real"))
+        state = state.select("kind", "value", "spelling", "attempt", s.alias("s"))
         shared = state.groupBy("kind", "s").agg(F.count("*").alias("n"), F.min(F.struct("attempt", "value")).alias("first")).where("n > 1").select(F.col("kind").alias("k2"), F.col("s").alias("s2"), "first")
         t = state.join(shared, (F.col("kind") == F.col("k2")) & (F.col("s") == F.col("s2")), "left")
         t = t.join(real, (F.col("kind") == F.col("_kind")) & (F.col("s") == F.col("_real")), "left")
@@ -328,7 +327,7 @@ def _beside(rows: DataFrame, per: DataFrame, key: Column) -> DataFrame:
 
 def _rows(docs: DataFrame, key: str) -> DataFrame:
     """`_row` with the input's columns, the new `_text`, and `_n`, the number of entities."""
-    fixed = cut(attempts(docs, key))
+    fixed = attempts(docs, key)
     rows = docs.select(packed(docs))
     text = F.col("_row")["text"]
     # without a real entity there is nothing to replace
