@@ -79,8 +79,9 @@ def _plan(docs: DataFrame, seed: str, weights, most: int) -> tuple[DataFrame, Da
     plan = plan.withColumn("budget", F.floor(F.col("target") + 0.5).cast("long"))
     plan = plan.withColumn("full", F.when(F.col("source_size") > 0, F.expr("budget div source_size")).otherwise(0).cast("long"))
     plan = plan.withColumn("rest", F.col("budget") - F.col("full") * F.col("source_size"))
-    plan = cut(plan.withColumnRenamed("source", "plan_source"))
-    with_ends = lambda ends: plan.join(ends, F.col("plan_source").eqNullSafe(F.col("end_source")), "left").drop("end_source")
+    # one row for each source, as many as one task has ordered
+    plan = cut(plan.withColumnRenamed("source", "plan_source").coalesce(1))
+    with_ends = lambda ends: plan.join(ends, F.col("plan_source").eqNullSafe(F.col("end_source")), "left").drop("end_source").coalesce(1)
     wide = cut(with_ends(_ends(sums, plan, F.lit(0))))
     # the range in which the last, partial epoch ends, again by narrower ranges
     inside = _beside(sized, wide).where(F.substring("key", 1, RANGE_DIGITS) == F.col("end_range"))
