@@ -33,8 +33,9 @@ def overlapped(snapshot: DataFrame, log: DataFrame, pk: str, columns: list[str],
     rows = log.withColumn("table", F.lit("t"))
     kept = after_truncate(rows).where("op <> 'truncate'")
     last = with_tombstones(compact(kept, [pk], soft_delete), now)
-    cut = rows.where("op = 'truncate'").agg(F.max("sequence").alias("_cut"))
-    base = snapshot.crossJoin(F.broadcast(cut)).where("_cut IS NULL OR snapshot_sequence >= _cut").drop("_cut")
+    # one row: the last truncate
+    cut = rows.where("op = 'truncate'").agg(F.max("sequence").alias("_cut")).withColumn("_one", F.lit(1))
+    base = snapshot.withColumn("_one", F.lit(1)).join(F.broadcast(cut), "_one", "left").where("_cut IS NULL OR snapshot_sequence >= _cut").drop("_cut", "_one")
     positions = base.select(F.col(pk).alias("_pk"), F.col("snapshot_sequence").alias("_at"))
     newer = last.join(positions, F.col(pk) == F.col("_pk"), "left").where(F.col("_at").isNull() | (F.col("sequence") > F.col("_at")))
     return upsert(base.select(*columns).withColumns({"deleted_at": F.lit(None).cast(now_type(last)), "synced_at": now}), newer.select(*columns, "deleted_at", "synced_at"), pk)

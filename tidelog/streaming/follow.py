@@ -31,7 +31,7 @@ def apply_batch(table: VersionedTable, batch: DataFrame, batch_id: int, columns:
     table.write_batch(out, name=f"batch-{batch_id}", truncate_first=truncated)
 
 
-def follow(stream: DataFrame, table: VersionedTable, columns: list[str], checkpoint: str, now, soft_delete: bool = True, once: bool = True) -> StreamingQuery:
-    """Starts the query; `once` reads what is there and stops. The stream's own checkpoint is the frontier."""
+def follow(stream: DataFrame, table: VersionedTable, columns: list[str], checkpoint: str, now, soft_delete: bool = True, once: bool = True, every: str = "2 seconds") -> StreamingQuery:
+    """Starts the query; `once` reads what is there and stops, else a batch starts at this interval. A batch is bounded by the stream's files; its own checkpoint is the frontier."""
     w = stream.writeStream.foreachBatch(lambda b, i: apply_batch(table, b, i, columns, now, soft_delete)).option("checkpointLocation", checkpoint)
-    return (w.trigger(availableNow=True) if once else w.trigger(processingTime="2 seconds")).start()
+    return (w.trigger(availableNow=True) if once else w.trigger(processingTime=every)).start()
