@@ -7,7 +7,7 @@ import numpy as np
 import public_tokenizers as P
 import xxhash
 
-from tidelog.llm import bytebpe, embeddings, htmlcrf, mixing, ngramtrie, pii, quality, simhash, tokenfile, toxicity
+from tidelog.llm import bytebpe, common, embeddings, htmlcrf, mixing, ngramtrie, pii, quality, simhash, tokenfile, toxicity
 from tidelog.llm.eliasfano import EliasFano, encode
 
 TEXTS = [None, "", "  \n ", "one", "a b c d e f g h a b c d e f g h", "x" * 70_000 + " tail  more\n\nlines\nlines", "Ünï çödé <|endoftext|> don't 12 345", "Ünï çödé <|endoftext|> don't 12 345", "the cat sat on the mat. " * 40]
@@ -487,7 +487,7 @@ def test_pii_moved_values_meet_their_texts_either_way(spark, monkeypatch):
     d = spark.createDataFrame(rows, "doc_id long, text string, source string")
     few = sorted(map(tuple, pii.surrogates(d, "k").collect()))
     monkeypatch.setattr(pii, "MOST_BROADCAST", 0)
-    monkeypatch.setattr(pii, "HOT_SHARE", 20)
+    monkeypatch.setattr(common, "HOT_SHARE", 20)
     assert sorted(map(tuple, pii.surrogates(d, "k").collect())) == few and len({t for _, t, *_ in few}) == len({t for _, t, _ in rows})
 
 

@@ -69,6 +69,21 @@ def spread_join(rows: DataFrame, side: DataFrame, key: list[str], n: str, total:
     return rows.join(few, key).unionByName(rest)
 
 
+def spread_left_join(rows: DataFrame, side: DataFrame, key: Column, on: str, n: str, total: int) -> DataFrame:
+    """Rows with the columns of `side` for their key (a 64-bit number), NULL where there is none; `side` is as for `spread_join`, its key `on`.
+
+    Rows of hot keys, and rows without a key, stay or spread; the others meet their key's row by shuffle.
+    """
+    values, own = [c for c in side.columns if c not in (on, n)], rows.columns
+    hot = F.col(n) * HOT_SHARE > total
+    one = lambda k, where: side.where(where).select(F.col(on).alias(f"_on{k}"), F.struct(*values).alias(f"_v{k}"))
+    rows = rows.withColumn("_key", key).join(F.broadcast(one(1, hot)), F.col("_key") == F.col("_on1"), "left")
+    at = F.when(F.col("_key").isNotNull() & F.col("_on1").isNull(), F.col("_key")).otherwise(F.xxhash64(F.monotonically_increasing_id(), F.lit("none")))
+    rows = rows.withColumn("_at", at).join(one(2, ~hot), F.col("_at") == F.col("_on2"), "left")
+    found = F.coalesce(F.col("_v1"), F.when(F.col("_key") == F.col("_on2"), F.col("_v2")))
+    return rows.withColumn("_v", found).select(*[F.col(f"`{c}`") for c in own], *[F.col("_v")[c].alias(c) for c in values])
+
+
 def packed(df: DataFrame) -> Column:
     """All columns as one struct, so that an operator's own columns clash with none of them."""
     return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row")

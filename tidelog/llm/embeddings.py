@@ -125,8 +125,8 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, tile: int = T
     nodes = good.groupBy("label", "embedding").agg(F.min("vec_id").alias("low"), F.count("*").alias("n"))
     grp = F.concat_ws(":", F.size("embedding").cast("string"), F.col("label").cast("string"))
     nodes = cut(nodes.withColumn("grp", grp).withColumn("node", F.coalesce("low", F.xxhash64("label", "embedding"))))
-    sizes = nodes.groupBy("grp").agg(F.ceil(F.count("*") / tile).cast("int").alias("tiles")).withColumnRenamed("grp", "_grp")
-    dealt = nodes.join(sizes, F.col("grp") == F.col("_grp")).withColumn("tile", F.pmod(F.xxhash64("node", "embedding"), F.col("tiles")).cast("int"))
+    sizes = nodes.groupBy("grp").agg(F.ceil(F.count("*") / tile).cast("int").alias("tiles"), F.count("*").alias("_size"))
+    dealt = spread_join(nodes, sizes, ["grp"], "_size", nodes.count()).withColumn("tile", F.pmod(F.xxhash64("node", "embedding"), F.col("tiles")).cast("int"))
     packed = cut(
         dealt.select("grp", "tiles", "tile", "node", "n", "embedding").groupBy("grp", "tile")
         .applyInArrow(_pack, "grp string, tiles int, tile int, nodes binary, copies binary, vectors binary")

@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import HOT_SHARE, cut, packed, unpacked
+from .common import cut, packed, spread_left_join, unpacked
 
 #: Documents with entities of a second attempt are broadcast up to so many rows.
 MOST_BROADCAST = 2_000
@@ -309,20 +309,11 @@ def _between(gap: Column, names: Column, later: Column | None, key: str) -> Colu
 
 
 def _beside(rows: DataFrame, per: DataFrame, key: Column) -> DataFrame:
-    """Rows with `_later` of their text (`per`: _h, _later, _times), NULL where it has none.
-
-    Few texts are broadcast. Of many, the commonest are, fewer than HOT_SHARE; other rows meet their text's by shuffle, and rows that
-    look for none go anywhere.
-    """
+    """Rows with `_later` of their text (`per`: _h, _later, _times), NULL where it has none. Few texts are broadcast."""
     few, total = per.agg(F.count("*") <= MOST_BROADCAST, F.sum("_times")).first()
     if few:
-        return rows.join(F.broadcast(per.drop("_times")), key == F.col("_h"), "left")
-    hot = F.col("_times") * HOT_SHARE > total
-    common = F.broadcast(per.where(hot).select(F.col("_h").alias("_h1"), F.col("_later").alias("_later1")))
-    rows = rows.withColumn("_key", key).join(common, F.col("_key") == F.col("_h1"), "left")
-    at = F.when(F.col("_key").isNotNull() & F.col("_h1").isNull(), F.col("_key")).otherwise(F.xxhash64(F.monotonically_increasing_id(), F.lit("none")))
-    rows = rows.withColumn("_at", at).join(per.where(~hot).drop("_times"), F.col("_at") == F.col("_h"), "left")
-    return rows.withColumn("_later", F.coalesce("_later1", F.when(F.col("_key") == F.col("_h"), F.col("_later")))).drop("_later1", "_h1", "_h", "_key", "_at")
+        return rows.join(F.broadcast(per.drop("_times")), key == F.col("_h"), "left").drop("_h")
+    return spread_left_join(rows, per, key, "_h", "_times", total)
 
 
 def _rows(docs: DataFrame, key: str) -> DataFrame:

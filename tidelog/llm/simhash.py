@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import cut, packed, spread_join, unpacked
+from .common import cut, packed, spread_join, spread_left_join, unpacked
 from .components import components
 
 SHINGLE, SEED, RADIUS = 4, 42, 4
@@ -215,9 +215,9 @@ def _buckets(nodes: DataFrame) -> DataFrame:
 def links(nodes: DataFrame, tile: int = TILE) -> DataFrame:
     """Distinct fingerprints (fp) -> links (a, b) with the components of all pairs within the radius."""
     rows = _buckets(nodes)
-    hot = rows.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > tile)
-    hot = hot.select(F.col("bucket").alias("hot_bucket"), F.ceil(F.col("n") / tile).cast("int").alias("tiles"))
-    rows = rows.join(hot, F.col("bucket") == F.col("hot_bucket"), "left")
+    hot = rows.groupBy(F.col("bucket").alias("hot_bucket")).agg(F.count("*").alias("n")).where(F.col("n") > tile)
+    hot = hot.withColumn("tiles", F.ceil(F.col("n") / tile).cast("int"))
+    rows = spread_left_join(rows, hot, F.col("bucket"), "hot_bucket", "n", nodes.count() * len(list(combinations(BLOCKS, 2))))
     mine = F.pmod(F.xxhash64("fp"), F.col("tiles")).cast("int")
     pair = F.transform(
         F.sequence(F.lit(0), F.col("tiles") - 1),
