@@ -31,14 +31,12 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         both, total = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b"))), 2 * mark[0]
         low = both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).select("a", F.least("a", "m").alias("m"), "n")
         large = spread_join(both, low, ["a"], "n", total).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        large = large.persist()
         low2 = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
         small = (
             spread_join(large, low2, ["a"], "n", total).where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
             .unionByName(low2.select("a", F.col("m").alias("b"))).distinct()
         )
         e = cut(small)
-        large.unpersist()
         before, mark = mark, _mark(e)
         if mark == before:
             break
