@@ -614,8 +614,10 @@ def test_lm_longer_contexts(spark):
 
 
 CLASHING = (
-    "fp component_id size key range range_size source_size target taken full part weight budget rest end_range before held_out score predicted kept n_words "
-    "kind value attempt k v kv p e s low root node a b bucket tile side start n_tokens ids _h _h0 _n _id _ids _fp _found _text _later _full _part _size _take _rn _copy_at _k toxic label"
+    "fp component_id size key range range_size source_size target taken full part weight budget rest end_range before held_out score predicted "
+    "kept n_words kind value attempt k v kv p e s low root node a b bucket tile side start n_tokens ids _h _h0 _n _id _ids _fp _found _text "
+    "_later _full _part _size _take _rn _copy_at _k toxic label _key _at _v _v1 _v2 _on1 _on2 _names _gaps _hash _place plan_source end_source "
+    "end_before take n grp hot few"
 ).split()
 
 

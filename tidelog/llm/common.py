@@ -35,6 +35,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+#: Rows of a narrow table that one task writes when its lineage is cut, and tasks that share even a small one.
+ROWS_A_TASK, LEAST_TASKS = 1_000_000, 8
+
+
+def cut_narrow(df: DataFrame, rows: int) -> DataFrame:
+    """`cut` of a narrow table of about so many rows, in as many files as they need and not one for each shuffle partition."""
+    return cut(df.coalesce(max(LEAST_TASKS, rows // ROWS_A_TASK + 1)))
+
+
 def new_folder(spark: SparkSession, kind: str) -> str:
     """A fresh place under the shared folder, as a URI; it is deleted when the driver ends."""
     folder = f"{shared_dir(spark)}/{kind}-{uuid.uuid4().hex}"

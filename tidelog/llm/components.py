@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, spread_join
+from .common import cut, cut_narrow, spread_join
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -36,7 +36,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             spread_join(large, low2, ["a"], "n", total).where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
             .unionByName(low2.select("a", F.col("m").alias("b"))).distinct()
         )
-        e = cut(small)
+        e = cut_narrow(small, total)
         before, mark = mark, _mark(e)
         if mark == before:
             break

@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, packed, spread_left_join, unpacked
+from .common import cut, cut_narrow, packed, spread_left_join, unpacked
 
 #: Documents with entities of a second attempt are broadcast up to so many rows.
 MOST_BROADCAST = 2_000
@@ -252,6 +252,7 @@ def entities(docs: DataFrame) -> DataFrame:
 def attempts(docs: DataFrame, key: str) -> DataFrame:
     """(kind, value, attempt) for the values whose first surrogate is taken; attempt is 1 or more."""
     known = cut(entities(docs))
+    n = known.count()
     real = known.select(F.col("kind").alias("_kind"), F.col("value").alias("_real"))
     state = known.withColumns({"attempt": F.lit(0), "moved": F.lit(True), "s": F.lit(None).cast("string")})
     for _ in range(MOST_ATTEMPTS):
@@ -264,7 +265,7 @@ def attempts(docs: DataFrame, key: str) -> DataFrame:
         # given names come from short lists, so a surrogate may be a name that others bear
         taken = (F.col("_real").isNotNull() & ~F.col("kind").startswith("given")) | (F.col("_real") == F.col("value"))
         moves = F.coalesce(F.struct("attempt", "value") != F.col("first"), F.lit(False)) | F.coalesce(taken, F.lit(False))
-        state = cut(t.select("kind", "value", "spelling", "s", (F.col("attempt") + moves.cast("int")).alias("attempt"), moves.alias("moved")))
+        state = cut_narrow(t.select("kind", "value", "spelling", "s", (F.col("attempt") + moves.cast("int")).alias("attempt"), moves.alias("moved")), n)
         if not state.where("moved").head(1):
             return state.where("attempt > 0").select("kind", "value", "attempt")
     raise RuntimeError(f"surrogates stay shared after {MOST_ATTEMPTS} attempts")

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import cut, packed, spread_join, spread_left_join, unpacked
+from .common import cut, cut_narrow, packed, spread_join, spread_left_join, unpacked
 from .components import components
 
 SHINGLE, SEED, RADIUS = 4, 42, 4
@@ -240,9 +240,10 @@ def _linked(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     comp = components(links(nodes.select("fp")))
     linked = nodes.join(comp, nodes["fp"] == comp["node"])
     lowest = linked.groupBy("root").agg(F.min("low").alias("component_id"), F.count("*").alias("k"))
-    by_fp = spread_join(comp, lowest, ["root"], "k", nodes.count()).select(F.col("node").alias("fp"), "root", "component_id")
-    by_fp = cut(nodes.join(by_fp, "fp", "left").select("fp", "n", F.coalesce("root", "fp").alias("root"), F.coalesce("component_id", "low").alias("component_id")))
-    total = nodes.agg(F.sum("n")).first()[0] or 0
+    distinct, total = nodes.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    by_fp = spread_join(comp, lowest, ["root"], "k", distinct).select(F.col("node").alias("fp"), "root", "component_id")
+    by_fp = nodes.join(by_fp, "fp", "left").select("fp", "n", F.coalesce("root", "fp").alias("root"), F.coalesce("component_id", "low").alias("component_id"))
+    by_fp = cut_narrow(by_fp, distinct)
     return prints, spread_join(prints, by_fp, ["fp"], "n", total), by_fp.select(F.col("fp").alias("_fp"), "root", "component_id")
 
 
