@@ -1,7 +1,7 @@
 """Connected components by alternating large-star and small-star steps.
 
-Every step is a partial aggregate for each node's smallest neighbour and a join in which nodes with
-very many links are broadcast, so none of them sits in one task. Each round is cut to the shared folder.
+Every step is a partial aggregate for each node's smallest neighbour and a join, in which the large-star step
+broadcasts nodes with very many links, so none of them sits in one task. Each round is cut to the shared folder.
 """
 
 from __future__ import annotations
@@ -31,9 +31,10 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         both, total = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b"))), 2 * mark[0]
         low = both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).select("a", F.least("a", "m").alias("m"), "n")
         large = spread_join(both, low, ["a"], "n", total).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        low2 = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
+        # here a node is linked to the smallest nodes of its neighbours only, so none has many links
+        low2 = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (
-            spread_join(large, low2, ["a"], "n", total).where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+            large.join(low2, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
             .unionByName(low2.select("a", F.col("m").alias("b"))).distinct()
         )
         e = cut_narrow(small, total)
