@@ -244,6 +244,49 @@ def test_uncommitted_and_oversized_transactions(spark):
         committed_changes(m, t, 1).collect()
 
 
+_LOG = "position long, tx long, kind string, commit_lsn string, rel_id long, rel_ids array<long>, columns array<struct<name:string,type:string>>, before string, after string"
+
+
+def test_many_relations_of_a_table_in_linear_time(spark):
+    import time
+
+    from tidelog.streaming.decode import committed_changes
+
+    i = F.col("id")
+    kind = F.when(i % 100 == 99, "commit").when(i % 2 == 0, "relation").otherwise("insert")
+    columns = F.when(i % 2 == 0, F.array(F.struct(F.concat(F.lit("c"), i).alias("name"), F.lit("int8").alias("type"))))
+    m = spark.range(60_000).select(i.alias("position"), F.expr("id div 100").alias("tx"), kind.alias("kind"), F.lit("0/1").alias("commit_lsn"), F.lit(1).cast("long").alias("rel_id"), F.lit(None).cast("array<long>").alias("rel_ids"), columns.alias("columns"), F.lit(None).cast("string").alias("before"), i.cast("string").alias("after"))
+    began = time.monotonic()
+    got = committed_changes(m, spark.createDataFrame([(1, "t")], "rel_id long, table string")).select("after", F.col("columns")[0]["name"].alias("name")).collect()
+    assert {int(r.after): r.name for r in got} == {p: f"c{p - 1}" for p in range(1, 60_000, 2) if p % 100 != 99} and len(got) == 29_400
+    assert time.monotonic() - began < 45  # some seconds; minutes if each change looked through its table's relations
+
+
+def test_newest_relation_at_odd_positions(spark, monkeypatch):
+    from tidelog.streaming import decode
+
+    monkeypatch.setattr(decode, "SPAN", 8)
+    rng = random.Random(5)
+    ends = [-(2**63), 2**63 - 1]
+    for places in (rng.sample(range(-300, 300), 200), [*ends, *rng.sample(range(1000), 60)], [*rng.sample(range(50), 40), *rng.sample(range(2**40, 2**40 + 200), 90)], [7], [2**63 - 1], []):
+        rows = []
+        for p in places:
+            kind = rng.choice(("relation", "insert", "truncate", "insert"))
+            columns = rng.choice((None, [], [(f"c{p}", "text")])) if kind == "relation" else None
+            rows.append((p, p % 3, kind, None, rng.choice((1, 2, 3, None)), [1, 2], columns, None, str(p)))
+        rows += [(None, 0, "relation", None, 1, None, [("nowhere", "text")], None, None), *((None, t, "commit", "0/1", None, None, None, None, None) for t in range(3))]
+        rng.shuffle(rows)
+        m = spark.createDataFrame(rows, _LOG).repartition(3)
+        got = decode.committed_changes(m, spark.createDataFrame([(1, "1"), (2, "2")], "rel_id long, table string"))
+        want = []
+        for p, _, kind, _, rel, rels, _, _, after in rows:
+            for of in (rels if kind == "truncate" else [rel] if kind == "insert" else []):
+                if of in (1, 2):
+                    last = max((r for r in rows if r[2] == "relation" and r[4] == of and r[0] is not None and r[0] < p), key=lambda r: r[0], default=None)
+                    want.append((after, str(of), last and last[6]))
+        assert sorted(((r.after, r.table, None if r.columns is None else [tuple(c) for c in r.columns]) for r in got.collect()), key=repr) == sorted(want, key=repr)
+
+
 def test_shards_refuse_another_stream(spark):
     from tidelog.sources import shards
 

@@ -1,6 +1,6 @@
 """A logical log's messages as change rows: committed transactions, relations as they were, truncates of each table.
 
-Messages are rows: position, tx, kind (begin, commit, relation, insert, update, delete, truncate), commit_lsn (of begin and
+Messages are rows: position (a whole number), tx, kind (begin, commit, relation, insert, update, delete, truncate), commit_lsn (of begin and
 commit), rel_id, rel_ids (of a truncate), columns (of a relation: array<struct<name, type>>), before and after (JSON rows).
 Messages of a transaction share its tx; positions rise in the log.
 """
@@ -12,6 +12,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 DATA = ("insert", "update", "delete", "truncate")
+#: Messages in a span of the log, within which changes and relations are ordered together.
+SPAN = 65_536
 
 
 def committed_changes(messages: DataFrame, tables: DataFrame, most_pending: int | None = None) -> DataFrame:
@@ -36,11 +38,22 @@ def committed_changes(messages: DataFrame, tables: DataFrame, most_pending: int
 
 
 def with_relation(changes: DataFrame, messages: DataFrame) -> DataFrame:
-    """Changes with their table's newest relation. Relations are few, so each table's are one sorted array that is broadcast."""
-    versions = messages.where("kind = 'relation'").groupBy(F.col("rel_id").alias("_v")).agg(F.array_sort(F.collect_list(F.struct("position", "columns"))).alias("_versions"))
-    at = F.filter("_versions", lambda v: v["position"] < F.col("position"))
-    out = changes.drop("columns").join(F.broadcast(versions), F.col("_of") == F.col("_v"), "left")
-    return out.withColumn("columns", F.when(F.size(at) > 0, F.element_at(at, -1)["columns"])).drop("_versions", "_v")
+    """Changes of the messages with their table's newest relation before them.
+
+    The log's positions are cut into equal spans, one for each 65536 messages or so, and a table's changes and relations of a span are one window.
+    A relation also stands in every later span that begins before its table's next one: at most a row for each relation and each span of a table.
+    """
+    n = f"(count(*) div {SPAN} + 4)"
+    log = messages.agg(F.expr(f"struct(max(position) div {n} - min(position) div {n} + 1 AS width, max(position) AS last)")).scalar()
+    span = lambda at: F.call_function("div", at, log["width"])
+    relations = messages.where("kind = 'relation' AND position IS NOT NULL").select(F.col("rel_id").alias("_of"), "position", F.struct("columns").alias("_relation"))
+    until = F.coalesce(F.lead("position").over(W.partitionBy("_of").orderBy("position", "_relation")), log["last"])
+    relations = relations.withColumn("_until", until).withColumn("_span", F.explode(F.sequence(span(F.col("position")), span(F.col("_until"))))).drop("_until")
+    rows = changes.drop("columns").withColumn("_span", span(F.col("position"))).unionByName(relations, allowMissingColumns=True)
+    # at one position, which no two messages have, a change would precede the relation
+    before = W.partitionBy("_of", "_span").orderBy("position", "_relation").rowsBetween(W.unboundedPreceding, W.currentRow)
+    rows = rows.withColumn("columns", F.last("_relation", ignorenulls=True).over(before)["columns"])
+    return rows.where("_relation IS NULL").drop("_relation", "_span")
 
 
 def relation_changes(messages: DataFrame) -> DataFrame:
